@@ -54,14 +54,13 @@ def replace_by_key(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFr
     return merge(target, new, keys)
 
 
-def merge_with_metrics(target: DataFrame, source: DataFrame, keys: list[str],
-                       compare: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """J1 + A4 from one full outer join: (merged rows, one-row metrics).
+def flagged_merge(target: DataFrame, source: DataFrame, keys: list[str],
+                  compare: list[str] | None = None) -> DataFrame:
+    """J1 as one full outer join on ``keys``: merged rows plus ``__kind``
+    (``inserted`` | ``updated`` | ``unchanged`` | ``kept``).
 
-    Metrics are real counts, not a difference of table sizes: ``inserted``
-    (key new to the target), ``updated`` (key in both), ``kept`` (target key
-    the source does not touch) and, when ``compare`` columns are given,
-    ``unchanged`` (updated rows whose compared values are all equal).
+    ``unchanged`` is only produced when ``compare`` columns are given: an
+    updated row whose compared values all equal the target's.
     """
     keys = list(keys)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns]).withColumn("__in_t", F.lit(True))
@@ -70,26 +69,45 @@ def merge_with_metrics(target: DataFrame, source: DataFrame, keys: list[str],
     j = t.join(s, on=cond, how="full_outer")
     in_t = F.coalesce(F.col("__in_t"), F.lit(False))
     in_s = F.coalesce(F.col("__in_s"), F.lit(False))
+    kind = F.when(in_s & ~in_t, F.lit("inserted"))
+    if compare:
+        same = None
+        for c in compare:
+            e = F.col(f"t__{c}").eqNullSafe(F.col(f"s__{c}"))
+            same = e if same is None else same & e
+        kind = kind.when(in_s & same, F.lit("unchanged"))
+    kind = kind.when(in_s, F.lit("updated")).otherwise(F.lit("kept"))
     cols = list(dict.fromkeys(list(target.columns) + list(source.columns)))
     out = []
     for c in cols:
         sv = F.col(f"s__{c}") if c in source.columns else F.lit(None)
         tv = F.col(f"t__{c}") if c in target.columns else F.lit(None)
         out.append(F.when(in_s, sv).otherwise(tv).alias(c))
-    merged = j.select(*out)
-    metric_aggs = [
-        F.count_if(in_s & ~in_t).alias("inserted"),
-        F.count_if(in_s & in_t).alias("updated"),
-        F.count_if(in_t & ~in_s).alias("kept"),
-    ]
+    return j.select(*out, kind.alias("__kind"))
+
+
+def kind_counts(compare: bool = False) -> list:
+    """Aggregates turning ``__kind`` into the A4 metrics columns."""
+    k = F.col("__kind")
+    aggs = [F.count_if(k == "inserted").alias("inserted"),
+            F.count_if(k.isin("updated", "unchanged")).alias("updated"),
+            F.count_if(k == "kept").alias("kept")]
     if compare:
-        same = None
-        for c in compare:
-            e = F.col(f"t__{c}").eqNullSafe(F.col(f"s__{c}"))
-            same = e if same is None else same & e
-        metric_aggs.append(F.count_if(in_s & in_t & same).alias("unchanged"))
-    metrics = j.agg(*metric_aggs)
-    return merged, metrics
+        aggs.append(F.count_if(k == "unchanged").alias("unchanged"))
+    return aggs
+
+
+def merge_with_metrics(target: DataFrame, source: DataFrame, keys: list[str],
+                       compare: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """J1 + A4 from one full outer join: (merged rows, one-row metrics).
+
+    Metrics are real counts, not a difference of table sizes: ``inserted``
+    (key new to the target), ``updated`` (key in both), ``kept`` (target key
+    the source does not touch) and, when ``compare`` columns are given,
+    ``unchanged`` (updated rows whose compared values are all equal).
+    """
+    j = flagged_merge(target, source, keys, compare)
+    return j.drop("__kind"), j.agg(*kind_counts(bool(compare)))
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -18,6 +18,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partition folders such as date=2024-01-05 stay text, as written
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
