@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_str
@@ -120,31 +120,32 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
         src = src.withColumn(partition_col, month_str(ts_col))
     if order:
         src = keep_last(src, keys, order)
-    else:
-        assert_unique_keys(src, keys)
-
-    if not path_exists(spark, path):
-        obs = Observation("upsert_create")
-        append(src.observe(obs, F.count(F.lit(1)).alias("n")), path, [partition_col])
-        return {"inserted": obs.get["n"], "updated": 0, "kept": 0, "created": True}
 
-    # Stage the (deduplicated) increment once: later passes - the partition
-    # list, the merge - read it back instead of recomputing its lineage.
+    # Stage the (deduplicated) increment once: later passes - the emptiness
+    # test, the partition list, the merge - read it back instead of
+    # recomputing its lineage (and survive the loss of executors).
     src_path = staging_path(spark, "upsert-src")
     src.write.parquet(src_path)
     src = spark.read.parquet(src_path)
+    if not order:
+        assert_unique_keys(src, keys)
+    zero = {"inserted": 0, "updated": 0, "kept": 0}
+
+    if not path_exists(spark, path):
+        append(src, path, [partition_col])
+        return {**zero, "inserted": src.count(), "created": True}
+    if src.isEmpty():
+        return {**zero, "created": False}
 
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
     target = spark.read.option("mergeSchema", "true").parquet(path)
     target = target.filter(F.col(partition_col).isin(touched))
 
-    obs = Observation("upsert")
-    merged = flagged_merge(target, src, keys)
-    merged = merged.observe(obs, *kind_counts()).drop("__kind")
     staged = staging_path(spark, "upsert")
-    append(merged, staged, [partition_col])
-    metrics = dict(obs.get)
-    overwrite_partitions(spark.read.option("mergeSchema", "true").parquet(staged), path, [partition_col])
+    append(flagged_merge(target, src, keys), staged, [partition_col])
+    merged = spark.read.option("mergeSchema", "true").parquet(staged)
+    metrics = merged.agg(*kind_counts()).first().asDict()
+    overwrite_partitions(merged.drop("__kind"), path, [partition_col])
     metrics["created"] = False
     return metrics
 

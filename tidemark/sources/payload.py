@@ -123,3 +123,24 @@ def quote_rejects(df: DataFrame, raw: str = "raw", passthrough: list[str] = ())
                .when(F.element_at(top, QUOTE_KEY).isNull(), F.lit("no_quote")))
     return df.select(*passthrough, reason.alias("reason"), F.map_keys(top).alias("keys_found")) \
              .filter(F.col("reason").isNotNull())
+
+
+def to_series_documents(df: DataFrame, symbol: str, ts: str, fields: dict[str, str],
+                        market: str | None = None, series_name: str = "Time Series (Digital Currency Daily)",
+                        group: str = "month") -> DataFrame:
+    """Inverse of ``series_rows``: one document per (symbol, market, month),
+    ``fields`` maps payload field names (``"4. close"``) to numeric columns.
+    Rows must be one per (symbol, day). A document holds at most one month of
+    days, so no document grows with the history."""
+    day = date_str(ts)
+    per = "yyyy-MM" if group == "month" else "yyyy"
+    fm = F.create_map(*[x for k, c in fields.items() for x in (F.lit(k), F.col(c).cast("string"))])
+    keys = [symbol] + ([market] if market else [])
+    docs = (df.groupBy(*keys, F.date_format(ts, per).alias("__grp"))
+              .agg(F.map_from_entries(F.collect_list(F.struct(day, fm))).alias("__series")))
+    meta = [F.lit("1. Information"), F.lit("Daily Prices"),
+            F.lit("2. Digital Currency Code"), F.col(symbol).cast("string")]
+    if market:
+        meta += [F.lit("4. Market Code"), F.col(market).cast("string")]
+    raw = F.to_json(F.struct(F.create_map(*meta).alias(META_KEY), F.col("__series").alias(series_name)))
+    return docs.select(*keys, F.col("__grp").alias("period"), raw.alias("raw"))
