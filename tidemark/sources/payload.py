@@ -36,22 +36,19 @@ def json_field(raw, path: str) -> Column:
     return F.get_json_object(F.col(raw) if isinstance(raw, str) else raw, path)
 
 
-def _suffixed_names(names: Column) -> Column:
-    """P3 on an array of names: the n-th repeat of ``x`` becomes ``x_n``."""
-    return F.transform(
-        names,
-        lambda x, i: F.when(
-            F.size(F.filter(F.slice(names, 1, i), lambda y: y == x)) == 0, x
-        ).otherwise(F.concat(x, F.lit("_"),
-                             F.size(F.filter(F.slice(names, 1, i), lambda y: y == x)).cast("string"))))
-
-
-def _rename_map(m: Column, rule) -> Column:
-    """Apply a key rule to a map<string,string>, suffixing colliding keys."""
-    entries = F.map_entries(m)
-    names = F.transform(entries, lambda e: rule(e.getField("key")))
-    values = F.transform(entries, lambda e: e.getField("value"))
-    return F.map_from_arrays(_suffixed_names(names), values)
+def _with_renamed_map(df: DataFrame, col: str, rule, out: str) -> DataFrame:
+    """Apply a key rule to the map<string,string> column ``col``; the n-th
+    repeat of a name ``x`` becomes ``x_n`` (P3). Three projections, so that
+    names and repeat counts are each computed once per key."""
+    names, counts = f"{out}__names", f"{out}__counts"
+    df = df.withColumn(names, F.transform(F.map_keys(F.col(col)), rule))
+    n = F.col(names)
+    df = df.withColumn(counts, F.transform(
+        n, lambda x, i: F.size(F.filter(F.slice(n, 1, i), lambda y: y == x))))
+    unique = F.zip_with(n, F.col(counts), lambda x, c: F.when(c == 0, x).otherwise(
+        F.concat(x, F.lit("_"), c.cast("string"))))
+    df = df.withColumn(out, F.map_from_arrays(unique, F.map_values(F.col(col))))
+    return df.drop(names, counts)
 
 
 def _top(raw: Column) -> Column:
@@ -61,15 +58,15 @@ def _top(raw: Column) -> Column:
 def classify_series(df: DataFrame, raw: str = "raw") -> DataFrame:
     """S4 for series documents: adds ``_reject`` (null = accepted) and the
     top-level keys found, so a rate-limit notice is reported, not loaded."""
-    top = _top(F.col(raw))
+    df = df.withColumn("_top", _top(F.col(raw)))
+    top = F.col("_top")
     has = F.size(F.filter(F.map_keys(top), lambda k: k.startswith(SERIES_KEY_PREFIX))) > 0
-    reason = (F.when(F.col(raw).isNull() | (F.trim(F.col(raw)) == "") | (F.trim(F.col(raw)) == "null"),
-                     F.lit("empty"))
+    blank = F.col(raw).isNull() | F.trim(F.col(raw)).isin("", "null")
+    reason = (F.when(blank, F.lit("empty"))
                .when(top.isNull(), F.lit("not_a_json_object"))
                .when(F.size(top) == 0, F.lit("empty"))
                .when(~has, F.lit("no_time_series")))
-    return df.withColumn("_top", top).withColumn("_reject", reason) \
-             .withColumn("_keys_found", F.map_keys(F.col("_top")))
+    return df.withColumn("_reject", reason).withColumn("_keys_found", F.map_keys(top))
 
 
 def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
@@ -79,19 +76,27 @@ def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
 
     ``meta`` maps output column -> cleaned ``Meta Data`` field name (e.g.
     ``{"symbol": "digital_currency_code"}``) to carry series keys onto rows.
-    Rejected documents (see ``classify_series``) produce no rows.
+    A document without a ``Time Series*`` object yields no rows (its series
+    is null and explodes to nothing; ``series_rejects`` lists it).
     """
-    c = classify_series(df, raw).filter(F.col("_reject").isNull())
-    series_txt = F.element_at(
-        F.map_values(F.map_filter(F.col("_top"), lambda k, v: k.startswith(SERIES_KEY_PREFIX))), 1)
-    series = F.from_json(series_txt, "map<string,map<string,string>>")
-    meta_map = _rename_map(F.from_json(F.element_at(F.col("_top"), META_KEY), "map<string,string>"),
-                           quote_field_expr)
-    cols = [F.col(p) for p in passthrough]
-    cols += [meta_map.getItem(src).alias(out) for out, src in (meta or {}).items()]
-    exploded = c.select(*cols, F.explode(series).alias("_date_key", "_fields"))
-    named = exploded.withColumn("_fields", _rename_map(F.col("_fields"), series_field_expr))
-    out = [F.col(p) for p in passthrough] + [F.col(o) for o in (meta or {})]
+    keep = list(passthrough)
+    d = df.select(*keep, _top(F.col(raw)).alias("_top"))
+    series_txt = F.try_element_at(
+        F.map_values(F.map_filter(F.col("_top"), lambda k, v: k.startswith(SERIES_KEY_PREFIX))), F.lit(1))
+    d = d.select(*keep, F.from_json(series_txt, "map<string,map<string,string>>").alias("_series"),
+                 F.from_json(F.element_at(F.col("_top"), META_KEY), "map<string,string>").alias("_meta"))
+    meta_cols: list[str] = []
+    if meta:
+        d = _with_renamed_map(d, "_meta", quote_field_expr, "_meta_n")
+        d = d.select(*keep, "_series", *[F.element_at(F.col("_meta_n"), src).alias(o) for o, src in meta.items()])
+        meta_cols = list(meta)
+    # explode_outer + a filter on its output: a plain explode makes Spark
+    # infer size(_series) > 0 and push it below the projection, parsing the
+    # series text twice
+    exploded = d.select(*keep, *meta_cols, F.explode_outer(F.col("_series")).alias("_date_key", "_raw_fields")) \
+                .filter(F.col("_raw_fields").isNotNull())
+    named = _with_renamed_map(exploded, "_raw_fields", series_field_expr, "_fields")
+    out = [F.col(p) for p in keep + meta_cols]
     out.append(to_datetime_fixed("_date_key", "yyyy-MM-dd").alias("datetime"))
     out += [to_double(F.element_at(F.col("_fields"), f)).alias(f) for f in fields]
     if keep_extra:
@@ -109,20 +114,25 @@ def series_rejects(df: DataFrame, raw: str = "raw", passthrough: list[str] = ())
 def quote_rows(df: DataFrame, raw: str = "raw", fields=QUOTE_FIELDS,
                passthrough: list[str] = ()) -> DataFrame:
     """S2 + P2 + P3: one row per quote document; values stay text (as landed).
-    Documents without the quote object are dropped (see ``quote_rejects``)."""
-    obj = F.element_at(_top(F.col(raw)), QUOTE_KEY)
-    m = _rename_map(F.from_json(obj, "map<string,string>"), quote_field_expr)
-    base = df.select(*passthrough, m.alias("_q")).filter(F.col("_q").isNotNull())
-    return base.select(*passthrough, *[F.element_at(F.col("_q"), f).alias(f) for f in fields])
+    Documents without the quote object yield no row (see ``quote_rejects``)."""
+    keep = list(passthrough)
+    d = df.select(*keep, F.element_at(_top(F.col(raw)), QUOTE_KEY).alias("_obj"))
+    d = d.select(*keep, F.from_json(F.col("_obj"), "map<string,string>").alias("_m"))
+    # zero or one quote per document; the filter sits above the generator,
+    # so it is not pushed into (and does not repeat) the parsing
+    d = d.select(*keep, F.explode_outer(F.array(F.col("_m"))).alias("_m")).filter(F.col("_m").isNotNull())
+    d = _with_renamed_map(d, "_m", quote_field_expr, "_q")
+    return d.select(*keep, *[F.element_at(F.col("_q"), f).alias(f) for f in fields])
 
 
 def quote_rejects(df: DataFrame, raw: str = "raw", passthrough: list[str] = ()) -> DataFrame:
     """S4 for quote documents."""
-    top = _top(F.col(raw))
+    d = df.select(*passthrough, _top(F.col(raw)).alias("_top"))
+    top = F.col("_top")
     reason = (F.when(top.isNull() | (F.size(top) == 0), F.lit("empty"))
                .when(F.element_at(top, QUOTE_KEY).isNull(), F.lit("no_quote")))
-    return df.select(*passthrough, reason.alias("reason"), F.map_keys(top).alias("keys_found")) \
-             .filter(F.col("reason").isNotNull())
+    return d.select(*passthrough, reason.alias("reason"), F.map_keys(top).alias("keys_found")) \
+            .filter(F.col("reason").isNotNull())
 
 
 def to_series_documents(df: DataFrame, symbol: str, ts: str, fields: dict[str, str],
