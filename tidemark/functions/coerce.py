@@ -35,21 +35,25 @@ def nan_to_null(c) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+# The accepted shape of a number in text - optional sign,
+# digits with an optional point (or a leading point), optional exponent - and
+# the words inf / infinity / nan in any case.
+NUMBER_PATTERN = r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))$"
+
+
 def to_double(c, source_type: T.DataType | None = None) -> Column:
     """Lenient text -> double (Q6): bad text, NaN and empty become null.
 
     Accepts surrounding blanks, exponents, a leading sign, ``.5``, ``5.`` and
     the words inf/infinity/nan; rejects thousands separators and the Java
-    ``d``/``f`` suffixes.
+    ``d``/``f`` suffixes. Text is matched against ``NUMBER_PATTERN`` before
+    the cast, so garbage never reaches the (exception-raising) parser.
     """
     c = _col(c)
     if source_type is not None and isinstance(source_type, T.NumericType):
         return nan_to_null(c.cast("double"))
     s = F.trim(c.cast("string"))
-    word = F.lower(s).rlike(r"^[+-]?(inf|infinity|nan)$")
-    java_suffix = s.rlike(r"[dDfF]$")
-    parsed = F.when(java_suffix & ~word, F.lit(None).cast("double")).otherwise(
-        s.try_cast("double"))
+    parsed = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
     return nan_to_null(parsed)
 
 

@@ -4,10 +4,12 @@ The one-window form (``last(ignorenulls)`` over an unbounded frame per key)
 puts a whole key - or, with no key, the whole table - into one task. The form
 used here is two-phase and keeps every task bounded by a time bucket:
 
-1. inside each (keys, bucket) a window fills from neighbours in the bucket;
+1. inside each (keys, bucket) a running window (growing frame, linear
+   time) carries the last non-null value forward;
 2. a per-bucket summary (last and first non-null value, partially aggregated
    in every map task) is carried across buckets by a window over the
    summaries, which have one row per (keys, bucket) - not per input row;
+   leading nulls of a key take the key's first non-null value;
 3. the carried values are joined back on (keys, bucket); AQE broadcasts the
    summary side when its measured size is small, else it is a sort-merge join
    on the partitioning the window already produced.
@@ -37,10 +39,13 @@ def fill_single_window(df: DataFrame, cols: list[str], order: list[str],
     o = [F.col(c).asc_nulls_last() for c in order]
     w = Window.partitionBy(*keys).orderBy(*o)
     pre = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    post = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     out = df
     for c in cols:
-        out = out.withColumn(c, F.coalesce(F.last(c, True).over(pre), F.first(c, True).over(post)))
+        # after the forward fill only leading nulls remain; their next
+        # non-null value is the first non-null of the key (whole frame,
+        # computed once per key - no per-row "following" frame)
+        out = out.withColumn(c, F.coalesce(F.last(c, True).over(pre), F.first(c, True).over(whole)))
     return out
 
 
@@ -65,14 +70,12 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
     part = keys + [b]
     o = [F.col(c).asc_nulls_last() for c in order]
 
-    # Phase 1: fill inside each bucket (one sort, one window operator).
+    # Phase 1: forward fill inside each bucket (growing frame: O(rows)).
     w = Window.partitionBy(*part).orderBy(*o)
     pre = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    post = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     inner = src
     for i, c in enumerate(cols):
-        inner = inner.withColumn(f"__ff{i}", F.last(c, True).over(pre)) \
-                     .withColumn(f"__bf{i}", F.first(c, True).over(post))
+        inner = inner.withColumn(f"__ff{i}", F.last(c, True).over(pre))
 
     # Phase 2: per-bucket last / first non-null value (partial aggregation).
     ostruct = [F.col(c).alias(f"__o{j}") for j, c in enumerate(order)]
@@ -83,14 +86,17 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
         aggs.append(F.min(F.when(F.col(c).isNotNull(), v)).getField("v").alias(f"__first{i}"))
     summary = src.groupBy(*part).agg(*aggs)
 
-    # Carry across buckets: one row per (keys, bucket), so this window is small.
+    # Carry across buckets: one row per (keys, bucket), so this window is
+    # small. ``__cf`` is the last value of earlier buckets; ``__hd`` the
+    # first non-null value of the whole key - after the forward fill only
+    # leading nulls are left, and that is their backward-fill value.
     wb = Window.partitionBy(*keys).orderBy(F.col(b)) if keys else Window.orderBy(F.col(b))
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    after = wb.rowsBetween(1, Window.unboundedFollowing)
+    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = summary.select(
         *[F.col(k).alias(f"__k{j}") for j, k in enumerate(part)],
         *[F.last(f"__last{i}", True).over(before).alias(f"__cf{i}") for i in range(len(cols))],
-        *[F.first(f"__first{i}", True).over(after).alias(f"__cb{i}") for i in range(len(cols))])
+        *[F.first(f"__first{i}", True).over(whole).alias(f"__hd{i}") for i in range(len(cols))])
 
     cond = [F.col(k).eqNullSafe(F.col(f"__k{j}")) for j, k in enumerate(part)]
     joined = inner.join(carry, on=cond, how="left")
@@ -98,8 +104,7 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
     for c in df.columns:
         if c in cols:
             i = cols.index(c)
-            out_cols.append(F.coalesce(F.col(f"__ff{i}"), F.col(f"__cf{i}"),
-                                       F.col(f"__bf{i}"), F.col(f"__cb{i}")).alias(c))
+            out_cols.append(F.coalesce(F.col(f"__ff{i}"), F.col(f"__cf{i}"), F.col(f"__hd{i}")).alias(c))
         else:
             out_cols.append(F.col(c))
     return joined.select(*out_cols)
