@@ -80,3 +80,15 @@ def test_read_landed_files(spark, tmp_root):
 def test_json_field(spark):
     df = spark.createDataFrame([('{"a": {"k": 3}}',)], "raw string")
     assert df.select(payload.json_field("raw", "$.a.k")).first()[0] == "3"
+
+
+def test_read_landed_json_lines(spark, tmp_root):
+    import os
+    d = os.path.join(tmp_root, "lines")
+    os.makedirs(d)
+    with open(os.path.join(d, "batch.jsonl"), "w") as fh:
+        fh.write(json.dumps(SERIES_DOC) + "\n" + json.dumps({"Information": "x"}) + "\n")
+    raw = payload.read_landed(spark, d, whole_files=False)
+    assert raw.count() == 2
+    assert payload.series_rows(raw).count() == 3
+    assert [r.reason for r in payload.series_rejects(raw).collect()] == ["no_time_series"]

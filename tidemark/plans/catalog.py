@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.coerce import to_double
+from tidemark.functions.coerce import to_datetime_fixed, to_datetime_inferred, to_double
+from tidemark.functions.names import drop_repeated_columns, normalize_columns
 from tidemark.functions.dates import date_str, month_str
 from tidemark.functions.zorder import interleave_bits
 from tidemark.operators import dedup, enrich, fill, incremental, quality, rollup, upsert, versions
@@ -302,6 +303,59 @@ def silver_prices(spark, d):
     return out.select("symbol", "datetime", "close", "date", "month", "close_fx")
 
 
+# ------------------------------------------------ more coercion (Q7, Q8)
+def coerce_dates(spark, d):
+    """Dates landed as text: exact format (Q7), inferred format (Q8), and a
+    malformed variant that must become null."""
+    o = _t(spark, d, "orders").select(
+        "o_orderkey", date_str("o_orderdate").alias("txt"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("txt_time"))
+    return o.select("o_orderkey",
+                    to_datetime_fixed("txt").alias("d_fixed"),
+                    to_datetime_inferred("txt_time").alias("d_inferred"),
+                    to_datetime_fixed(F.concat("txt", F.lit("x"))).alias("d_bad"))
+
+
+# ----------------------------------------------- quarantine split (Q4)
+def quarantine_rows(spark, d):
+    c = _t(spark, d, "customer")
+    _, bad = quality.split_by_checks(c, {"positive_balance": "c_acctbal > 0",
+                                         "low_nation": "c_nationkey < 20"})
+    return bad.select("c_custkey", F.array_join("_failed_rules", ",").alias("failed_rules"))
+
+
+# --------------------------------------- silver quotes (P5, P6, A5 on text)
+def quote_silver(spark, d):
+    """Silver FX: repeated columns dropped (P5), names normalized (P6), the
+    last copy of each (pair, refresh time) kept (A5)."""
+    q = payload.quote_rows(landed_quotes(spark, d), passthrough=["event_id"])
+    q = q.select("event_id", "from_currency_code", "to_currency_code", "last_refreshed",
+                 "exchange_rate", F.col("exchange_rate").alias("Exchange Rate"))
+    q = normalize_columns(drop_repeated_columns(q.toDF(*[c if c != "Exchange Rate" else "exchange_rate"
+                                                        for c in q.columns])))
+    last = dedup.keep_last(q, ["from_currency_code", "to_currency_code", "last_refreshed"], ["event_id"],
+                           columns=["exchange_rate"])
+    return last.select("from_currency_code", "last_refreshed", to_double("exchange_rate").alias("rate"))
+
+
+# --------------------------------------------- streaming load
+def stream_latest_daily(spark, d):
+    """The events table as a landing stream, merged by (symbol, day) with
+    keep-last by (ts, event_id) inside each micro-batch, into a table in the
+    shared checkpoint folder; returns the table as loaded."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.incremental import incremental_upsert, parquet_stream
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    # a glob (not the bare file path): the file stream source lists by pattern
+    s = parquet_stream(spark, f"{d}/events.parque[t]", schema).select(
+        F.col("event_type").alias("symbol"), F.col("ts").alias("datetime"),
+        date_str("ts").alias("day"), "event_id", F.col("value").alias("close"))
+    target = scratch_path(spark, "stream-latest-daily")
+    incremental_upsert(spark, s, target, ["symbol", "day"], order=["datetime", "event_id"],
+                       ts_col="datetime")
+    return spark.read.parquet(target).select("symbol", "day", "datetime", "event_id", "close")
+
+
 QUERIES = {
     "monthly_summary": monthly_summary,
     "monthly_by_symbol": monthly_by_symbol,
@@ -333,4 +387,8 @@ QUERIES = {
     "vacuum_changelog": vacuum_changelog,
     "zorder_code": zorder_code,
     "silver_prices": silver_prices,
+    "coerce_dates": coerce_dates,
+    "quarantine_rows": quarantine_rows,
+    "quote_silver": quote_silver,
+    "stream_latest_daily": stream_latest_daily,
 }

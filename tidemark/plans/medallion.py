@@ -65,7 +65,7 @@ def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landi
     silver = lake.table("silver", "crypto_daily_clean")
     b = read_table(spark, bronze)
     clean = quality.keep_positive(quality.drop_any_null(b), "close")
-    sink.overwrite_merge_schema(clean, silver, ["month"])
+    sink.overwrite_merge_schema(clean, silver, ["month"], sort_by=KEYS + ["datetime"])
 
     gold = lake.table("gold", "crypto_monthly_summary")
     s = read_table(spark, silver)

@@ -151,4 +151,22 @@ ORACLE_SQL = {
         select symbol, datetime, close, strftime(datetime, '%Y-%m-%d') as date, strftime(datetime, '%Y-%m') as month,
                close * (select rate from r) as close_fx
         from p""",
+    "coerce_dates": """
+        select o_orderkey, cast(cast(o_orderdate as date) as timestamp) as d_fixed,
+               o_orderdate as d_inferred, cast(null as timestamp) as d_bad
+        from orders""",
+    "quarantine_rows": """
+        select c_custkey, concat_ws(',',
+                 case when not coalesce(c_acctbal > 0, false) then 'positive_balance' end,
+                 case when not coalesce(c_nationkey < 20, false) then 'low_nation' end) as failed_rules
+        from customer
+        where not coalesce(c_acctbal > 0, false) or not coalesce(c_nationkey < 20, false)""",
+    "quote_silver": """
+        select 'C' || cast(user_id as varchar) as from_currency_code,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') as last_refreshed, arg_max(value, event_id) as rate
+        from events where event_type = 'purchase' group by 1, 2""",
+    "stream_latest_daily": """
+        select event_type as symbol, strftime(ts, '%Y-%m-%d') as day, ts as datetime, event_id, value as close
+        from events
+        qualify row_number() over (partition by event_type, strftime(ts, '%Y-%m-%d') order by ts desc, event_id desc) = 1""",
 }

@@ -30,10 +30,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _writer(df: DataFrame, partition_by: list[str] | None):
+def _writer(df: DataFrame, partition_by: list[str] | None, sort_by: list[str] | None = None):
+    """Partitioned writes rebalance on the partition columns; ``sort_by``
+    (O1) orders rows inside each written file, which tightens the min/max
+    statistics of its row groups for later filters."""
     if partition_by:
-        return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-    return df.write
+        df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
+    w = df.write
+    return w.partitionBy(*partition_by) if partition_by else w
 
 
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
@@ -64,26 +70,29 @@ def staging_path(spark: SparkSession, name: str = "stage") -> str:
     return f"{checkpoint_root(spark)}/tidemark-stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None,
+              sort_by: list[str] | None = None) -> None:
     """K1 (+K3): replace the whole table; safe when ``df`` reads ``path``."""
     spark = df.sparkSession
     staged = staging_path(spark, "overwrite")
-    _writer(df, partition_by).mode("overwrite").parquet(staged)
+    _writer(df, partition_by, sort_by).mode("overwrite").parquet(staged)
     swap_in(spark, staged, path)
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
+           sort_by: list[str] | None = None) -> None:
     """K2 / U1 (+K3): add rows (UNION ALL into the table)."""
-    _writer(df, partition_by).mode("append").parquet(path)
+    _writer(df, partition_by, sort_by).mode("append").parquet(path)
 
 
-def overwrite_merge_schema(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def overwrite_merge_schema(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                           sort_by: list[str] | None = None) -> None:
     """K4: overwrite, keeping columns the table had that ``df`` lacks (null)."""
     spark = df.sparkSession
     if path_exists(spark, path):
         old_schema = spark.read.option("mergeSchema", "true").parquet(path).schema
         df = spark.createDataFrame([], old_schema).unionByName(df, allowMissingColumns=True)
-    overwrite(df, path, partition_by)
+    overwrite(df, path, partition_by, sort_by)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:

@@ -25,9 +25,15 @@ QUOTE_FIELDS = ("from_currency_code", "from_currency_name", "to_currency_code",
                 "bid_price", "ask_price")
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: (``file``, ``raw``)."""
-    df = spark.read.text(path, wholetext=True)
+def read_landed(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """Landed documents as rows (``file``, ``raw``).
+
+    ``whole_files``: one document per file (pretty-printed JSON allowed).
+    Otherwise one document per line (JSON lines): large landing files are
+    then split into many tasks, and millions of small documents do not need
+    millions of files.
+    """
+    df = spark.read.text(path, wholetext=whole_files)
     return df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"))
 
 
