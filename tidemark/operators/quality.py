@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.coerce import nan_to_null
 
 
 class CheckViolation(Exception):
@@ -23,8 +22,12 @@ def drop_null_subset(df: DataFrame, subset: list[str]) -> DataFrame:
 
 
 def keep_positive(df: DataFrame, col: str = "close") -> DataFrame:
-    """Q2: keep rows with ``col > 0``; null and NaN are dropped."""
-    return df.filter(nan_to_null(F.col(col)) > 0)
+    """Q2: keep rows with ``col > 0``; null and NaN are dropped.
+
+    Written as ``col > 0 AND NOT isnan(col)`` so the comparison is pushed to
+    the Parquet scan (row groups whose max is <= 0 are skipped)."""
+    c = F.col(col)
+    return df.filter((c > 0) & ~F.isnan(c))
 
 
 def _violation(rule: str | Column) -> Column:
