@@ -95,3 +95,24 @@ def test_interleave_bits(spark):
     def z(a, b):
         return sum((((a >> i) & 1) << (2 * i)) | (((b >> i) & 1) << (2 * i + 1)) for i in range(16))
     assert got == [z(0, 0), z(1, 0), z(0, 1), z(3, 3), z(65535, 0)]
+
+
+def test_name_rules_equal_python_rules_on_random_keys(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    keys = st.text(alphabet="ab .()", max_size=12)
+    seen = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(keys)
+    def collect(k):
+        seen.append(k)
+
+    collect()
+    df = spark.createDataFrame([(k,) for k in seen], "k string")
+    rows = df.select("k", names.series_field_expr(F.col("k")).alias("p1"),
+                     names.quote_field_expr(F.col("k")).alias("p2")).collect()
+    for r in rows:
+        assert r.p1 == names.series_field_name(r.k), r.k
+        assert r.p2 == names.quote_field_name(r.k), r.k

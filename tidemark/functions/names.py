@@ -22,9 +22,8 @@ def series_field_name(name: str) -> str:
 
 
 def series_field_expr(k: Column) -> Column:
-    """P1 as a column expression (for map keys)."""
-    tail = F.element_at(F.split(k, r"\. "), -1)
-    return F.element_at(F.split(tail, r" \("), 1)
+    """P1 as a column expression (for map keys); literal delimiters, no regex."""
+    return F.substring_index(F.substring_index(k, ". ", -1), " (", 1)
 
 
 def quote_field_name(name: str) -> str:
@@ -34,10 +33,11 @@ def quote_field_name(name: str) -> str:
 
 
 def quote_field_expr(k: Column) -> Column:
-    """P2 as a column expression (for map keys)."""
-    parts = F.split(k, " ")
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.lower(F.array_join(rest, "_"))
+    """P2 as a column expression (for map keys): the text after the first
+    blank, blanks -> ``_``, lower-cased; no blank -> empty name."""
+    at = F.instr(k, " ")
+    rest = F.substr(k, at + 1)
+    return F.when(at > 0, F.lower(F.replace(rest, F.lit(" "), F.lit("_")))).otherwise(F.lit(""))
 
 
 def unique_suffix(names: list[str]) -> list[str]:
