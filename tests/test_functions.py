@@ -116,3 +116,14 @@ def test_name_rules_equal_python_rules_on_random_keys(spark):
     for r in rows:
         assert r.p1 == names.series_field_name(r.k), r.k
         assert r.p2 == names.quote_field_name(r.k), r.k
+
+
+def test_strict_datetime_fails_on_bad_value(spark):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    from tidemark.functions.coerce import to_datetime_strict
+    ok = spark.createDataFrame([("2025-10-29",)], "s string").select(to_datetime_strict("s")).first()[0]
+    assert ok == dt.datetime(2025, 10, 29)
+    bad = spark.createDataFrame([("2025-13-45",)], "s string").select(to_datetime_strict("s"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        bad.collect()

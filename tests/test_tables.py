@@ -101,6 +101,9 @@ def test_changelog_versions(spark, tmp_root):
     assert sink.append_version(spark, p, a, dt.datetime(2024, 1, 1)) == 0
     assert sink.append_version(spark, p, b, dt.datetime(2024, 1, 2)) == 1
     log = spark.read.parquet(p)
+    assert set(log.columns) == {"k", "v", "_version", "_ts", "_op"}
+    idx = sink.version_index(spark, p)
+    assert _rows(idx.select("_version", "_op")) == [(0, "upsert"), (1, "upsert")]
     assert _rows(versions.as_of(log, ["k"], 0)) == [("x", 1.0), ("y", 2.0)]
     assert _rows(versions.as_of(log, ["k"])) == [("x", 3.0), ("y", 2.0)]
 
@@ -128,15 +131,37 @@ def test_zorder_preserves_rows(spark, tmp_root):
 def test_vacuum_job_and_run_all(spark, tmp_root):
     p = os.path.join(tmp_root, "log")
     d = dt.datetime
-    log = spark.createDataFrame([("a", 1.0, 0, d(2024, 1, 1)), ("a", 2.0, 1, d(2024, 1, 2)),
-                                 ("a", 3.0, 2, d(2024, 1, 30))],
-                                "k string, v double, _version long, _ts timestamp_ntz") \
-        .withColumn("_op", F.lit("upsert"))
-    log.write.parquet(p)
+    for v, ts in ((1.0, d(2024, 1, 1)), (2.0, d(2024, 1, 2)), (3.0, d(2024, 1, 30))):
+        sink.append_version(spark, p, spark.createDataFrame([("a", v)], "k string, v double"), ts)
     res = maintenance.run_all(spark, [p, os.path.join(tmp_root, "nope")], maintenance.vacuum,
                               keys=["k"], now=d(2024, 1, 31))
     assert res[p] == {"rows_before": 3, "rows_after": 2}
     assert res[os.path.join(tmp_root, "nope")] == {"error": "missing"}
     assert sorted(r.v for r in spark.read.parquet(p).collect()) == [2.0, 3.0]
+    # the version index survives the rewrite
+    assert sink.version_index(spark, p).count() == 3 and sink.next_version(spark, p) == 3
     bad = maintenance.run_all(spark, [p], maintenance.vacuum, keys=["k"], now=d(2024, 1, 31), retention_hours=1)
     assert "RetentionError" in bad[p]["error"]
+
+
+def _mean_file_range(spark, path, col):
+    df = spark.read.parquet(path).select(col, F.col("_metadata.file_path").alias("f"))
+    per = df.groupBy("f").agg((F.max(col) - F.min(col)).alias("r"))
+    total = df.agg((F.max(col) - F.min(col)).alias("t")).first().t
+    return per.agg(F.avg("r")).first()[0] / total
+
+
+def test_zorder_narrows_file_ranges(spark, tmp_root):
+    from tests.conftest import SF_MID
+    p = os.path.join(tmp_root, "li")
+    li = spark.read.parquet(f"{SF_MID}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey")
+    li.repartition(8).write.parquet(p)
+    before = [_mean_file_range(spark, p, c) for c in ("l_partkey", "l_suppkey")]
+    res = maintenance.zorder(spark, p, ["l_partkey", "l_suppkey"], target_file_bytes=16 * 1024, buckets=256)
+    assert res["files"] >= 16
+    after = [_mean_file_range(spark, p, c) for c in ("l_partkey", "l_suppkey")]
+    assert all(b > 0.9 for b in before)
+    # each file now covers a fraction of both key ranges: a filter on either
+    # column skips most files by their min/max statistics
+    assert all(a < 0.45 for a in after), after
+    assert spark.read.parquet(p).count() == li.count()

@@ -93,7 +93,8 @@ def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
     """
     from pyspark.ml.feature import Bucketizer
 
-    bits = max(1, math.ceil(math.log2(buckets + 1)))
+    bits = max(1, math.ceil(math.log2(buckets)))
+    top = (1 << bits) - 1
     probs = [i / buckets for i in range(1, buckets)]
     acc = int(1 / rel_error)
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(f"b{i}")
@@ -107,7 +108,9 @@ def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
         out = out.withColumn(f"__x{i}", F.col(c).cast("double"))
         out = Bucketizer(splits=splits, inputCol=f"__x{i}", outputCol=f"__r{i}",
                          handleInvalid="keep").transform(out)
-    z = interleave_bits([F.col(f"__r{i}").cast("bigint") for i in range(len(cols))], bits)
+    # null / NaN land in the extra "invalid" bucket; clamp it to the last rank
+    # so every rank uses exactly ``bits`` bits (no wasted top bit)
+    z = interleave_bits([F.least(F.col(f"__r{i}").cast("bigint"), F.lit(top)) for i in range(len(cols))], bits)
     drop = [f"__x{i}" for i in range(len(cols))] + [f"__r{i}" for i in range(len(cols))]
     return out.withColumn("__z", z).drop(*drop)
 

@@ -52,6 +52,11 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     _, src = _fs(spark, staged)
     jvm = spark._jvm
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:8]}")
+    # a rewrite keeps the table's version index (a rename, no data copied)
+    idx = jvm.org.apache.hadoop.fs.Path(target, "_versions")
+    if fs.exists(idx):
+        if not fs.rename(idx, jvm.org.apache.hadoop.fs.Path(src, "_versions")):
+            raise OSError(f"could not carry the version index of {path}")
     if fs.exists(target):
         if not fs.rename(target, old):
             raise OSError(f"could not move {path} aside")
@@ -180,18 +185,42 @@ def publish_by_key(spark: SparkSession, path: str, new: DataFrame, keys: list[st
 
 
 # --------------------------------------------------------------- changelog
+# A changelog table keeps a one-row-per-version index in ``<table>/_versions``
+# (folders starting with ``_`` are not listed by Spark's file reader), so the
+# current version and the history come from a table the size of the number of
+# writes, not of the data.
+VERSION_INDEX = "_versions"
+
+
+def version_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """V1 / V2 source: (``_version``, ``_ts``, ``_op``) per write, or None."""
+    idx = f"{path.rstrip('/')}/{VERSION_INDEX}"
+    return spark.read.parquet(idx) if path_exists(spark, idx) else None
+
+
 def next_version(spark: SparkSession, path: str) -> int:
-    """V1: next version number of a changelog table (reads one column)."""
-    if not path_exists(spark, path):
-        return 0
-    row = spark.read.parquet(path).agg(F.max("_version")).collect()[0]
+    """V1: next version number of a changelog table."""
+    idx = version_index(spark, path)
+    if idx is None:
+        if not path_exists(spark, path):
+            return 0
+        idx = spark.read.parquet(path)  # table written without an index
+    row = idx.agg(F.max("_version")).collect()[0]
     return 0 if row[0] is None else int(row[0]) + 1
 
 
 def append_version(spark: SparkSession, path: str, df: DataFrame, ts, op: str = "upsert",
                    partition_by: list[str] | None = None) -> int:
-    """Write ``df`` as a new changelog version; returns the version number."""
+    """Write ``df`` as a new changelog version; returns the version number.
+
+    The index row is written first: if the data write then fails, the
+    version exists with no rows (harmless), and a retry takes the next number
+    instead of reusing one.
+    """
     from tidemark.operators.versions import with_version
     v = next_version(spark, path)
+    entry = spark.range(1).select(F.lit(v).cast("long").alias("_version"),
+                                  F.lit(ts).cast("timestamp_ntz").alias("_ts"), F.lit(op).alias("_op"))
+    entry.write.mode("append").parquet(f"{path.rstrip('/')}/{VERSION_INDEX}")
     append(with_version(df, v, ts, op), path, partition_by)
     return v
