@@ -154,3 +154,12 @@ def test_vacuum_rule_equals_lead_window(spark):
     assert got == expect
     with pytest.raises(versions.RetentionError):
         versions.vacuum_rows(log, ["k"], now, 1)
+
+
+def test_fill_null_key_is_its_own_series(spark):
+    d = dt.datetime
+    rows = [(1, None, d(2024, 1, 1), 1.0), (2, None, d(2024, 1, 2), None),
+            (3, "a", d(2024, 1, 1), None), (4, "a", d(2024, 1, 3), 5.0), (5, "a", d(2024, 1, 4), None)]
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double")
+    got = {r.id: r.v for r in fill.fill_gaps(df, ["v"], ["ts", "id"], keys=["k"], bucket="day").collect()}
+    assert got == {1: 1.0, 2: 1.0, 3: 5.0, 4: 5.0, 5: 5.0}

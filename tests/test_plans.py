@@ -27,7 +27,7 @@ def test_no_python_in_plans(spark, name):
 
 def test_global_fill_partitions_rows_by_bucket(spark):
     plan = _plan(C.fill_global(spark, SF_SMALL))
-    assert "hashpartitioning(__bucket" in plan
+    assert "hashpartitioning(__gb" in plan
     # the only single-partition exchange is the one over the bucket summaries,
     # which sits above their aggregation
     single = plan.split("SinglePartition")
@@ -43,3 +43,15 @@ def test_scalar_sides_are_broadcast(spark):
     for q in ("fx_scalar_enrich", "high_water"):
         assert "BroadcastExchange" in _plan(C.QUERIES[q](spark, SF_SMALL)) or \
                "BroadcastNestedLoopJoin" in _plan(C.QUERIES[q](spark, SF_SMALL)), q
+
+
+def test_fill_shuffles_rows_once_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(C.fill_by_key(spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the sort-merge join back reuses the window's partitioning on the struct
+    # key; a null-safe join on raw columns would re-shuffle the rows
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(coalesce(" not in plan

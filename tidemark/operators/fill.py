@@ -65,13 +65,18 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
             raise ValueError("a global fill needs a bucket")
         return fill_single_window(df, cols, order, keys)
 
-    b = "__bucket"
-    src = df.withColumn(b, _bucket_expr(order[0], bucket))
-    part = keys + [b]
+    # One struct column (keys, bucket) is the partition key of the row window,
+    # the grouping key of the summaries and the join key back: struct
+    # equality treats null fields as equal, so null keys form their own
+    # series, and the join is a plain equi-join that reuses the window's hash
+    # partitioning instead of shuffling the rows a second time.
+    gb = "__gb"
+    key_struct = F.struct(*[F.col(k).alias(f"k{j}") for j, k in enumerate(keys)]) if keys else F.lit(0)
+    src = df.withColumn(gb, F.struct(key_struct.alias("g"), _bucket_expr(order[0], bucket).alias("b")))
     o = [F.col(c).asc_nulls_last() for c in order]
 
     # Phase 1: forward fill inside each bucket (growing frame: O(rows)).
-    w = Window.partitionBy(*part).orderBy(*o)
+    w = Window.partitionBy(gb).orderBy(*o)
     pre = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = src
     for i, c in enumerate(cols):
@@ -84,22 +89,21 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
         v = F.struct(*ostruct, F.col(c).alias("v"))
         aggs.append(F.max(F.when(F.col(c).isNotNull(), v)).getField("v").alias(f"__last{i}"))
         aggs.append(F.min(F.when(F.col(c).isNotNull(), v)).getField("v").alias(f"__first{i}"))
-    summary = src.groupBy(*part).agg(*aggs)
+    summary = src.groupBy(gb).agg(*aggs)
 
     # Carry across buckets: one row per (keys, bucket), so this window is
     # small. ``__cf`` is the last value of earlier buckets; ``__hd`` the
     # first non-null value of the whole key - after the forward fill only
     # leading nulls are left, and that is their backward-fill value.
-    wb = Window.partitionBy(*keys).orderBy(F.col(b)) if keys else Window.orderBy(F.col(b))
+    wb = (Window.partitionBy(F.col(gb).getField("g")) if keys else Window).orderBy(F.col(gb).getField("b"))
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = summary.select(
-        *[F.col(k).alias(f"__k{j}") for j, k in enumerate(part)],
+        F.col(gb).alias("__kgb"),
         *[F.last(f"__last{i}", True).over(before).alias(f"__cf{i}") for i in range(len(cols))],
         *[F.first(f"__first{i}", True).over(whole).alias(f"__hd{i}") for i in range(len(cols))])
 
-    cond = [F.col(k).eqNullSafe(F.col(f"__k{j}")) for j, k in enumerate(part)]
-    joined = inner.join(carry, on=cond, how="left")
+    joined = inner.join(carry, on=F.col(gb) == F.col("__kgb"), how="left")
     out_cols = []
     for c in df.columns:
         if c in cols:

@@ -125,7 +125,12 @@ def zorder(spark: SparkSession, path: str, cols: list[str], target_file_bytes: i
     n = max(1, math.ceil(size / target_file_bytes))
     df = spark.read.option("mergeSchema", "true").parquet(path)
     z = zorder_frame(df, cols, buckets)
-    out = z.repartitionByRange(n, "__z").sortWithinPartitions("__z").drop("__z")
+    # a deterministic per-row tiebreak lets range partitioning split a code
+    # shared by very many rows (a hot value) over several files; it is a hash
+    # of the row, not rand(), so a retried task sends every row to the same
+    # partition again
+    z = z.withColumn("__t", F.xxhash64(*[F.col(c) for c in df.columns]))
+    out = z.repartitionByRange(n, "__z", "__t").sortWithinPartitions("__z").drop("__z", "__t")
     overwrite(out, path)
     return {"files": n, "bytes": size}
 
