@@ -4,11 +4,12 @@
   overwrite, strict silver (no nulls, positive close), monthly gold and the
   latest quote, each written with schema merge.
 * ``run_incremental`` - bronze ingestion with lineage timestamp, quality
-  filter and an enforced ``close > 0`` check; silver from the rows newer
-  than what silver holds per symbol, de-duplicated, gap-filled (carrying the
-  last silver value in), priced in the reference currency; gold recomputed
-  for the touched months only. Every write is an upsert or replace-by-key,
-  so running the flow twice leaves every table as after one run.
+  filter and an enforced ``close > 0`` check; silver from the bronze rows
+  ingested since the last run (late dates and corrections included),
+  de-duplicated, gap-filled (carrying the previous silver value in), priced
+  in the reference currency; gold recomputed for the touched months only.
+  Every write is an upsert or replace-by-key, so running the flow twice
+  leaves every table as after one run.
 
 Paths are given by a ``Lake`` (root folder); all keys are (symbol, market).
 """
@@ -122,40 +123,96 @@ def _fx_rate(spark: SparkSession, lake: Lake) -> DataFrame:
     return enrich.last_non_null(fx, "__rate", ["__ts", "ingestion_timestamp"], alias="rate")
 
 
+def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back:
+    later passes read files instead of recomputing the lineage."""
+    p = sink.staging_path(spark, name)
+    df.write.parquet(p)
+    return spark.read.parquet(p)
+
+
+def _fill_seeds(spark: SparkSession, inc: DataFrame, silver_path: str, last_path: str,
+                cols: list[str]) -> DataFrame | None:
+    """For each key of the increment, the silver row just before its first
+    new date - the value a forward fill carries in.
+
+    In-order keys (the common case) take it from the last-row state table,
+    one row per key. Keys that received late rows look back into silver,
+    restricted to those keys and to the months up to their first late date.
+    """
+    last = read_first(spark, [last_path])
+    if last is None:
+        return None
+    first_new = inc.groupBy(*KEYS).agg(F.min("datetime").alias("__from"))
+    j = first_new.join(last, on=KEYS, how="inner")
+    in_order = j.filter(F.col("datetime") < F.col("__from")).select(*KEYS, "datetime", *cols)
+    late = j.filter(F.col("datetime") >= F.col("__from")).select(*KEYS, "__from")
+    upto = late.agg(F.max("__from")).first()[0]
+    if upto is None:
+        return in_order
+    silver = read_table(spark, silver_path).filter(F.col("month") <= F.lit(upto.strftime("%Y-%m")))
+    back = silver.join(late, on=KEYS, how="inner").filter(F.col("datetime") < F.col("__from"))
+    return in_order.unionByName(dedup.keep_last(back, KEYS, ["datetime"], columns=["datetime", *cols]))
+
+
 def transform(spark: SparkSession, lake: Lake) -> dict:
-    """Silver + gold step of the incremental flow."""
+    """Silver + gold step of the incremental flow.
+
+    The increment is every bronze row ingested after the last processed run
+    (an ingestion watermark in a one-row state table), so late dates and
+    corrections reach silver - they are merged by key, not dropped. The fill
+    is seeded from a last-row-per-key state table, so a run reads the
+    increment and small state, not the whole silver table.
+    """
     out: dict = {}
     bronze = read_table(spark, lake.table("bronze", "digital_currency_daily"))
     silver_path = lake.table("silver", "digital_currency_daily")
-    silver = read_first(spark, [silver_path])
+    wm_path = lake.table("state", "silver_watermark")
+    last_path = lake.table("state", "silver_last_row")
 
-    inc = bronze if silver is None else incremental.after_high_water(bronze, silver, "datetime", keys=KEYS)
+    wm = read_first(spark, [wm_path])
+    inc = bronze if wm is None else incremental.after_high_water(
+        bronze, wm.select(F.col("ingested_upto").alias("ingestion_timestamp")), "ingestion_timestamp")
     inc = normalize_columns(inc)
     nums = [c for c in numeric_columns(inc.columns) if c not in KEYS]
     inc = coerce_columns(inc, numeric=nums, datetime={"datetime": None})
     inc = dedup.keep_last(inc, KEYS + ["datetime"], ["ingestion_timestamp"])
-    inc = quality.drop_null_subset(inc, ["datetime"])
-
-    # carry the last silver value of each series into the fill (seed rows)
-    inc = inc.withColumn("__seed", F.lit(False))
-    if silver is not None:
-        seeds = dedup.keep_last(silver.select(*[c for c in inc.columns if c in silver.columns]),
-                                KEYS, ["datetime"])
-        inc = inc.unionByName(seeds.withColumn("__seed", F.lit(True)), allowMissingColumns=True)
-    inc = fill.fill_gaps(inc, nums, order=["datetime", "__seed"], keys=KEYS, bucket="month")
-    inc = inc.filter(~F.col("__seed")).drop("__seed")
-
-    inc = quality.keep_positive(inc, "close")
-    inc = inc.withColumn("date", date_str("datetime")).withColumn("month", month_str("datetime"))
-    inc = enrich.enrich_scalar(inc, _fx_rate(spark, lake), "rate", value_col="close", out_col="close_fx")
-    out["silver"] = sink.upsert_table(spark, silver_path, inc, KEYS + ["datetime"], partition_col="month")
-
-    # gold: recompute only the months this run touched
-    s = read_table(spark, silver_path)
-    touched = s.join(inc.select("month").distinct(), on="month", how="left_semi")
-    gold = rollup.monthly_summary(touched, ts="month", keys=KEYS)
-    out["gold"] = sink.upsert_table(spark, lake.table("gold", "crypto_monthly_summary"), gold,
-                                    KEYS + ["month"], partition_col="month")
+    inc = _stage(spark, quality.drop_null_subset(inc, ["datetime"]), "silver-increment")
+
+    if not inc.isEmpty():
+        seeds = _fill_seeds(spark, inc, silver_path, last_path, nums)
+        rows = inc.withColumn("__seed", F.lit(False))
+        if seeds is not None:
+            rows = rows.unionByName(seeds.withColumn("__seed", F.lit(True)), allowMissingColumns=True)
+        rows = fill.fill_gaps(rows, nums, order=["datetime", "__seed"], keys=KEYS, bucket="month")
+        rows = rows.filter(~F.col("__seed")).drop("__seed")
+        rows = quality.keep_positive(rows, "close")
+        rows = rows.withColumn("date", date_str("datetime")).withColumn("month", month_str("datetime"))
+        rows = enrich.enrich_scalar(rows, _fx_rate(spark, lake), "rate", value_col="close", out_col="close_fx")
+        rows = _stage(spark, rows, "silver-rows")
+        out["silver"] = sink.upsert_table(spark, silver_path, rows, KEYS + ["datetime"], partition_col="month")
+
+        # state: last silver row per key, then the watermark (written last:
+        # a failure before it makes the next run redo this increment, which
+        # the key merge makes harmless)
+        new_last = rows.select(*KEYS, "datetime", *nums).withColumn("__n", F.lit(1))
+        old_last = read_first(spark, [last_path])
+        if old_last is not None:
+            new_last = old_last.withColumn("__n", F.lit(0)).unionByName(new_last)
+        sink.overwrite(dedup.keep_last(new_last, KEYS, ["datetime", "__n"], columns=["datetime", *nums]), last_path)
+        upto = inc.agg(F.max("ingestion_timestamp").alias("ingested_upto"))
+        if wm is not None:
+            upto = upto.unionByName(wm.select("ingested_upto")).agg(F.max("ingested_upto").alias("ingested_upto"))
+        sink.overwrite(upto, wm_path)
+
+        # gold: recompute only the months this run touched
+        s = read_table(spark, silver_path)
+        touched = s.join(rows.select("month").distinct(), on="month", how="left_semi")
+        gold = rollup.monthly_summary(touched, ts="month", keys=KEYS)
+        out["gold"] = sink.upsert_table(spark, lake.table("gold", "crypto_monthly_summary"), gold,
+                                        KEYS + ["month"], partition_col="month")
+    else:
+        out["silver"] = {"inserted": 0, "updated": 0, "kept": 0, "created": False}
 
     fx_b = read_first(spark, [lake.table("bronze", "currency_exchange_rate")])
     if fx_b is not None:
