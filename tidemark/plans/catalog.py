@@ -356,6 +356,31 @@ def stream_latest_daily(spark, d):
     return spark.read.parquet(target).select("symbol", "day", "datetime", "event_id", "close")
 
 
+# ------------------------------------- strict flow end to end (Variant A)
+def daily_prices(spark, d) -> DataFrame:
+    """Daily open/high/low/close/volume per event type from ``events``."""
+    e = _t(spark, d, "events")
+    day = F.date_trunc("day", "ts")
+    return (e.groupBy(F.col("event_type").alias("symbol"), day.alias("day"))
+             .agg(F.min_by("value", "ts").alias("open"), F.max("value").alias("high"),
+                  F.min("value").alias("low"), F.max_by("value", "ts").alias("close"),
+                  F.count(F.lit(1)).alias("volume")))
+
+
+def gold_from_payloads(spark, d):
+    """Payload documents (one per symbol and month) -> rows (S1) -> strict
+    cleaning (Q1 any null, Q2 close > 0) -> monthly gold per symbol (A1).
+    The ``high`` field is blanked on every 7th day so Q1 has work to do."""
+    prices = daily_prices(spark, d).withColumn(
+        "high", F.when(F.dayofmonth("day") % 7 == 0, F.lit(None)).otherwise(F.col("high")))
+    docs = payload.to_series_documents(
+        prices, "symbol", "day",
+        {"1. open": "open", "2. high": "high", "3. low": "low", "4. close": "close", "5. volume": "volume"})
+    rows = payload.series_rows(docs, meta={"symbol": "digital_currency_code"})
+    clean = quality.keep_positive(quality.drop_any_null(rows), "close")
+    return rollup.monthly_summary(clean, ts="datetime", keys=["symbol"], exact_scale=2)
+
+
 QUERIES = {
     "monthly_summary": monthly_summary,
     "monthly_by_symbol": monthly_by_symbol,
@@ -391,4 +416,5 @@ QUERIES = {
     "quarantine_rows": quarantine_rows,
     "quote_silver": quote_silver,
     "stream_latest_daily": stream_latest_daily,
+    "gold_from_payloads": gold_from_payloads,
 }

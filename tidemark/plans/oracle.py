@@ -169,4 +169,17 @@ ORACLE_SQL = {
         select event_type as symbol, strftime(ts, '%Y-%m-%d') as day, ts as datetime, event_id, value as close
         from events
         qualify row_number() over (partition by event_type, strftime(ts, '%Y-%m-%d') order by ts desc, event_id desc) = 1""",
+    "gold_from_payloads": """
+        with d as (
+          select event_type as symbol, date_trunc('day', ts) as day, arg_min(value, ts) as open,
+                 case when dayofmonth(date_trunc('day', ts)) % 7 = 0 then null else max(value) end as high,
+                 min(value) as low, arg_max(value, ts) as close, count(*) as volume
+          from events group by 1, 2)
+        select symbol, strftime(day, '%Y-%m') as month,
+               cast(sum(cast(close as decimal(38,2))) as double) / count(close) as avg_close,
+               max(close) as max_close, min(close) as min_close
+        from d
+        where open is not null and high is not null and low is not null and close is not null
+          and volume is not null and close > 0
+        group by 1, 2""",
 }
