@@ -127,3 +127,17 @@ def test_strict_datetime_fails_on_bad_value(spark):
     bad = spark.createDataFrame([("2025-13-45",)], "s string").select(to_datetime_strict("s"))
     with pytest.raises((PySparkException, Py4JJavaError)):
         bad.collect()
+
+
+def test_datetime_shape_guard_changes_no_result(spark):
+    # the guarded parse must equal the bare parse on valid, odd and bad text
+    texts = ["2025-10-29", "2024-02-30", "2025-1-5", "2025-10-29x", "x", "", "20250-01-01",
+             "2025-12-07 02:45:58", "2025-12-07 02:45:58.5", "2025-12-07 02:45:58.123456",
+             "2025-12-07T02:45:58", "12/07/2025", "2025/12/07", " 2025-10-29"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    from tidemark.functions.coerce import INFERRED_DATETIME_FORMATS
+    bare = F.coalesce(*[F.try_to_timestamp("s", F.lit(f)) for f in INFERRED_DATETIME_FORMATS]).cast("timestamp_ntz")
+    rows = df.select(to_datetime_inferred("s").alias("a"), bare.alias("b"),
+                     to_datetime_fixed("s").alias("c"),
+                     F.try_to_timestamp("s", F.lit("yyyy-MM-dd")).cast("timestamp_ntz").alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in rows)

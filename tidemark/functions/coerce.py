@@ -57,16 +57,53 @@ def to_double(c, source_type: T.DataType | None = None) -> Column:
     return nan_to_null(parsed)
 
 
+# Pattern letters -> a superset of the text they can match (digit runs; the
+# parser still checks widths and ranges), for the pre-check of
+# ``format_shape``; a pattern with any other letter gets no pre-check.
+_SHAPE = {"yyyy": "[+-]?[0-9]+", "MM": "[0-9]+", "dd": "[0-9]+", "HH": "[0-9]+",
+          "mm": "[0-9]+", "ss": "[0-9]+", "SSSSSS": "[0-9]+", "SSS": "[0-9]+"}
+
+
+def format_shape(fmt: str) -> str | None:
+    """A regex that every text parseable with ``fmt`` matches (digits and
+    separators only), or None when the pattern has other letters. Used to
+    reject garbage before the parser, which signals failure by exception."""
+    out, i = "^", 0
+    while i < len(fmt):
+        if fmt[i] == "'":
+            j = fmt.index("'", i + 1)
+            out += "".join("\\" + ch if not ch.isalnum() else ch for ch in fmt[i + 1:j])
+            i = j + 1
+            continue
+        for tok in sorted(_SHAPE, key=len, reverse=True):
+            if fmt.startswith(tok, i):
+                out += _SHAPE[tok]
+                i += len(tok)
+                break
+        else:
+            ch = fmt[i]
+            if ch.isalpha():
+                return None
+            out += "\\" + ch
+            i += 1
+    return out + "$"
+
+
+def _parse(s: Column, fmt: str) -> Column:
+    shape = format_shape(fmt)
+    parsed = F.try_to_timestamp(s, F.lit(fmt))
+    return parsed if shape is None else F.when(s.rlike(shape), parsed)
+
+
 def to_datetime_fixed(c, fmt: str = "yyyy-MM-dd") -> Column:
     """Text -> timestamp_ntz with one exact format, bad -> null (Q7)."""
-    return F.try_to_timestamp(_col(c).cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    return _parse(_col(c).cast("string"), fmt).cast("timestamp_ntz")
 
 
 def to_datetime_inferred(c, formats=INFERRED_DATETIME_FORMATS) -> Column:
     """Text -> timestamp_ntz trying each listed format, bad -> null (Q8)."""
     s = _col(c).cast("string")
-    tries = [F.try_to_timestamp(s, F.lit(f)) for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    return F.coalesce(*[_parse(s, f) for f in formats]).cast("timestamp_ntz")
 
 
 def to_datetime_strict(c, fmt: str = "yyyy-MM-dd") -> Column:
