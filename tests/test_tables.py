@@ -165,3 +165,29 @@ def test_zorder_narrows_file_ranges(spark, tmp_root):
     # column skips most files by their min/max statistics
     assert all(a < 0.45 for a in after), after
     assert spark.read.parquet(p).count() == li.count()
+
+
+def test_upsert_with_a_new_column(spark, tmp_root):
+    p = os.path.join(tmp_root, "t")
+    d = dt.datetime
+    old = spark.createDataFrame([(1, d(2024, 1, 1), 1.0), (2, d(2024, 2, 1), 2.0)],
+                                "k long, datetime timestamp_ntz, v double")
+    sink.upsert_table(spark, p, old, ["k"])
+    new = spark.createDataFrame([(2, d(2024, 2, 1), 20.0, "x"), (3, d(2024, 2, 2), 3.0, "y")],
+                                "k long, datetime timestamp_ntz, v double, extra string")
+    m = sink.upsert_table(spark, p, new, ["k"])
+    assert (m["inserted"], m["updated"]) == (1, 1)
+    got = sorted(tuple(r) for r in read_table(spark, p).select("k", "v", "extra").collect())
+    assert got == [(1, 1.0, None), (2, 20.0, "x"), (3, 3.0, "y")]
+
+
+def test_failed_swap_leaves_live_table(spark, tmp_root, monkeypatch):
+    p = os.path.join(tmp_root, "t")
+    sink.overwrite(spark.range(5), p)
+
+    def boom(*a, **k):
+        raise OSError("lost the driver between stage and swap")
+    monkeypatch.setattr(sink, "swap_in", boom)
+    with pytest.raises(OSError):
+        sink.overwrite(spark.range(100), p)
+    assert spark.read.parquet(p).count() == 5
