@@ -6,9 +6,10 @@ used here is two-phase and keeps every task bounded by a time bucket:
 
 1. inside each (keys, bucket) a running window (growing frame, linear
    time) carries the last non-null value forward;
-2. a per-bucket summary (last and first non-null value, partially aggregated
-   in every map task) is carried across buckets by a window over the
-   summaries, which have one row per (keys, bucket) - not per input row;
+2. a per-bucket summary (last and first non-null value, aggregated on the
+   window's own partitioning - no second exchange of the rows) is carried
+   across buckets by a window over the summaries, which have one row per
+   (keys, bucket) - not per input row;
    leading nulls of a key take the key's first non-null value;
 3. the carried values are joined back on (keys, bucket); AQE broadcasts the
    summary side when its measured size is small, else it is a sort-merge join
@@ -82,14 +83,21 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
     for i, c in enumerate(cols):
         inner = inner.withColumn(f"__ff{i}", F.last(c, True).over(pre))
 
-    # Phase 2: per-bucket last / first non-null value (partial aggregation).
+    # Phase 2: per-bucket last / first non-null value, aggregated from the
+    # window's output: the rows are already hash-partitioned by the bucket
+    # key there, so this aggregate needs no exchange and the input (and
+    # whatever lineage produced it) is not evaluated a second time.
+    # The bucket's last non-null value is the forward fill of its last row
+    # (``__ff``); using it keeps the aggregate on top of the window, which
+    # Catalyst would otherwise prune away and re-read the input instead.
     ostruct = [F.col(c).alias(f"__o{j}") for j, c in enumerate(order)]
     aggs = []
     for i, c in enumerate(cols):
-        v = F.struct(*ostruct, F.col(c).alias("v"))
-        aggs.append(F.max(F.when(F.col(c).isNotNull(), v)).getField("v").alias(f"__last{i}"))
-        aggs.append(F.min(F.when(F.col(c).isNotNull(), v)).getField("v").alias(f"__first{i}"))
-    summary = src.groupBy(gb).agg(*aggs)
+        last = F.struct(*ostruct, F.col(f"__ff{i}").alias("v"))
+        first = F.struct(*ostruct, F.col(c).alias("v"))
+        aggs.append(F.max(last).getField("v").alias(f"__last{i}"))
+        aggs.append(F.min(F.when(F.col(c).isNotNull(), first)).getField("v").alias(f"__first{i}"))
+    summary = inner.groupBy(gb).agg(*aggs)
 
     # Carry across buckets: one row per (keys, bucket), so this window is
     # small. ``__cf`` is the last value of earlier buckets; ``__hd`` the
