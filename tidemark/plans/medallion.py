@@ -123,11 +123,12 @@ def _fx_rate(spark: SparkSession, lake: Lake) -> DataFrame:
     return enrich.last_non_null(fx, "__rate", ["__ts", "ingestion_timestamp"], alias="rate")
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _stage(spark: SparkSession, df: DataFrame, name: str, staged: list[str]) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back:
     later passes read files instead of recomputing the lineage."""
     p = sink.staging_path(spark, name)
     df.write.parquet(p)
+    staged.append(p)
     return spark.read.parquet(p)
 
 
@@ -165,6 +166,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     increment and small state, not the whole silver table.
     """
     out: dict = {}
+    staged: list[str] = []
     bronze = read_table(spark, lake.table("bronze", "digital_currency_daily"))
     silver_path = lake.table("silver", "digital_currency_daily")
     wm_path = lake.table("state", "silver_watermark")
@@ -177,7 +179,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     nums = [c for c in numeric_columns(inc.columns) if c not in KEYS]
     inc = coerce_columns(inc, numeric=nums, datetime={"datetime": None})
     inc = dedup.keep_last(inc, KEYS + ["datetime"], ["ingestion_timestamp"])
-    inc = _stage(spark, quality.drop_null_subset(inc, ["datetime"]), "silver-increment")
+    inc = _stage(spark, quality.drop_null_subset(inc, ["datetime"]), "silver-increment", staged)
 
     if not inc.isEmpty():
         seeds = _fill_seeds(spark, inc, silver_path, last_path, nums)
@@ -189,7 +191,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
         rows = quality.keep_positive(rows, "close")
         rows = rows.withColumn("date", date_str("datetime")).withColumn("month", month_str("datetime"))
         rows = enrich.enrich_scalar(rows, _fx_rate(spark, lake), "rate", value_col="close", out_col="close_fx")
-        rows = _stage(spark, rows, "silver-rows")
+        rows = _stage(spark, rows, "silver-rows", staged)
         out["silver"] = sink.upsert_table(spark, silver_path, rows, KEYS + ["datetime"], partition_col="month")
 
         # state: last silver row per key, then the watermark (written last:
@@ -225,6 +227,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
                                  ["last_refreshed", "ingestion_timestamp"])
         sink.publish_by_key(spark, lake.table("gold", "currency_exchange_rate_latest"), latest,
                             ["from_currency_code", "to_currency_code"])
+    sink.drop_staged(spark, *staged)
     return out
 
 

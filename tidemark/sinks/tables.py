@@ -75,6 +75,17 @@ def staging_path(spark: SparkSession, name: str = "stage") -> str:
     return f"{checkpoint_root(spark)}/tidemark-stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_staged(spark: SparkSession, *paths: str) -> None:
+    """Remove staging folders once the write that read them has finished
+    (only folders this library created under the staging root)."""
+    root = f"{checkpoint_root(spark)}/tidemark-stage/"
+    for p in paths:
+        if p and p.startswith(root):
+            fs, hp = _fs(spark, p)
+            if fs.exists(hp):
+                fs.delete(hp, True)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None,
               sort_by: list[str] | None = None) -> None:
     """K1 (+K3): replace the whole table; safe when ``df`` reads ``path``."""
@@ -147,8 +158,11 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
 
     if not path_exists(spark, path):
         append(src, path, [partition_col])
-        return {**zero, "inserted": src.count(), "created": True}
+        n = src.count()
+        drop_staged(spark, src_path)
+        return {**zero, "inserted": n, "created": True}
     if src.isEmpty():
+        drop_staged(spark, src_path)
         return {**zero, "created": False}
 
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
@@ -160,6 +174,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     merged = spark.read.option("mergeSchema", "true").parquet(staged)
     metrics = merged.agg(*kind_counts()).first().asDict()
     overwrite_partitions(merged.drop("__kind"), path, [partition_col])
+    drop_staged(spark, src_path, staged)
     metrics["created"] = False
     return metrics
 
