@@ -39,10 +39,11 @@ def test_dedup_and_vacuum_pre_aggregate(spark):
         assert "partial_max" in _plan(C.QUERIES[q](spark, SF_SMALL)), q
 
 
-def test_scalar_sides_are_broadcast(spark):
-    for q in ("fx_scalar_enrich", "high_water"):
-        assert "BroadcastExchange" in _plan(C.QUERIES[q](spark, SF_SMALL)) or \
-               "BroadcastNestedLoopJoin" in _plan(C.QUERIES[q](spark, SF_SMALL)), q
+def test_scalar_values_are_subqueries_not_joins(spark):
+    for q in ("fx_scalar_enrich", "high_water", "asof_version", "vacuum_changelog"):
+        plan = _plan(C.QUERIES[q](spark, SF_SMALL))
+        assert "Subquery" in plan, q
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, q
 
 
 def test_fill_shuffles_rows_once_without_broadcast(spark):

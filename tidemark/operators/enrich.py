@@ -2,8 +2,9 @@
 
 The rate is one value (or one per currency pair), computed by an aggregate
 whose output has a proven bound: exactly one row, or one row per pair. The
-one-row case is broadcast explicitly; the per-pair case is left to AQE, which
-broadcasts from the measured size of the small side.
+one-value case is a scalar subquery (evaluated once, used like a literal;
+more than one row is an error, so the bound is enforced); the per-pair case
+is a join that AQE broadcasts from the measured size of the small side.
 """
 
 from __future__ import annotations
@@ -27,15 +28,13 @@ def enrich_scalar(df: DataFrame, rate_row: DataFrame, rate_col: str,
                   value_col: str = "close", out_col: str = "close_fx") -> DataFrame:
     """J2 + P12: ``out_col = value_col * rate`` with a one-row ``rate_row``.
 
-    ``rate_row`` must be a global aggregate (exactly one row); it is
-    broadcast, so the big side never moves. A null rate gives a null
+    ``rate_row`` must be a global aggregate (exactly one row); it becomes a
+    scalar subquery, so the big side never moves. A null rate gives a null
     ``out_col`` - the column always exists, so the schema does not depend on
     whether a rate was found.
     """
-    r = rate_row.select(F.col(rate_col).alias("__rate"))
-    return (df.crossJoin(F.broadcast(r))
-              .withColumn(out_col, F.col(value_col) * F.col("__rate"))
-              .drop("__rate"))
+    rate = rate_row.select(F.col(rate_col)).scalar()
+    return df.withColumn(out_col, F.col(value_col) * rate)
 
 
 def enrich_by_key(df: DataFrame, rates: DataFrame, keys: list[str], rate_col: str,

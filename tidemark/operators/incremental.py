@@ -1,9 +1,10 @@
 """High-water incremental selection.
 
 The high-water mark is ``max(ts)`` of what is already loaded - a global (or
-per-key) aggregate with a bounded output (one row, or one row per key). The
-global case is broadcast explicitly as a one-row side; the per-key case is a
-left join that AQE broadcasts from the measured size.
+per-key) aggregate with a bounded output (one value, or one row per key). The
+global case is a scalar subquery: computed once, then compared like a
+literal inside the scan's filter - no join. The per-key case is a left join
+that AQE broadcasts from the measured size.
 
 Rows at or below the mark are *not* selected: late rows and corrections need
 ``tidemark.sinks.tables.upsert_table`` on touched partitions instead.
@@ -28,9 +29,8 @@ def after_high_water(source: DataFrame, target: DataFrame, ts: str,
     An empty target (or a key missing from it) selects everything - unlike a
     plain comparison with a null maximum, which would select nothing.
     """
-    hw = high_water(target, ts, keys)
-    if keys:
-        j = source.join(hw, on=list(keys), how="left")
-    else:
-        j = source.crossJoin(F.broadcast(hw))
+    if not keys:
+        hw = high_water(target, ts).scalar()
+        return source.filter(hw.isNull() | (F.col(ts) > hw))
+    j = source.join(high_water(target, ts, keys), on=list(keys), how="left")
     return j.filter(F.col("__hw").isNull() | (F.col(ts) > F.col("__hw"))).drop("__hw")

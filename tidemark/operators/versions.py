@@ -59,10 +59,8 @@ def as_of(changelog: DataFrame, keys: list[str], version: int | None = None,
     ``delete`` removes the key.
     """
     log = changelog if version is None else changelog.filter(F.col("_version") <= F.lit(version))
-    barrier = log.filter(F.col("_op") == "overwrite").agg(F.max("_version").alias("__barrier"))
-    live = (log.crossJoin(F.broadcast(barrier))
-               .filter(F.col("__barrier").isNull() | (F.col("_version") >= F.col("__barrier")))
-               .drop("__barrier"))
+    barrier = log.filter(F.col("_op") == "overwrite").agg(F.max("_version")).scalar()
+    live = log.filter(barrier.isNull() | (F.col("_version") >= barrier))
     data_cols = columns or [c for c in changelog.columns if c not in keys and c not in META]
     last = keep_last(live, keys, ["_version", *tiebreak], columns=[*data_cols, "_op"])
     return last.filter(F.col("_op") != "delete").drop("_op")
@@ -83,16 +81,14 @@ def vacuum_rows(changelog: DataFrame, keys: list[str], now, retention_hours: flo
     if enforce and retention_hours < DEFAULT_RETENTION_HOURS:
         raise RetentionError(
             f"retention {retention_hours} h is below the {DEFAULT_RETENTION_HOURS} h floor")
-    base = changelog
     if isinstance(now, DataFrame):
-        # a data-derived "now": a one-row frame, broadcast next to every row
-        base = changelog.crossJoin(F.broadcast(now.select(F.col(now.columns[0]).alias("__now"))))
-        now = F.col("__now")
+        # a data-derived "now" (a one-row aggregate) as a scalar subquery
+        now = now.select(F.col(now.columns[0])).scalar()
     elif not hasattr(now, "_jc"):
         now = F.lit(now).cast("timestamp_ntz")
     limit = now - F.expr(f"make_dt_interval(0, 0, 0, {float(retention_hours) * 3600.0})")
     cols = list(changelog.columns)
-    recent = base.filter(F.col(ts) >= limit).select(*cols)
-    old = base.filter(F.col(ts) < limit).select(*cols)
+    recent = changelog.filter(F.col(ts) >= limit)
+    old = changelog.filter(F.col(ts) < limit)
     last_old = keep_last(old, keys, list(order), columns=[c for c in cols if c not in keys])
     return recent.unionByName(last_old.select(*cols))
