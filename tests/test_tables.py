@@ -135,11 +135,16 @@ def test_vacuum_job_and_run_all(spark, tmp_root):
         sink.append_version(spark, p, spark.createDataFrame([("a", v)], "k string, v double"), ts)
     res = maintenance.run_all(spark, [p, os.path.join(tmp_root, "nope")], maintenance.vacuum,
                               keys=["k"], now=d(2024, 1, 31))
-    assert res[p] == {"rows_before": 3, "rows_after": 2}
+    assert res[p] == {"rows_before": 3, "rows_after": 2, "min_readable_version": 1}
     assert res[os.path.join(tmp_root, "nope")] == {"error": "missing"}
     assert sorted(r.v for r in spark.read.parquet(p).collect()) == [2.0, 3.0]
     # the version index survives the rewrite
     assert sink.version_index(spark, p).count() == 3 and sink.next_version(spark, p) == 3
+    # as-of reads: exact from the horizon on, refused before it
+    assert [r.v for r in sink.read_as_of(spark, p, ["k"], 1).collect()] == [2.0]
+    assert [r.v for r in sink.read_as_of(spark, p, ["k"]).collect()] == [3.0]
+    with pytest.raises(sink.VersionVacuumedError):
+        sink.read_as_of(spark, p, ["k"], 0)
     bad = maintenance.run_all(spark, [p], maintenance.vacuum, keys=["k"], now=d(2024, 1, 31), retention_hours=1)
     assert "RetentionError" in bad[p]["error"]
 

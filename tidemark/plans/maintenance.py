@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.zorder import interleave_bits
 from tidemark.operators.versions import DEFAULT_RETENTION_HOURS, vacuum_rows
-from tidemark.sinks.tables import overwrite, staging_path, swap_in
+from tidemark.sinks.tables import VACUUM_MARK, overwrite, staging_path, swap_in, version_index
 from tidemark.session import path_exists
 
 DEFAULT_FILE_BYTES = 128 * 1024 * 1024
@@ -137,13 +137,29 @@ def zorder(spark: SparkSession, path: str, cols: list[str], target_file_bytes: i
 
 def vacuum(spark: SparkSession, path: str, keys: list[str], now, retention_hours: float = DEFAULT_RETENTION_HOURS,
            enforce: bool = True, partition_by: list[str] | None = None) -> dict:
-    """M3: drop changelog rows superseded before ``now - retention``."""
+    """M3: drop changelog rows superseded before ``now - retention``.
+
+    Afterwards the newest version committed before the limit is the oldest
+    one an as-of read can still reproduce; it is recorded in the table's
+    ``_vacuum`` mark and ``sinks.tables.read_as_of`` refuses older versions.
+    """
+    import datetime as _dt
     log = spark.read.option("mergeSchema", "true").parquet(path)
     kept = vacuum_rows(log, keys, now, retention_hours, enforce=enforce)
+    limit = (now if isinstance(now, _dt.datetime) else _dt.datetime.fromisoformat(str(now))) \
+        - _dt.timedelta(hours=retention_hours)
+    versions_src = version_index(spark, path)
+    if versions_src is None:
+        versions_src = log.select("_version", "_ts")
+    floor = versions_src.filter(F.col("_ts") < F.lit(limit)).agg(F.max("_version")).first()[0]
     before = log.count()
     overwrite(kept, path, partition_by)
+    if floor is not None:
+        spark.range(1).select(F.lit(int(floor)).cast("long").alias("min_readable_version"),
+                              F.lit(limit).cast("timestamp_ntz").alias("limit")) \
+            .write.mode("append").parquet(f"{path.rstrip('/')}/{VACUUM_MARK}")
     after = spark.read.parquet(path).count()
-    return {"rows_before": before, "rows_after": after}
+    return {"rows_before": before, "rows_after": after, "min_readable_version": floor}
 
 
 def run_all(spark: SparkSession, paths: list[str], job, **kwargs) -> dict:

@@ -52,11 +52,13 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     _, src = _fs(spark, staged)
     jvm = spark._jvm
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:8]}")
-    # a rewrite keeps the table's version index (a rename, no data copied)
-    idx = jvm.org.apache.hadoop.fs.Path(target, "_versions")
-    if fs.exists(idx):
-        if not fs.rename(idx, jvm.org.apache.hadoop.fs.Path(src, "_versions")):
-            raise OSError(f"could not carry the version index of {path}")
+    # a rewrite keeps the table's version index and vacuum mark (renames, no
+    # data copied)
+    for meta in ("_versions", "_vacuum"):
+        mp = jvm.org.apache.hadoop.fs.Path(target, meta)
+        if fs.exists(mp):
+            if not fs.rename(mp, jvm.org.apache.hadoop.fs.Path(src, meta)):
+                raise OSError(f"could not carry {meta} of {path}")
     if fs.exists(target):
         if not fs.rename(target, old):
             raise OSError(f"could not move {path} aside")
@@ -239,3 +241,29 @@ def append_version(spark: SparkSession, path: str, df: DataFrame, ts, op: str =
     entry.write.mode("append").parquet(f"{path.rstrip('/')}/{VERSION_INDEX}")
     append(with_version(df, v, ts, op), path, partition_by)
     return v
+
+
+VACUUM_MARK = "_vacuum"
+
+
+class VersionVacuumedError(ValueError):
+    """An as-of read asked for a version whose rows vacuum has removed."""
+
+
+def min_readable_version(spark: SparkSession, path: str) -> int | None:
+    """Oldest version an as-of read can still reproduce exactly (None: all)."""
+    mark = f"{path.rstrip('/')}/{VACUUM_MARK}"
+    if not path_exists(spark, mark):
+        return None
+    v = spark.read.parquet(mark).agg(F.max("min_readable_version")).first()[0]
+    return None if v is None else int(v)
+
+
+def read_as_of(spark: SparkSession, path: str, keys: list[str], version: int | None = None,
+               tiebreak: list[str] = ()) -> DataFrame:
+    """V3 on a changelog table, refusing versions older than the vacuum horizon."""
+    from tidemark.operators.versions import as_of
+    floor = min_readable_version(spark, path)
+    if version is not None and floor is not None and version < floor:
+        raise VersionVacuumedError(f"version {version} of {path} was vacuumed; oldest readable is {floor}")
+    return as_of(spark.read.option("mergeSchema", "true").parquet(path), keys, version, tiebreak)
