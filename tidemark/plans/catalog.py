@@ -356,6 +356,23 @@ def stream_latest_daily(spark, d):
     return spark.read.parquet(target).select("symbol", "day", "datetime", "event_id", "close")
 
 
+def stream_dedup_copies(spark, d):
+    """T2, watermark form: the events table delivered twice as one stream;
+    exact copies are dropped inside the watermark delay, the first copy of
+    each event is written (file sink in the shared folder) and read back."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.incremental import dedup_within_watermark, parquet_stream
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    src = f"{d}/events.parque[t]"
+    copies = parquet_stream(spark, src, schema).unionByName(parquet_stream(spark, src, schema))
+    unique = dedup_within_watermark(copies.select("event_id", "ts", "value"), ["event_id"], "ts", "1 day")
+    out, ckpt = scratch_path(spark, "stream-dedup"), scratch_path(spark, "stream-dedup-ckpt")
+    q = (unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+               .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(unique.schema).parquet(out)
+
+
 # ------------------------------------- strict flow end to end (Variant A)
 def daily_prices(spark, d) -> DataFrame:
     """Daily open/high/low/close/volume per event type from ``events``."""
@@ -417,4 +434,5 @@ QUERIES = {
     "quote_silver": quote_silver,
     "stream_latest_daily": stream_latest_daily,
     "gold_from_payloads": gold_from_payloads,
+    "stream_dedup_copies": stream_dedup_copies,
 }

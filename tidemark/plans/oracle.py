@@ -182,4 +182,5 @@ ORACLE_SQL = {
         where open is not null and high is not null and low is not null and close is not null
           and volume is not null and close > 0
         group by 1, 2""",
+    "stream_dedup_copies": "select event_id, ts, value from events",
 }
