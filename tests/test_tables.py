@@ -117,6 +117,16 @@ def test_compaction_preserves_rows_and_reduces_files(spark, tmp_root):
     res = maintenance.compact(spark, p)
     assert res["files_after"] < res["files_before"]
     assert _rows(spark.read.parquet(p)) == before
+    # a second run finds nothing fragmented and rewrites no partition
+    again = maintenance.compact(spark, p)
+    assert again["partitions_rewritten"] == 0 and again["files_after"] == res["files_after"]
+    # fragment one month only: only that month is rewritten
+    month = sorted(r[0] for r in spark.read.parquet(p).select("month").distinct().collect())[0]
+    one = o.filter(F.col("month") == month)
+    one.repartition(3).write.mode("append").partitionBy("month").parquet(p)
+    part = maintenance.compact(spark, p)
+    assert part["partitions_rewritten"] == 1
+    assert spark.read.parquet(p).count() == len(before) + one.count()
 
 
 def test_zorder_preserves_rows(spark, tmp_root):

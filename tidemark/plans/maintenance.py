@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.zorder import interleave_bits
 from tidemark.operators.versions import DEFAULT_RETENTION_HOURS, vacuum_rows
-from tidemark.sinks.tables import VACUUM_MARK, overwrite, staging_path, swap_in, version_index
+from tidemark.sinks.tables import (VACUUM_MARK, drop_staged, overwrite, overwrite_partitions, staging_path,
+                                   swap_in, version_index)
 from tidemark.session import path_exists
 
 DEFAULT_FILE_BYTES = 128 * 1024 * 1024
@@ -54,30 +55,67 @@ def _partition_cols(spark: SparkSession, path: str) -> list[str]:
         cur = subs[0].getPath()
 
 
+def _partition_stats(spark: SparkSession, path: str, col: str) -> list[tuple[str, int, int]]:
+    """(value, data files, bytes) per ``col=value`` folder - file-system
+    metadata only, one entry per partition."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if not st.isDirectory() or not name.startswith(f"{col}="):
+            continue
+        files, size = 0, 0
+        it = fs.listFiles(st.getPath(), True)
+        while it.hasNext():
+            f = it.next()
+            if f.getPath().getName().endswith(".parquet"):
+                files += 1
+                size += f.getLen()
+        out.append((name.split("=", 1)[1], files, size))
+    return out
+
+
 def compact(spark: SparkSession, path: str, target_file_bytes: int = DEFAULT_FILE_BYTES) -> dict:
     """M1: rewrite a table into files of about ``target_file_bytes``.
 
-    Unpartitioned: ``repartition(n)`` with n from the table size. Partitioned:
-    the REBALANCE hint on the partition columns with the advisory size set to
-    the target, so each partition value gets as many files as its size needs.
+    Partitioned on one column: only partitions holding more files than their
+    size needs are read and rewritten (REBALANCE with the advisory size set
+    to the target, staged, then swapped in by dynamic partition overwrite) -
+    cost follows the fragmented partitions, not the table. Unpartitioned
+    (or multi-level): ``repartition(n)`` with n from the table size, staged.
     """
     before = data_file_count(spark, path)
     size = table_bytes(spark, path)
     parts = _partition_cols(spark, path)
-    df = spark.read.option("mergeSchema", "true").parquet(path)
     prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
+    rewritten = None
     try:
-        if parts:
-            staged = staging_path(spark, "compact")
-            df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staged)
-            swap_in(spark, staged, path)
+        if len(parts) == 1:
+            col = parts[0]
+            stats = _partition_stats(spark, path, col)
+            todo = [v for v, files, b in stats if files > max(1, math.ceil(b / target_file_bytes))]
+            rewritten = len(todo)
+            if todo:
+                df = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(col).isin(todo))
+                staged = staging_path(spark, "compact")
+                df.hint("rebalance", col).write.partitionBy(col).parquet(staged)
+                overwrite_partitions(spark.read.option("mergeSchema", "true").parquet(staged), path, [col])
+                drop_staged(spark, staged)
         else:
-            n = max(1, math.ceil(size / target_file_bytes))
-            overwrite(df.repartition(n), path)
+            df = spark.read.option("mergeSchema", "true").parquet(path)
+            if parts:
+                staged = staging_path(spark, "compact")
+                df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staged)
+                swap_in(spark, staged, path)
+            else:
+                overwrite(df.repartition(max(1, math.ceil(size / target_file_bytes))), path)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
-    return {"files_before": before, "files_after": data_file_count(spark, path), "bytes": size}
+    return {"files_before": before, "files_after": data_file_count(spark, path), "bytes": size,
+            "partitions_rewritten": rewritten}
 
 
 def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
