@@ -63,6 +63,12 @@ def test_strict_flow(spark, tmp_root):
     land_dir = os.path.join(tmp_root, "series")
     q_dir = os.path.join(tmp_root, "quotes")
     landing.land(landing.series_docs(spark, prices), land_dir)
+    # a rate-limit notice and a document with a bad date land as well
+    with open(os.path.join(land_dir, "notice.json"), "w") as fh:
+        json.dump({"Information": "rate limit reached"}, fh)
+    with open(os.path.join(land_dir, "bad-date.json"), "w") as fh:
+        json.dump({"Meta Data": {"2. Digital Currency Code": "BTC", "4. Market Code": "USD"},
+                   "Time Series (Digital Currency Daily)": {"2024-02-30": {"4. close": "1"}}}, fh)
     _land_quotes(q_dir)
     lake = Lake(os.path.join(tmp_root, "lake"))
     run_strict(spark, lake, land_dir, q_dir)
@@ -73,6 +79,11 @@ def test_strict_flow(spark, tmp_root):
     assert gold.count() == prices.select("symbol", F.date_format("day", "yyyy-MM")).distinct().count()
     fx = spark.read.parquet(lake.table("gold", "exchange_rate_latest")).collect()
     assert len(fx) == 1 and fx[0].last_refreshed == "2025-12-07 02:45:58"
+    # both bad inputs are quarantined (twice: the flow ran twice), none loaded
+    notices = spark.read.parquet(lake.table("quarantine", "series_payloads")).collect()
+    assert {r.reason for r in notices} == {"no_time_series"} and len(notices) == 2
+    bad = spark.read.parquet(lake.table("quarantine", "crypto_daily")).collect()
+    assert len(bad) == 2 and all(r.datetime is None for r in bad)
 
 
 def test_late_rows_and_corrections_reach_silver_and_gold(spark, tmp_root):

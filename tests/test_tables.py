@@ -79,8 +79,11 @@ def test_upsert_keep_last_source_and_null_keys(spark, tmp_root):
     d = dt.datetime(2024, 1, 1)
     src = spark.createDataFrame([(1, d, 1.0, 1), (1, d, 2.0, 2), (None, d, 9.0, 1)],
                                 "k long, datetime timestamp_ntz, v double, seq int")
-    sink.upsert_table(spark, p, src, ["k"], order=["seq"])
+    q = os.path.join(tmp_root, "rejects")
+    m = sink.upsert_table(spark, p, src, ["k"], order=["seq"], rejects_path=q)
     assert _rows(spark.read.parquet(p).select("k", "v")) == [(1, 2.0)]
+    # the null-key row is quarantined, not loaded and not silently lost
+    assert m["rejected"] == 1 and _rows(spark.read.parquet(q).select("k", "v")) == [(None, 9.0)]
 
 
 def test_publish_by_key_idempotent(spark, tmp_root):

@@ -45,8 +45,12 @@ class Lake:
         return f"{self.root.rstrip('/')}/{tier}/{name}"
 
 
-def _series(spark: SparkSession, landing: str) -> DataFrame:
+def _series(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
+    """Series rows of the landed documents; documents that are not series
+    (empty, not JSON, a rate-limit notice) go to the quarantine (S4)."""
     docs = payload.read_landed(spark, landing)
+    rejects = payload.series_rejects(docs, passthrough=["file"])
+    sink.append(rejects, lake.table("quarantine", "series_payloads"))
     rows = payload.series_rows(docs, meta=SERIES_META)
     return rows.withColumn("month", month_str("datetime"))
 
@@ -59,9 +63,9 @@ def _quotes(spark: SparkSession, landing: str) -> DataFrame:
 def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landing: str | None = None) -> dict:
     out: dict = {}
     bronze = lake.table("bronze", "crypto_daily")
-    rows = _series(spark, series_landing)
-    out["bronze"] = sink.upsert_table(spark, bronze, quality.drop_null_subset(rows, KEYS),
-                                      KEYS + ["datetime"], order=None)
+    rows = _series(spark, lake, series_landing)
+    out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"], order=None,
+                                      rejects_path=lake.table("quarantine", "crypto_daily"))
 
     silver = lake.table("silver", "crypto_daily_clean")
     b = read_table(spark, bronze)
@@ -95,13 +99,15 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
     """Bronze step of the incremental flow."""
     out: dict = {}
     bronze = lake.table("bronze", "digital_currency_daily")
-    rows = _series(spark, series_landing).withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-    rows = quality.keep_positive(quality.drop_null_subset(rows, ["datetime", "close"]), "close")
-    rows = quality.drop_null_subset(rows, KEYS)
+    rows = _series(spark, lake, series_landing).withColumn(
+        "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+    rows = quality.keep_positive(quality.drop_null_subset(rows, ["close"]), "close")
     if not path_exists(spark, bronze):
         quality.enforce_checks(rows, PRICE_RULES)
+    # rows without a date or series key are quarantined by the upsert
     out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"],
-                                      order=["ingestion_timestamp"])
+                                      order=["ingestion_timestamp"],
+                                      rejects_path=lake.table("quarantine", "digital_currency_daily"))
     if quote_landing:
         fx = _quotes(spark, quote_landing).withColumn(
             "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_str
 from tidemark.operators.dedup import keep_last
-from tidemark.operators.upsert import assert_unique_keys, flagged_merge, kind_counts, reject_null_keys
+from tidemark.operators.upsert import assert_unique_keys, flagged_merge, kind_counts
 from tidemark.session import checkpoint_root, path_exists
 
 
@@ -126,10 +126,12 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> N
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  partition_col: str = "month", order: list[str] | None = None,
-                 ts_col: str | None = "datetime") -> dict:
+                 ts_col: str | None = "datetime", rejects_path: str | None = None) -> dict:
     """K5 + K6 + A4: merge ``source`` into the table at ``path`` by ``keys``.
 
-    * null keys are rejected (they would never match, N8);
+    * rows with a null key never match (N8) and would be inserted again on
+      every run: they are kept out, counted as ``rejected`` and, with
+      ``rejects_path``, appended there (quarantine, N4);
     * a repeated source key keeps its last row by ``order``, or fails if no
       order is given;
     * ``partition_col`` (default ``month`` of ``ts_col``) must be a function
@@ -139,24 +141,37 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
       partition overwrite.
 
     Returns real counts: ``inserted``, ``updated``, ``kept`` (rows of
-    touched partitions left as they were), ``created`` (table was new).
+    touched partitions left as they were), ``rejected``, ``created``.
     """
     keys = list(keys)
-    src = reject_null_keys(source, keys)
+    src = source
     if partition_col not in src.columns:
         src = src.withColumn(partition_col, month_str(ts_col))
-    if order:
-        src = keep_last(src, keys, order)
 
-    # Stage the (deduplicated) increment once: later passes - the emptiness
-    # test, the partition list, the merge - read it back instead of
+    # Stage the increment once: later passes - the reject split, the
+    # emptiness test, the partition list, the merge - read it back instead of
     # recomputing its lineage (and survive the loss of executors).
+    raw_path = staging_path(spark, "upsert-raw")
+    src.write.parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
+    bad_key = None
+    for k in keys:
+        c = F.col(k).isNull()
+        bad_key = c if bad_key is None else bad_key | c
+    rejected = raw.filter(bad_key)
+    n_rejected = rejected.count()
+    if n_rejected and rejects_path:
+        append(rejected, rejects_path)
+    src = raw.filter(~bad_key)
+    if order:
+        src = keep_last(src, keys, order)
     src_path = staging_path(spark, "upsert-src")
     src.write.parquet(src_path)
     src = spark.read.parquet(src_path)
+    drop_staged(spark, raw_path)
     if not order:
         assert_unique_keys(src, keys)
-    zero = {"inserted": 0, "updated": 0, "kept": 0}
+    zero = {"inserted": 0, "updated": 0, "kept": 0, "rejected": n_rejected}
 
     if not path_exists(spark, path):
         append(src, path, [partition_col])
@@ -174,7 +189,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     staged = staging_path(spark, "upsert")
     append(flagged_merge(target, src, keys), staged, [partition_col])
     merged = spark.read.option("mergeSchema", "true").parquet(staged)
-    metrics = merged.agg(*kind_counts()).first().asDict()
+    metrics = {**merged.agg(*kind_counts()).first().asDict(), "rejected": n_rejected}
     overwrite_partitions(merged.drop("__kind"), path, [partition_col])
     drop_staged(spark, src_path, staged)
     metrics["created"] = False
