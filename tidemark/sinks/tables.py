@@ -53,14 +53,22 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     jvm = spark._jvm
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:8]}")
     # a rewrite keeps the table's version index and vacuum mark (renames, no
-    # data copied)
+    # data copied); on any failure they go back to the live table
+    moved = []
     for meta in ("_versions", "_vacuum"):
         mp = jvm.org.apache.hadoop.fs.Path(target, meta)
         if fs.exists(mp):
             if not fs.rename(mp, jvm.org.apache.hadoop.fs.Path(src, meta)):
                 raise OSError(f"could not carry {meta} of {path}")
+            moved.append(meta)
+
+    def restore_meta():
+        for meta in moved:
+            fs.rename(jvm.org.apache.hadoop.fs.Path(src, meta), jvm.org.apache.hadoop.fs.Path(target, meta))
+
     if fs.exists(target):
         if not fs.rename(target, old):
+            restore_meta()
             raise OSError(f"could not move {path} aside")
     parent = target.getParent()
     if parent is not None and not fs.exists(parent):
@@ -68,6 +76,7 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     if not fs.rename(src, target):
         if fs.exists(old):
             fs.rename(old, target)
+            restore_meta()
         raise OSError(f"could not publish {staged} as {path}")
     if fs.exists(old):
         fs.delete(old, True)
