@@ -122,3 +122,18 @@ def test_late_rows_and_corrections_reach_silver_and_gold(spark, tmp_root):
     # bronze of this flow drops rows without a close (Q3), silver keeps the rest
     assert silver.count() == prices.filter(F.col("close").isNotNull()).count()
     assert silver.filter(F.col("close").isNull() | F.col("open").isNull()).count() == 0
+
+
+def test_jobs_cli_and_table_discovery(spark, tmp_root):
+    from tidemark import jobs
+    from tidemark.plans import maintenance
+    prices = landing.daily_prices(spark, SF_SMALL)
+    land_dir = os.path.join(tmp_root, "series")
+    landing.land(landing.series_docs(spark, prices), land_dir)
+    lake = os.path.join(tmp_root, "lake")
+    jobs.main(["--master", "local[2]", "strict", "--lake", lake, "--series", land_dir])
+    found = [t.split("/lake/")[-1] for t in maintenance.find_tables(spark, lake)]
+    assert "bronze/crypto_daily" in found and "gold/crypto_monthly_summary" in found
+    assert "silver/crypto_daily_clean" in found
+    res = jobs.main(["--master", "local[2]", "compact", "--lake", lake, "--file-mb", "1"])
+    assert all("error" not in r for r in res.values()), res

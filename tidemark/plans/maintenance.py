@@ -200,6 +200,34 @@ def vacuum(spark: SparkSession, path: str, keys: list[str], now, retention_hours
     return {"rows_before": before, "rows_after": after, "min_readable_version": floor}
 
 
+def find_tables(spark: SparkSession, root: str, max_depth: int = 4) -> list[str]:
+    """Table folders under ``root`` (file-system listing, no data read): a
+    folder is a table when it holds Parquet files or ``col=value`` folders
+    directly. Hidden folders (``_``/``.``) and staging leftovers are skipped."""
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: list[str] = []
+
+    def walk(p, depth):
+        entries = fs.listStatus(p)
+        names = [e.getPath().getName() for e in entries]
+        if any(n.endswith(".parquet") for n in names) or \
+                any(e.isDirectory() and "=" in e.getPath().getName() for e in entries):
+            found.append(p.toString())
+            return
+        if depth >= max_depth:
+            return
+        for e in entries:
+            n = e.getPath().getName()
+            if e.isDirectory() and not n.startswith(("_", ".")) and ".__old-" not in n:
+                walk(e.getPath(), depth + 1)
+
+    if fs.exists(top):
+        walk(top, 0)
+    return sorted(found)
+
+
 def run_all(spark: SparkSession, paths: list[str], job, **kwargs) -> dict:
     """Apply ``job(spark, path, **kwargs)`` to each table; one failure does
     not stop the rest. Returns {path: result or {"error": text}}."""
