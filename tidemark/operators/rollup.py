@@ -45,6 +45,23 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str],
     return df.groupBy(*keys).agg(s).select(*keys, *cols)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows, as a DataFrame (limit is the feature)."""
+def preview(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows, as a DataFrame (the limit is the feature).
+
+    With ``order`` the rows are the first in that order (a top-k: each task
+    keeps its first ``n``, one merge), so the preview is reproducible.
+    """
+    if order:
+        return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
     return df.limit(n)
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """A3: one row per named frame with its row count (one aggregation job
+    per frame, each partially counted per task)."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n")
+             for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -373,6 +373,15 @@ def stream_dedup_copies(spark, d):
     return spark.read.schema(unique.schema).parquet(out)
 
 
+# ---------------------------------------------------- preview, counts
+def preview_rows(spark, d):
+    return rollup.preview(_t(spark, d, "events").select("event_id", "ts", "value"), 5, ["ts", "event_id"])
+
+
+def row_counts(spark, d):
+    return rollup.row_counts({t: _t(spark, d, t) for t in ("orders", "lineitem", "events", "customer")})
+
+
 # ------------------------------------- strict flow end to end (Variant A)
 def daily_prices(spark, d) -> DataFrame:
     """Daily open/high/low/close/volume per event type from ``events``."""
@@ -435,4 +444,6 @@ QUERIES = {
     "stream_latest_daily": stream_latest_daily,
     "gold_from_payloads": gold_from_payloads,
     "stream_dedup_copies": stream_dedup_copies,
+    "preview_rows": preview_rows,
+    "row_counts": row_counts,
 }

@@ -183,4 +183,10 @@ ORACLE_SQL = {
           and volume is not null and close > 0
         group by 1, 2""",
     "stream_dedup_copies": "select event_id, ts, value from events",
+    "preview_rows": "select event_id, ts, value from events order by ts, event_id limit 5",
+    "row_counts": """
+        select 'orders' as "table", count(*) as n from orders
+        union all select 'lineitem', count(*) from lineitem
+        union all select 'events', count(*) from events
+        union all select 'customer', count(*) from customer""",
 }
