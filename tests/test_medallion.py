@@ -137,3 +137,34 @@ def test_jobs_cli_and_table_discovery(spark, tmp_root):
     assert "silver/crypto_daily_clean" in found
     res = jobs.main(["--master", "local[2]", "compact", "--lake", lake, "--file-mb", "1"])
     assert all("error" not in r for r in res.values()), res
+
+
+def test_late_correction_refills_later_rows(spark, tmp_root):
+    from tidemark.plans.medallion import ingest, transform
+    prices = landing.daily_prices(spark, SF_SMALL)
+    # day 14 has no open: it is filled from day 13
+    prices = prices.withColumn("open", F.when(F.dayofmonth("day") == 14, F.lit(None)).otherwise(F.col("open")))
+    first = prices.filter(F.col("day") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    # a later delivery corrects day 13 only
+    fix = prices.filter(F.dayofmonth("day") == 13).withColumn("open", F.col("open") + 100)
+    d1, d2 = os.path.join(tmp_root, "d1"), os.path.join(tmp_root, "d2")
+    landing.land(landing.series_docs(spark, first), d1)
+    landing.land(landing.series_docs(spark, fix), d2)
+    t1, t2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
+
+    inc = Lake(os.path.join(tmp_root, "inc"))
+    ingest(spark, inc, d1, None, t1)
+    transform(spark, inc)
+    ingest(spark, inc, d2, None, t2)
+    transform(spark, inc)
+    once = Lake(os.path.join(tmp_root, "once"))
+    ingest(spark, once, d1, None, t1)
+    ingest(spark, once, d2, None, t2)
+    transform(spark, once)
+
+    silver = lambda lk: spark.read.parquet(lk.table("silver", "digital_currency_daily"))
+    day14 = {r.symbol: r.open for r in silver(inc).filter(F.dayofmonth("datetime") == 14).collect()}
+    day13 = {r.symbol: r.open for r in silver(inc).filter(F.dayofmonth("datetime") == 13).collect()}
+    assert day14 == day13                     # refilled from the corrected day 13
+    for tier, name in (("silver", "digital_currency_daily"), ("gold", "crypto_monthly_summary")):
+        assert _snapshot(spark, inc.table(tier, name)) == _snapshot(spark, once.table(tier, name))

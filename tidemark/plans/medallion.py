@@ -181,6 +181,16 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     wm = read_first(spark, [wm_path])
     inc = bronze if wm is None else incremental.after_high_water(
         bronze, wm.select(F.col("ingested_upto").alias("ingestion_timestamp")), "ingestion_timestamp")
+    last = read_first(spark, [last_path])
+    if last is not None:
+        # a key that got rows at or before its last silver date is "late":
+        # its bronze rows from the first late date on are processed again,
+        # so rows that were filled from older values are filled anew
+        first_new = inc.groupBy(*KEYS).agg(F.min("datetime").alias("__from"))
+        late = (first_new.join(last.select(*KEYS, F.col("datetime").alias("__last")), on=KEYS, how="inner")
+                         .filter(F.col("__from") <= F.col("__last")).select(*KEYS, "__from"))
+        suffix = bronze.join(late, on=KEYS, how="inner").filter(F.col("datetime") >= F.col("__from")).drop("__from")
+        inc = inc.unionByName(suffix)
     inc = normalize_columns(inc)
     nums = [c for c in numeric_columns(inc.columns) if c not in KEYS]
     inc = coerce_columns(inc, numeric=nums, datetime={"datetime": None})
