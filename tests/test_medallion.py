@@ -168,3 +168,22 @@ def test_late_correction_refills_later_rows(spark, tmp_root):
     assert day14 == day13                     # refilled from the corrected day 13
     for tier, name in (("silver", "digital_currency_daily"), ("gold", "crypto_monthly_summary")):
         assert _snapshot(spark, inc.table(tier, name)) == _snapshot(spark, once.table(tier, name))
+
+
+def test_new_payload_field_becomes_a_column(spark, tmp_root):
+    prices = landing.daily_prices(spark, SF_SMALL)
+    d1, d2 = os.path.join(tmp_root, "d1"), os.path.join(tmp_root, "d2")
+    first = prices.filter(F.col("day") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    later = prices.filter(F.col("day") >= F.lit("2024-01-20").cast("timestamp_ntz")) \
+                  .withColumn("cap", F.col("close") * 10)
+    landing.land(landing.series_docs(spark, first), d1)
+    fields = dict(landing.FIELDS, **{"6. market cap (USD)": "cap"})
+    from tidemark.sources.payload import to_series_documents
+    landing.land(to_series_documents(later, "symbol", "day", fields, market="market"), d2)
+    lake = Lake(os.path.join(tmp_root, "lake"))
+    run_incremental(spark, lake, d1, None, dt.datetime(2024, 2, 1))
+    run_incremental(spark, lake, d2, None, dt.datetime(2024, 2, 2))
+    silver = spark.read.option("mergeSchema", "true").parquet(lake.table("silver", "digital_currency_daily"))
+    assert "market_cap" in silver.columns
+    assert silver.filter("market_cap is not null").count() == later.count()
+    assert silver.count() == prices.count()

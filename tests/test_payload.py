@@ -92,3 +92,10 @@ def test_read_landed_json_lines(spark, tmp_root):
     assert raw.count() == 2
     assert payload.series_rows(raw).count() == 3
     assert [r.reason for r in payload.series_rejects(raw).collect()] == ["no_time_series"]
+
+
+def test_discovered_fields(spark):
+    df = _docs(spark, [SERIES_DOC])
+    rows = payload.series_rows(df, fields="discover")
+    assert rows.columns == ["datetime", "open", "high", "low", "close", "volume", "close_1", "date"]
+    assert rows.filter("date = '2025-10-30'").first().close_1 == 6.0

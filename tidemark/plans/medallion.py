@@ -51,7 +51,9 @@ def _series(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
     docs = payload.read_landed(spark, landing)
     rejects = payload.series_rejects(docs, passthrough=["file"])
     sink.append(rejects, lake.table("quarantine", "series_payloads"))
-    rows = payload.series_rows(docs, meta=SERIES_META)
+    # every field the documents carry becomes a column, as landed; a new field
+    # reaches the tables through their schema-merging writes
+    rows = payload.series_rows(docs, fields="discover", meta=SERIES_META)
     return rows.withColumn("month", month_str("datetime"))
 
 

@@ -80,6 +80,10 @@ def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
                 passthrough: list[str] = ()) -> DataFrame:
     """S1 + P1 + P3 + Q6 + Q7 + P10: one row per (document, date).
 
+    ``fields``: the cleaned field names to project as numbers, or
+    ``"discover"`` to take every field the documents carry (one aggregation
+    collects the distinct names - bounded by the number of names, not rows;
+    the usual price fields first, others by name).
     ``meta`` maps output column -> cleaned ``Meta Data`` field name (e.g.
     ``{"symbol": "digital_currency_code"}``) to carry series keys onto rows.
     A document without a ``Time Series*`` object yields no rows (its series
@@ -102,6 +106,9 @@ def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
     exploded = d.select(*keep, *meta_cols, F.explode_outer(F.col("_series")).alias("_date_key", "_raw_fields")) \
                 .filter(F.col("_raw_fields").isNotNull())
     named = _with_renamed_map(exploded, "_raw_fields", series_field_expr, "_fields")
+    if fields == "discover":
+        found = [r[0] for r in named.select(F.explode(F.map_keys("_fields"))).distinct().collect()]
+        fields = [f for f in SERIES_FIELDS if f in found] + sorted(f for f in found if f not in SERIES_FIELDS)
     out = [F.col(p) for p in keep + meta_cols]
     out.append(to_datetime_fixed("_date_key", "yyyy-MM-dd").alias("datetime"))
     out += [to_double(F.element_at(F.col("_fields"), f)).alias(f) for f in fields]
