@@ -49,10 +49,13 @@ def _with_renamed_map(df: DataFrame, col: str, rule, out: str) -> DataFrame:
     names, counts = f"{out}__names", f"{out}__counts"
     df = df.withColumn(names, F.transform(F.map_keys(F.col(col)), rule))
     n = F.col(names)
-    df = df.withColumn(counts, F.transform(
-        n, lambda x, i: F.size(F.filter(F.slice(n, 1, i), lambda y: y == x))))
-    unique = F.zip_with(n, F.col(counts), lambda x, c: F.when(c == 0, x).otherwise(
+    # repeat counts only where a name repeats (rare); the check is codegen'd
+    has_repeats = F.size(F.array_distinct(n)) < F.size(n)
+    df = df.withColumn(counts, F.when(has_repeats, F.transform(
+        n, lambda x, i: F.size(F.filter(F.slice(n, 1, i), lambda y: y == x)))))
+    suffixed = F.zip_with(n, F.col(counts), lambda x, c: F.when(c == 0, x).otherwise(
         F.concat(x, F.lit("_"), c.cast("string"))))
+    unique = F.when(F.col(counts).isNull(), n).otherwise(suffixed)
     df = df.withColumn(out, F.map_from_arrays(unique, F.map_values(F.col(col))))
     return df.drop(names, counts)
 
