@@ -34,7 +34,27 @@ from tidemark.session import path_exists
 
 KEYS = ["symbol", "market"]
 SERIES_META = {"symbol": "digital_currency_code", "market": "market_code"}
+
+# The price check constraint, and the (tier, table) names of the
+# two flows as the pipeline names them. Quarantine and state tables are this
+# library's own.
 PRICE_RULES = {"positive_close": "close > 0"}
+STRICT_TABLES = {
+    "bronze_series": ("bronze", "crypto_daily"),
+    "bronze_quotes": ("bronze", "exchange_rate"),
+    "silver_series": ("silver", "crypto_daily_clean"),
+    "silver_quotes": ("silver", "exchange_rate_clean"),
+    "gold_monthly": ("gold", "crypto_monthly_summary"),
+    "gold_quotes": ("gold", "exchange_rate_latest"),
+}
+INCREMENTAL_TABLES = {
+    "bronze_series": ("bronze", "digital_currency_daily"),
+    "bronze_quotes": ("bronze", "currency_exchange_rate"),
+    "silver_series": ("silver", "digital_currency_daily"),
+    "silver_quotes": ("silver", "currency_exchange_rate"),
+    "gold_monthly": ("gold", "crypto_monthly_summary"),
+    "gold_quotes": ("gold", "currency_exchange_rate_latest"),
+}
 
 
 @dataclass
@@ -64,26 +84,26 @@ def _quotes(spark: SparkSession, landing: str) -> DataFrame:
 # ------------------------------------------------------------ variant A
 def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landing: str | None = None) -> dict:
     out: dict = {}
-    bronze = lake.table("bronze", "crypto_daily")
+    bronze = lake.table(*STRICT_TABLES["bronze_series"])
     rows = _series(spark, lake, series_landing)
     out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"], order=None,
                                       rejects_path=lake.table("quarantine", "crypto_daily"))
 
-    silver = lake.table("silver", "crypto_daily_clean")
+    silver = lake.table(*STRICT_TABLES["silver_series"])
     b = read_table(spark, bronze)
     clean = quality.keep_positive(quality.drop_any_null(b), "close")
     sink.overwrite_merge_schema(clean, silver, ["month"], sort_by=KEYS + ["datetime"])
 
-    gold = lake.table("gold", "crypto_monthly_summary")
+    gold = lake.table(*STRICT_TABLES["gold_monthly"])
     s = read_table(spark, silver)
     sink.overwrite_merge_schema(rollup.monthly_summary(s, ts="month", keys=KEYS), gold)
 
     if quote_landing:
-        fx_b = lake.table("bronze", "exchange_rate")
+        fx_b = lake.table(*STRICT_TABLES["bronze_quotes"])
         sink.overwrite(_quotes(spark, quote_landing), fx_b)
-        fx_s = lake.table("silver", "exchange_rate_clean")
+        fx_s = lake.table(*STRICT_TABLES["silver_quotes"])
         sink.overwrite_merge_schema(drop_repeated_columns(read_table(spark, fx_b)), fx_s)
-        fx_g = lake.table("gold", "exchange_rate_latest")
+        fx_g = lake.table(*STRICT_TABLES["gold_quotes"])
         q = read_table(spark, fx_s).withColumn(
             "__ts", F.try_to_timestamp("last_refreshed", F.lit("yyyy-MM-dd HH:mm:ss")))
         latest = rollup.latest_per_key(q, ["from_currency_code", "to_currency_code"],
@@ -100,7 +120,7 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
            run_ts: _dt.datetime) -> dict:
     """Bronze step of the incremental flow."""
     out: dict = {}
-    bronze = lake.table("bronze", "digital_currency_daily")
+    bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
     rows = _series(spark, lake, series_landing).withColumn(
         "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
     rows = quality.keep_positive(quality.drop_null_subset(rows, ["close"]), "close")
@@ -113,13 +133,13 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
     if quote_landing:
         fx = _quotes(spark, quote_landing).withColumn(
             "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-        sink.overwrite(fx, lake.table("bronze", "currency_exchange_rate"))
+        sink.overwrite(fx, lake.table(*INCREMENTAL_TABLES["bronze_quotes"]))
     return out
 
 
 def _fx_rate(spark: SparkSession, lake: Lake) -> DataFrame:
     """J2 rate: the last non-null value of the first rate-like column."""
-    fx = read_first(spark, [lake.table("bronze", "currency_exchange_rate")])
+    fx = read_first(spark, [lake.table(*INCREMENTAL_TABLES["bronze_quotes"])])
     if fx is None:
         return spark.range(1).select(F.lit(None).cast("double").alias("rate"))
     fx = normalize_columns(fx)
@@ -175,8 +195,8 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     """
     out: dict = {}
     staged: list[str] = []
-    bronze = read_table(spark, lake.table("bronze", "digital_currency_daily"))
-    silver_path = lake.table("silver", "digital_currency_daily")
+    bronze = read_table(spark, lake.table(*INCREMENTAL_TABLES["bronze_series"]))
+    silver_path = lake.table(*INCREMENTAL_TABLES["silver_series"])
     wm_path = lake.table("state", "silver_watermark")
     last_path = lake.table("state", "silver_last_row")
 
@@ -229,21 +249,21 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
         s = read_table(spark, silver_path)
         touched = s.join(rows.select("month").distinct(), on="month", how="left_semi")
         gold = rollup.monthly_summary(touched, ts="month", keys=KEYS)
-        out["gold"] = sink.upsert_table(spark, lake.table("gold", "crypto_monthly_summary"), gold,
+        out["gold"] = sink.upsert_table(spark, lake.table(*INCREMENTAL_TABLES["gold_monthly"]), gold,
                                         KEYS + ["month"], partition_col="month")
     else:
         out["silver"] = {"inserted": 0, "updated": 0, "kept": 0, "created": False}
 
-    fx_b = read_first(spark, [lake.table("bronze", "currency_exchange_rate")])
+    fx_b = read_first(spark, [lake.table(*INCREMENTAL_TABLES["bronze_quotes"])])
     if fx_b is not None:
         fx = normalize_columns(fx_b)
         fx = dedup.keep_last(fx, ["from_currency_code", "to_currency_code", "last_refreshed"],
                              ["ingestion_timestamp"])
-        sink.publish_by_key(spark, lake.table("silver", "currency_exchange_rate"), fx,
+        sink.publish_by_key(spark, lake.table(*INCREMENTAL_TABLES["silver_quotes"]), fx,
                             ["from_currency_code", "to_currency_code", "last_refreshed"])
         latest = dedup.keep_last(fx, ["from_currency_code", "to_currency_code"],
                                  ["last_refreshed", "ingestion_timestamp"])
-        sink.publish_by_key(spark, lake.table("gold", "currency_exchange_rate_latest"), latest,
+        sink.publish_by_key(spark, lake.table(*INCREMENTAL_TABLES["gold_quotes"]), latest,
                             ["from_currency_code", "to_currency_code"])
     sink.drop_staged(spark, *staged)
     return out
