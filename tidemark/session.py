@@ -37,12 +37,15 @@ CLUSTER_CONF = {
 
 def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
+                  extra: dict | None = None, cluster: bool = False,
+                  event_log_dir: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings of ``REQUIRED_CONF``.
 
     ``shuffle_partitions`` is the initial partition count before AQE coalesces;
     on a cluster size it so a partition is ~128-256 MB at the largest stage
     (100 TB of shuffle input: ~400k-800k), and pass ``cluster=True``.
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    without the web UI, which stays off).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -54,6 +57,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
     })
     if cluster:
         conf.update(CLUSTER_CONF)
+    if event_log_dir:
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log_dir})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
