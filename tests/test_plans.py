@@ -56,3 +56,15 @@ def test_fill_shuffles_rows_once_without_broadcast(spark):
     # key; a null-safe join on raw columns would re-shuffle the rows
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(coalesce(" not in plan
+
+
+def test_touched_months_prune_partitions(spark, tmp_root):
+    # gold recomputation reads silver joined (semi) with the increment's
+    # months: dynamic partition pruning limits the scan to those months
+    from pyspark.sql import functions as F
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    o.write.partitionBy("month").parquet(f"{tmp_root}/t")
+    s = spark.read.parquet(f"{tmp_root}/t")
+    inc = o.filter(F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz"))
+    touched = s.join(inc.select("month").distinct(), on="month", how="left_semi")
+    assert "dynamicpruningexpression" in _plan(touched.groupBy("month").count())
