@@ -163,3 +163,31 @@ def test_fill_null_key_is_its_own_series(spark):
     df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double")
     got = {r.id: r.v for r in fill.fill_gaps(df, ["v"], ["ts", "id"], keys=["k"], bucket="day").collect()}
     assert got == {1: 1.0, 2: 1.0, 3: 5.0, 4: 5.0, 5: 5.0}
+
+
+def test_enrich_by_key_per_pair_rates(spark):
+    df = spark.createDataFrame([("USD", 10.0), ("GBP", 20.0), ("JPY", 30.0)], "ccy string, close double")
+    rates = spark.createDataFrame([("USD", 0.5), ("GBP", 2.0)], "ccy string, r double")
+    got = {r.ccy: r.close_fx for r in enrich.enrich_by_key(df, rates, ["ccy"], "r").collect()}
+    assert got == {"USD": 5.0, "GBP": 40.0, "JPY": None}
+
+
+def test_keep_first_and_top_n(spark):
+    rows = _series(n=200, keys=4, seed=9, null_share=0)
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double")
+    got = sorted(tuple(r) for r in dedup.keep_first(df, ["k"], ["ts", "id"], columns=["id"]).collect())
+    pdf = pd.DataFrame(rows, columns=["id", "k", "ts", "v"]).sort_values(["ts", "id"])
+    expect = sorted((r.k, r.id) for r in pdf.drop_duplicates(subset=["k"], keep="first").itertuples())
+    assert got == expect
+    top = [r.id for r in rollup.latest_row(df, ["ts", "id"], n=3).collect()]
+    assert top == list(pdf.sort_values(["ts", "id"], ascending=False)["id"][:3])
+    first = [r.id for r in rollup.preview(df, 4, ["ts", "id"]).collect()]
+    assert first == list(pdf["id"][:4])
+
+
+def test_history_without_limit_and_row_counts(spark):
+    log = _changelog(spark)
+    h = versions.history(log).collect()
+    assert [r._version for r in h] == [4, 3, 2, 1, 0]
+    counts = {r.table: r.n for r in rollup.row_counts({"log": log, "two": log.limit(2)}).collect()}
+    assert counts == {"log": 6, "two": 2}
