@@ -17,6 +17,7 @@ Paths are given by a ``Lake`` (root folder); all keys are (symbol, market).
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,15 +67,8 @@ class Lake:
 
 
 def _series(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
-    """Series rows of the landed documents; documents that are not series
-    (empty, not JSON, a rate-limit notice) go to the quarantine (S4)."""
-    docs = payload.read_landed(spark, landing)
-    rejects = payload.series_rejects(docs, passthrough=["file"])
-    sink.append(rejects, lake.table("quarantine", "series_payloads"))
-    # every field the documents carry becomes a column, as landed; a new field
-    # reaches the tables through their schema-merging writes
-    rows = payload.series_rows(docs, fields="discover", meta=SERIES_META)
-    return rows.withColumn("month", month_str("datetime"))
+    """All landed documents of a folder as series rows (full rebuild)."""
+    return _series_rows(lake, payload.read_landed(spark, landing))
 
 
 def _quotes(spark: SparkSession, landing: str) -> DataFrame:
@@ -116,20 +110,52 @@ def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landi
 
 
 # ------------------------------------------------------------ variant B
+def _series_rows(lake: Lake, docs: DataFrame) -> DataFrame:
+    """Series rows of landed documents (``file``, ``raw``); documents that are
+    not series (empty, not JSON, a rate-limit notice) go to the quarantine (S4)."""
+    sink.append(payload.series_rejects(docs, passthrough=["file"]), lake.table("quarantine", "series_payloads"))
+    # every field the documents carry becomes a column, as landed; a new field
+    # reaches the tables through their schema-merging writes
+    rows = payload.series_rows(docs, fields="discover", meta=SERIES_META)
+    return rows.withColumn("month", month_str("datetime"))
+
+
 def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing: str | None,
-           run_ts: _dt.datetime) -> dict:
-    """Bronze step of the incremental flow."""
-    out: dict = {}
+           run_ts: _dt.datetime, whole_files: bool = True) -> dict:
+    """Bronze step of the incremental flow.
+
+    The landing folder is read as a stream with ``availableNow``: every
+    landed file is processed once (the file source's checkpoint, one per
+    landing folder, lives in the lake's state area), so a run's cost follows
+    what landed since the last run, not the folder's history. Each
+    micro-batch is parsed, checked and merged into bronze by key.
+    """
     bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
-    rows = _series(spark, lake, series_landing).withColumn(
-        "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-    rows = quality.keep_positive(quality.drop_null_subset(rows, ["close"]), "close")
-    if not path_exists(spark, bronze):
-        quality.enforce_checks(rows, PRICE_RULES)
-    # rows without a date or series key are quarantined by the upsert
-    out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"],
-                                      order=["ingestion_timestamp"],
-                                      rejects_path=lake.table("quarantine", "digital_currency_daily"))
+    tag = hashlib.sha1(series_landing.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = lake.table("state", f"_ingest-{tag}")
+    totals = {"inserted": 0, "updated": 0, "kept": 0, "rejected": 0, "created": False, "batches": 0}
+
+    def merge_batch(raw: DataFrame, epoch_id: int) -> None:
+        bs = raw.sparkSession
+        docs = raw.select(F.col("file"), F.col("value").alias("raw"))
+        rows = _series_rows(lake, docs).withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+        rows = quality.keep_positive(quality.drop_null_subset(rows, ["close"]), "close")
+        if not path_exists(bs, bronze):
+            quality.enforce_checks(rows, PRICE_RULES)
+        # rows without a date or series key are quarantined by the upsert
+        m = sink.upsert_table(bs, bronze, rows, KEYS + ["datetime"], order=["ingestion_timestamp"],
+                              rejects_path=lake.table("quarantine", "digital_currency_daily"))
+        for k in ("inserted", "updated", "kept", "rejected"):
+            totals[k] += m.get(k, 0)
+        totals["created"] = totals["created"] or m.get("created", False)
+        totals["batches"] += 1
+
+    stream = (spark.readStream.option("wholetext", "true" if whole_files else "false")
+                   .text(series_landing).select(F.col("_metadata.file_path").alias("file"), "value"))
+    q = (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out: dict = {"bronze": totals}
     if quote_landing:
         fx = _quotes(spark, quote_landing).withColumn(
             "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
