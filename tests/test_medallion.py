@@ -110,7 +110,7 @@ def test_late_rows_and_corrections_reach_silver_and_gold(spark, tmp_root):
     assert out["silver"]["updated"] > 0          # corrections merged, not dropped
 
     once = Lake(os.path.join(tmp_root, "once"))
-    ingest(spark, once, d1, None, t1)
+    ingest(spark, once, d1, None, t1, max_files_per_batch=2)   # several micro-batches
     ingest(spark, once, d2, None, t2)
     transform(spark, once)
 

@@ -121,14 +121,16 @@ def _series_rows(lake: Lake, docs: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing: str | None,
-           run_ts: _dt.datetime, whole_files: bool = True) -> dict:
+           run_ts: _dt.datetime, whole_files: bool = True, max_files_per_batch: int | None = None) -> dict:
     """Bronze step of the incremental flow.
 
     The landing folder is read as a stream with ``availableNow``: every
     landed file is processed once (the file source's checkpoint, one per
     landing folder, lives in the lake's state area), so a run's cost follows
     what landed since the last run, not the folder's history. Each
-    micro-batch is parsed, checked and merged into bronze by key.
+    micro-batch is parsed, checked and merged into bronze by key;
+    ``max_files_per_batch`` bounds a batch when a large backlog has landed
+    (``availableNow`` still processes all of it, in several batches).
     """
     bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
     tag = hashlib.sha1(series_landing.rstrip("/").encode()).hexdigest()[:16]
@@ -150,8 +152,10 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
         totals["created"] = totals["created"] or m.get("created", False)
         totals["batches"] += 1
 
-    stream = (spark.readStream.option("wholetext", "true" if whole_files else "false")
-                   .text(series_landing).select(F.col("_metadata.file_path").alias("file"), "value"))
+    reader = spark.readStream.option("wholetext", "true" if whole_files else "false")
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
+    stream = reader.text(series_landing).select(F.col("_metadata.file_path").alias("file"), "value")
     q = (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
                .trigger(availableNow=True).start())
     q.awaitTermination()
