@@ -241,8 +241,13 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
         first_new = inc.groupBy(*KEYS).agg(F.min("datetime").alias("__from"))
         late = (first_new.join(last.select(*KEYS, F.col("datetime").alias("__last")), on=KEYS, how="inner")
                          .filter(F.col("__from") <= F.col("__last")).select(*KEYS, "__from"))
-        suffix = bronze.join(late, on=KEYS, how="inner").filter(F.col("datetime") >= F.col("__from")).drop("__from")
-        inc = inc.unionByName(suffix)
+        earliest = late.agg(F.min("__from")).first()[0]
+        if earliest is not None:
+            # only bronze months from the earliest late date on are read
+            recent = bronze.filter(F.col("month") >= F.lit(earliest.strftime("%Y-%m")))
+            suffix = (recent.join(late, on=KEYS, how="inner")
+                            .filter(F.col("datetime") >= F.col("__from")).drop("__from"))
+            inc = inc.unionByName(suffix)
     inc = normalize_columns(inc)
     nums = [c for c in numeric_columns(inc.columns) if c not in KEYS]
     inc = coerce_columns(inc, numeric=nums, datetime={"datetime": None})
