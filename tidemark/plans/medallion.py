@@ -81,7 +81,8 @@ def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landi
     bronze = lake.table(*STRICT_TABLES["bronze_series"])
     rows = _series(spark, lake, series_landing)
     out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"], order=None,
-                                      rejects_path=lake.table("quarantine", "crypto_daily"))
+                                      rejects_path=lake.table("quarantine", "crypto_daily"),
+                                      sort_by=KEYS + ["datetime"])
 
     silver = lake.table(*STRICT_TABLES["silver_series"])
     b = read_table(spark, bronze)
@@ -146,7 +147,8 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
             quality.enforce_checks(rows, PRICE_RULES)
         # rows without a date or series key are quarantined by the upsert
         m = sink.upsert_table(bs, bronze, rows, KEYS + ["datetime"], order=["ingestion_timestamp"],
-                              rejects_path=lake.table("quarantine", "digital_currency_daily"))
+                              rejects_path=lake.table("quarantine", "digital_currency_daily"),
+                              sort_by=KEYS + ["datetime"])
         for k in ("inserted", "updated", "kept", "rejected"):
             totals[k] += m.get(k, 0)
         totals["created"] = totals["created"] or m.get("created", False)
@@ -265,7 +267,8 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
         rows = rows.withColumn("date", date_str("datetime")).withColumn("month", month_str("datetime"))
         rows = enrich.enrich_scalar(rows, _fx_rate(spark, lake), "rate", value_col="close", out_col="close_fx")
         rows = _stage(spark, rows, "silver-rows", staged)
-        out["silver"] = sink.upsert_table(spark, silver_path, rows, KEYS + ["datetime"], partition_col="month")
+        out["silver"] = sink.upsert_table(spark, silver_path, rows, KEYS + ["datetime"], partition_col="month",
+                                          sort_by=KEYS + ["datetime"])
 
         # state: last silver row per key, then the watermark (written last:
         # a failure before it makes the next run redo this increment, which
