@@ -137,6 +137,10 @@ def test_jobs_cli_and_table_discovery(spark, tmp_root):
     assert "silver/crypto_daily_clean" in found
     res = jobs.main(["--master", "local[2]", "compact", "--lake", lake, "--file-mb", "1"])
     assert all("error" not in r for r in res.values()), res
+    lake2 = os.path.join(tmp_root, "lake2")
+    out = jobs.main(["--master", "local[2]", "incremental", "--lake", lake2, "--series", land_dir,
+                     "--run-ts", "2024-02-01T00:00:00"])
+    assert out["bronze"]["inserted"] == prices.count() and out["silver"]["inserted"] == prices.count()
 
 
 def test_late_correction_refills_later_rows(spark, tmp_root):
