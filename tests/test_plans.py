@@ -39,11 +39,19 @@ def test_dedup_and_vacuum_pre_aggregate(spark):
         assert "partial_max" in _plan(C.QUERIES[q](spark, SF_SMALL)), q
 
 
-def test_scalar_values_are_subqueries_not_joins(spark):
+def test_single_values_without_joins(spark):
     for q in ("fx_scalar_enrich", "high_water", "asof_version", "vacuum_changelog"):
         plan = _plan(C.QUERIES[q](spark, SF_SMALL))
-        assert "Subquery" in plan, q
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, q
+    assert "Subquery" in _plan(C.QUERIES["fx_scalar_enrich"](spark, SF_SMALL))
+
+
+def test_high_water_and_retention_filters_reach_the_scan(spark):
+    # fetched single values become literals, which Parquet can use
+    hw = _plan(C.QUERIES["high_water"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in hw
+    vac = _plan(C.QUERIES["vacuum_changelog"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate," in vac and "LessThan(o_orderdate," in vac
 
 
 def test_fill_shuffles_rows_once_without_broadcast(spark):

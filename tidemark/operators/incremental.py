@@ -2,9 +2,9 @@
 
 The high-water mark is ``max(ts)`` of what is already loaded - a global (or
 per-key) aggregate with a bounded output (one value, or one row per key). The
-global case is a scalar subquery: computed once, then compared like a
-literal inside the scan's filter - no join. The per-key case is a left join
-that AQE broadcasts from the measured size.
+global value is fetched first and compared as a literal, so the filter is
+pushed into the source scan and older row groups are skipped - no join. The
+per-key case is a left join that AQE broadcasts from the measured size.
 
 Rows at or below the mark are *not* selected: late rows and corrections need
 ``tidemark.sinks.tables.upsert_table`` on touched partitions instead.
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import literal_of
+
 
 def high_water(target: DataFrame, ts: str, keys: list[str] = ()) -> DataFrame:
     """A2: ``max(ts)`` of the target, globally or per key."""
@@ -30,7 +32,7 @@ def after_high_water(source: DataFrame, target: DataFrame, ts: str,
     plain comparison with a null maximum, which would select nothing.
     """
     if not keys:
-        hw = high_water(target, ts).scalar()
-        return source.filter(hw.isNull() | (F.col(ts) > hw))
+        hw = literal_of(high_water(target, ts))
+        return source if hw is None else source.filter(F.col(ts) > hw)
     j = source.join(high_water(target, ts, keys), on=list(keys), how="left")
     return j.filter(F.col("__hw").isNull() | (F.col(ts) > F.col("__hw"))).drop("__hw")

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import literal_of
 from tidemark.operators.dedup import keep_last
 
 META = ("_version", "_ts", "_op")
@@ -59,8 +60,9 @@ def as_of(changelog: DataFrame, keys: list[str], version: int | None = None,
     ``delete`` removes the key.
     """
     log = changelog if version is None else changelog.filter(F.col("_version") <= F.lit(version))
-    barrier = log.filter(F.col("_op") == "overwrite").agg(F.max("_version")).scalar()
-    live = log.filter(barrier.isNull() | (F.col("_version") >= barrier))
+    # one value, fetched first: as a literal the filter reaches the scan
+    barrier = literal_of(log.filter(F.col("_op") == "overwrite").agg(F.max("_version")))
+    live = log if barrier is None else log.filter(F.col("_version") >= barrier)
     data_cols = columns or [c for c in changelog.columns if c not in keys and c not in META]
     last = keep_last(live, keys, ["_version", *tiebreak], columns=[*data_cols, "_op"])
     return last.filter(F.col("_op") != "delete").drop("_op")
@@ -82,8 +84,11 @@ def vacuum_rows(changelog: DataFrame, keys: list[str], now, retention_hours: flo
         raise RetentionError(
             f"retention {retention_hours} h is below the {DEFAULT_RETENTION_HOURS} h floor")
     if isinstance(now, DataFrame):
-        # a data-derived "now" (a one-row aggregate) as a scalar subquery
-        now = now.select(F.col(now.columns[0])).scalar()
+        # a data-derived "now" (a one-row aggregate), fetched as a literal so
+        # the retention filters are pushed into the scans
+        now = literal_of(now.select(F.col(now.columns[0])))
+        if now is None:
+            return changelog
     elif not hasattr(now, "_jc"):
         now = F.lit(now).cast("timestamp_ntz")
     limit = now - F.expr(f"make_dt_interval(0, 0, 0, {float(retention_hours) * 3600.0})")
