@@ -191,3 +191,9 @@ def test_history_without_limit_and_row_counts(spark):
     assert [r._version for r in h] == [4, 3, 2, 1, 0]
     counts = {r.table: r.n for r in rollup.row_counts({"log": log, "two": log.limit(2)}).collect()}
     assert counts == {"log": 6, "two": 2}
+
+
+def test_check_report_rule_names_with_quotes(spark):
+    df = spark.createDataFrame([(1, -1.0)], "id long, close double")
+    rep = quality.check_report(df, {"close's sign": "close > 0", "back\\slash": "id > 0"}).collect()
+    assert {r.rule: r.violations for r in rep} == {"close's sign": 1, "back\\slash": 0}

@@ -44,7 +44,10 @@ def check_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """
     aggs = [F.count_if(_violation(expr)).alias(f"v{i}") for i, expr in enumerate(rules.values())]
     counts = df.agg(*aggs)
-    pairs = ", ".join(f"'{name}', v{i}" for i, name in enumerate(rules))
+
+    def quoted(name: str) -> str:
+        return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    pairs = ", ".join(f"{quoted(name)}, v{i}" for i, name in enumerate(rules))
     return counts.selectExpr(f"stack({len(rules)}, {pairs}) as (rule, violations)")
 
 
