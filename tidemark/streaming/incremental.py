@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.dedup import keep_last
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import upsert_table
 from tidemark.sources.payload import series_rows
@@ -55,11 +54,9 @@ def incremental_upsert(spark: SparkSession, stream: DataFrame, target_path: str,
     metrics: list[dict] = []
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        b = batch
-        if order:
-            b = keep_last(b, keys, order)
-        m = upsert_table(batch.sparkSession, target_path, b, keys, partition_col=partition_col,
-                         order=None, ts_col=ts_col)
+        # keep-last inside the batch happens in the upsert
+        m = upsert_table(batch.sparkSession, target_path, batch, keys, partition_col=partition_col,
+                         order=order, ts_col=ts_col)
         m["batch"] = epoch_id
         metrics.append(m)
 
