@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +48,8 @@ PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 # The same pattern for the standard engine (twice as fast). Its classes agree with the
 # Unicode ones on the characters that _ODD lets through; other texts take the exact engine.
 _PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-_PLAIN = re.compile(_PLAIN_PATTERN)
+# one search over many chunks: a NUL stands between them and counts as the end of text
+_CHUNKS = re.compile(_PLAIN_PATTERN.replace(r"(?!\S)", r"(?![^\s\0])").replace(r"[^\s\w]", r"[^\s\w\0]") + r"|\0")
 _EXACT = regex.compile(PIECE_PATTERN)
 # texts that are split whole: other characters, or a space that no visible character follows
 _ODD = (r"[^\x01-\x1b\x20-\x{b1}\x{b4}-\x{b8}\x{ba}\x{bb}\x{bf}-\x{24f}\x{2010}-\x{2027}\x{2030}-\x{205e}]"
@@ -315,12 +316,9 @@ class Encoder:
             at = self._probe(key)
         return self.allowed[at]
 
-    def _block(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces of at most WIDE bytes, sorted by falling length: flat, counts."""
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        wide, n = int(size[0]), len(pieces)
-        text = np.zeros((n, wide), np.uint8)
-        text[np.arange(wide) < size[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+    def _block(self, text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of at most WIDE bytes, rows of ``text``, by falling size: flat, counts."""
+        wide, n = int(size[0]), len(size)
         last = np.full((wide + 1, n), -1, np.int64)
         node = np.zeros(n, np.int32)
         t = self.t
@@ -347,22 +345,28 @@ class Encoder:
             rows = rows[at[rows] > 0]
         return last.T[mark].astype(np.uint32), mark.sum(axis=1)
 
-    def _pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces: flat ids and where each piece's ids start (n + 1)."""
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        n = len(pieces)
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64, n + 1, 8 * pieces.offset)
+        data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+        size = np.diff(offsets)
         order = np.argsort(-size, kind="stable")
-        counts, flat, n_wide = np.zeros(len(pieces), np.int64), [], int((size > self.WIDE).sum())
+        counts, flat, n_wide = np.zeros(n, np.int64), [], int((size > self.WIDE).sum())
         for i in order[:n_wide]:
-            ids = self._one(pieces[i])
+            ids = self._one(data[offsets[i]:offsets[i + 1]].tobytes())
             flat.append(np.array(ids, np.uint32))
             counts[i] = len(ids)
-        for k in range(n_wide, len(pieces), self.BLOCK):
+        for k in range(n_wide, n, self.BLOCK):
             own = order[k:k + self.BLOCK]
-            ids, counts[own] = self._block([pieces[i] for i in own])
+            sizes = size[own]
+            text = np.zeros((len(own), int(sizes[0])), np.uint8)
+            text[np.arange(text.shape[1]) < sizes[:, None]] = data[_spread(offsets[own], sizes)]
+            ids, counts[own] = self._block(text, sizes)
             flat.append(ids)
         flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
         ends = np.cumsum(counts[order])
-        starts = np.empty(len(pieces), np.int64)
+        starts = np.empty(n, np.int64)
         starts[order] = ends - counts[order]
         return flat[_spread(starts, counts)], np.concatenate([[0], np.cumsum(counts)])
 
@@ -434,20 +438,30 @@ class Encoder:
         split = pc.split_pattern(plain, "\0")
         n_chunks = np.diff(split.offsets.to_numpy())
         coded = split.flatten().dictionary_encode()
-        index, chunks = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        pieces = [_PLAIN.findall(c) for c in chunks]
-        if odd.any():                   # one more chunk for each odd text
+        index = coded.indices.to_numpy().astype(np.int64)
+        together = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.string())), "\0")
+        found = _CHUNKS.findall(together[0].as_py())
+        if len(coded.dictionary):
+            found.append("\0")
+        if odd.any():                   # one more chunk for each odd text, which stands as an empty one so far
             at = np.flatnonzero(odd)
-            # an odd text stands as one empty chunk so far
-            index[(np.cumsum(n_chunks) - n_chunks)[at]] = np.arange(len(pieces), len(pieces) + len(at))
-            pieces += [self._exact(t) for t in texts.filter(pa.array(odd)).to_pylist()]
-        n_pieces = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        of_piece: dict[str, int] = {}
-        piece_at = np.fromiter([of_piece.setdefault(p, len(of_piece)) for own in pieces for p in own], np.int64, int(n_pieces.sum()))
-        flat, starts = self._pieces([p.encode() for p in of_piece])
+            index[(np.cumsum(n_chunks) - n_chunks)[at]] = np.arange(len(coded.dictionary), len(coded.dictionary) + len(at))
+            for text in texts.filter(pa.array(odd)).to_pylist():
+                found += self._exact(text)
+                found.append(None)
+        pieces = pa.array(found, pa.large_string()).dictionary_encode()
+        # a chunk ends at each separator, an odd text at each null
+        at = pieces.indices.fill_null(-1).to_numpy()
+        n_plain = len(coded.dictionary)
+        zero = pc.index(pieces.dictionary, pa.scalar("\0", pa.large_string())).as_py()
+        ends = np.flatnonzero(at == zero)[:n_plain] if n_plain else np.zeros(0, np.int64)
+        ends = np.concatenate([ends, np.flatnonzero(at < 0)])
+        n_pieces = np.diff(np.concatenate([[-1], ends])) - 1
+        piece_at = np.delete(at, ends)
+        flat, starts = self._pieces(pieces.dictionary)
         for s, token in self.t.special.items():
-            if s in of_piece:           # an arc of its own, whatever its bytes would give
-                k = of_piece[s]
+            k = pc.index(pieces.dictionary, pa.scalar(s, pa.large_string())).as_py()
+            if k >= 0:                  # an arc of its own, whatever its bytes would give
                 flat = np.concatenate([flat[:starts[k]], [np.uint32(token)], flat[starts[k + 1]:]])
                 starts = np.concatenate([starts[:k + 1], starts[k + 1:] - (starts[k + 1] - starts[k] - 1)])
         n_ids = np.diff(starts)
@@ -465,6 +479,8 @@ class Encoder:
 
 
 # -- the operator on tables --------------------------------------------------
+#: text bytes encoded at once: the more, the fewer distinct pieces a byte
+SLICE = 16 << 20
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -484,36 +500,35 @@ def shared_tables(spark: SparkSession, path: str) -> tuple[Broadcast[Tables], st
     return spark.sparkContext.broadcast(Tables(Automaton.from_json(spec))), key
 
 
+def binary_slices(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of ids as binary values: little-endian unsigned 32-bit integers."""
+    flat = np.ascontiguousarray(flat, "<u4")
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [
+        None, pa.py_buffer(np.ascontiguousarray(ends, np.int64) * 4), pa.py_buffer(flat)]).cast(pa.binary())
+
+
 def encode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
            out_text: bool = True) -> DataFrame:
     """Encode every whole text and decode the ids again.
 
-    Returns one row per input row: the id, ``ids`` (array<int>), and ``decoded`` (string,
-    if ``out_text``). Null and empty texts have no ids and decode to the empty string. Null
-    ids are kept, repeated rows give repeated results, other columns are not read, an empty
-    table gives an empty one. Very long texts are handled whole, alone in their slice.
+    Returns one row per input row: the id, ``n_tokens``, ``ids`` (binary: little-endian
+    unsigned 32-bit integers), and ``decoded`` (string, if ``out_text``). Null and empty texts
+    have no ids and decode to the empty string. Null ids are kept, repeated rows give repeated
+    results, other columns are not read, an empty table gives an empty one. Very long texts
+    are handled whole, alone in their slice.
     """
     tables, key = shared_tables(df.sparkSession, path)
     source = df.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
-    schema = T.StructType([source.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType(), False))]
+    schema = T.StructType([source.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
                           + ([T.StructField("decoded", T.StringType())] if out_text else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tables, key)
         for batch in batches:
-            for part in by_bytes(batch, text_col):
+            for part in by_bytes(batch, text_col, SLICE):
                 flat, ends = coder.encode(part.column(text_col).fill_null(""))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int32)))
-                out = [part.column(id_col), ids]
+                out = [part.column(id_col), pa.array(np.diff(ends)), binary_slices(flat, ends)]
                 if out_text:
                     out.append(pa.array([coder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
     return source.mapInArrow(run, schema)
-
-
-def little_endian(ids: Column) -> Column:
-    """array<int> of ids -> binary of little-endian unsigned 32-bit integers."""
-    def four(x: Column) -> Column:
-        h = F.lpad(F.hex(x), 8, "0")
-        return F.concat(*[F.substring(h, 2 * k + 1, 2) for k in (3, 2, 1, 0)])
-    return F.unhex(F.array_join(F.transform(ids, four), ""))

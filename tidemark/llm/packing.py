@@ -107,9 +107,8 @@ def _rows(windows: list[tuple[int | None, list[Piece]]], schema: pa.Schema) -> I
                 at += len(p.ids)
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.uint32).view(np.int32)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc, schema[0].type), pa.array(start, pa.int64()), lists, pa.array(total, pa.int64()),
+            [pa.array(doc, schema[0].type), pa.array(start, pa.int64()), bpe.binary_slices(flat, ends), pa.array(total, pa.int64()),
              pa.array(seq, pa.int64()), pa.array(offset, pa.int64()), pa.array([0] * len(doc), pa.int64())], schema=schema)
 
 
@@ -118,7 +117,7 @@ def pack(df: DataFrame, path: str, *, length: int = 1024, n_open: int = 64, end_
     """Pack all texts into sequences of at most ``length`` tokens.
 
     One row per piece: the id column, ``start`` (the document's ids before it), ``ids``
-    (array<int>), ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence. A document's
+    (binary: little-endian unsigned 32-bit integers), ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence. A document's
     ids are those of its whole text followed by ``end_id``; each lies in exactly one piece.
     A null or empty text is ``end_id`` alone. Null ids are packed like others, repeated rows
     are packed each, other columns are not read, an empty table gives an empty one. A text
@@ -129,12 +128,12 @@ def pack(df: DataFrame, path: str, *, length: int = 1024, n_open: int = 64, end_
     tables, key = bpe.shared_tables(spark, path)
     source = df.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     schema = T.StructType([
-        source.schema[id_col], T.StructField("start", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+        source.schema[id_col], T.StructField("start", T.LongType()), T.StructField("ids", T.BinaryType()),
         T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType()), T.StructField("left_over", T.LongType())])
 
     def arrow(batch_id: pa.DataType) -> pa.Schema:
-        return pa.schema([(id_col, batch_id), ("start", pa.int64()), ("ids", pa.list_(pa.int32())), ("doc_tokens", pa.int64()),
+        return pa.schema([(id_col, batch_id), ("start", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                           ("sequence_id", pa.int64()), ("offset", pa.int64()), ("left_over", pa.int64())])
 
     def left(pieces: list[Piece], number: int, kind: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -146,7 +145,7 @@ def pack(df: DataFrame, path: str, *, length: int = 1024, n_open: int = 64, end_
         task, count = TaskContext.get().partitionId(), 0
         for batch in batches:
             kind = arrow(batch.schema.field(0).type)
-            for part in by_bytes(batch, text_col):
+            for part in by_bytes(batch, text_col, bpe.SLICE):
                 flat, ends = coder.encode(part.column(text_col).fill_null(""))
                 for doc, a, b in zip(part.column(id_col).to_pylist(), ends[:-1], ends[1:]):
                     packer.add(Piece(doc, 0, np.append(flat[a:b], np.uint32(end_id)), int(b - a) + 1))
@@ -165,7 +164,7 @@ def pack(df: DataFrame, path: str, *, length: int = 1024, n_open: int = 64, end_
             table = table.select(kind.names).sort_by([("left_over", "ascending"), ("offset", "ascending")])
             packer = Packer(length, n_open)
             for doc, start, ids, total in zip(*(table.column(c).to_pylist() for c in kind.names[:4])):
-                packer.add(Piece(doc, start, np.array(ids, np.int32).view(np.uint32), total))
+                packer.add(Piece(doc, start, np.frombuffer(ids, "<u4"), total))
             rest = packer.merge()
             out = list(_rows([(level * _LEVEL + group * _TASK + i, w) for i, w in enumerate(packer.full)], kind))
             return pa.Table.from_batches([*out, *left(rest, group, kind)], kind)

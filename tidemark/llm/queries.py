@@ -25,15 +25,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of at most 1024 tokens."""
     pieces = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
-    return pieces.select("doc_id", "start", F.size("ids").cast("long").alias("length"),
-                         F.crc32(bpe.little_endian(F.col("ids"))).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's ids and of their decoding."""
     out = bpe.encode(_table(spark, sf_dir, "documents"), TOKENIZER)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(bpe.little_endian(F.col("ids")), 256).alias("ids_sha256"),
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -57,7 +57,7 @@ def count_tokens(df: DataFrame, path: str, *, section: str = "line", id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.encoder(tables, key)
         for batch in batches:
-            for part in by_bytes(batch, text_col):
+            for part in by_bytes(batch, text_col, bpe.SLICE):
                 texts = part.column(text_col).fill_null("")
                 flat, ends = coder.encode(texts)
                 sizes = coder.t.length[flat]
