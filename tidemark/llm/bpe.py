@@ -480,7 +480,7 @@ class Encoder:
 
 # -- the operator on tables --------------------------------------------------
 #: text bytes encoded at once: the more, the fewer distinct pieces a byte
-SLICE = 16 << 20
+SLICE = 10 << 20
 _ENCODERS: dict[str, Encoder] = {}
 
 
