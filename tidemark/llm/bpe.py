@@ -71,7 +71,8 @@ class Automaton:
     """Deterministic token automaton of a merge list; see the module text.
 
     ``vocab``: token bytes to id, all 256 single bytes included. ``merges``: pairs in
-    order, each building a token of its own. ``special``: text to id, cut out of the
+    order (a token's bytes spell one path before it is built, so one merge builds it; others
+    that would are never followed). ``special``: text to id, cut out of the
     text before anything else.
     """
 
@@ -90,8 +91,6 @@ class Automaton:
             u, v, w = self.arcs.get(a), self.arcs.get(b), vocab[a + b]
             if u is None or v is None or not self.step(u, v):
                 continue                        # u is never followed by v: nothing to merge
-            if w in self.left_edge:
-                raise ValueError(f"token {w} is built by two merges")
             self.gadget[(u, v)] = k             # state k: the state of u without arc v
             self.arcs[a + b] = w                # arc w leads where v led before this step
             self.left_edge[w] = ((w, never), (u, k), *self.left_edge[u][1:])
@@ -480,7 +479,7 @@ class Encoder:
 
 # -- the operator on tables --------------------------------------------------
 #: text bytes encoded at once: the more, the fewer distinct pieces a byte
-SLICE = 10 << 20
+SLICE = 6 << 20
 _ENCODERS: dict[str, Encoder] = {}
 
 

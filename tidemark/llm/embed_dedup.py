@@ -150,7 +150,7 @@ def link_vectors(df: DataFrame, *, cosine: float = 0.98, n_blocks: int = 4, grid
     around = [o for o in product((-1, 0, 1), repeat=grid) if o >= (0,) * grid]
 
     def cell(b: int, offset: tuple[int, ...]) -> Column:
-        return F.array(*[F.col("cells")[b * grid + g] + o for g, o in enumerate(offset)])
+        return F.array(*[F.get("cells", F.lit(b * grid + g)) + o for g, o in enumerate(offset)])
     places = [F.struct(F.lit(b).alias("block"), cell(b, o).alias("cell"), F.lit(left).alias("left"), F.lit(o == (0,) * grid).alias("own"))
               for b in range(n_blocks) for left, offsets in ((True, around[:1]), (False, around)) for o in offsets]
     dealt = placed.withColumn("place", F.explode(F.array(*places))).where(F.col("place.block") * grid < F.size("cells")).select(

@@ -35,7 +35,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> tuple[int, int]:
         shape = _RUN.sub(rb"\1", word.translate(_SHAPE))[:8]
         pair = xxhash.xxh64_intdigest(word.lower()), xxhash.xxh64_intdigest(shape, 1)
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         if len(word) <= 40:
             self[word] = pair
@@ -142,7 +142,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, *, cost: flo
         # both classes weigh the same
         per = np.where(own_y > 0, len(own_y) / (2 * max((own_y > 0).sum(), 1)), len(own_y) / (2 * max((own_y <= 0).sum(), 1)))
         w, b = dual_descent(own, own_y, r, cost * per, epochs, seed)
-        return r * (mix * w + (1 - mix) * np.abs(w[r != 0]).mean()), b
+        return r * (mix * w + (1 - mix) * np.abs(w).sum() / max((r != 0).sum(), 1)), b
     fold = np.random.default_rng(seed).permutation(len(y)) % 4
     margin, ok = np.zeros(len(y)), np.zeros(len(y), bool)
     held = fold == 0

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import by_bytes, components, staged, unstage
 
 SEED = 42
-_AT_ONCE = 1 << 18
+_AT_ONCE = 1 << 16
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
