@@ -191,3 +191,17 @@ def test_new_payload_field_becomes_a_column(spark, tmp_root):
     assert "market_cap" in silver.columns
     assert silver.filter("market_cap is not null").count() == later.count()
     assert silver.count() == prices.count()
+
+
+def test_runs_without_or_with_earlier_stamps_lose_nothing(spark, tmp_root):
+    lake = Lake(os.path.join(tmp_root, "lake"))
+    land_dir = os.path.join(tmp_root, "series")
+    prices = landing.daily_prices(spark, SF_SMALL)
+    first, rest = prices.filter(F.dayofmonth("day") <= 10), prices.filter(F.dayofmonth("day") > 10)
+    landing.land(landing.series_docs(spark, first), land_dir)
+    run_incremental(spark, lake, land_dir)
+    landing.land(landing.series_docs(spark, rest), land_dir, prefix="more")
+    run_incremental(spark, lake, land_dir, run_ts=dt.datetime(2001, 1, 1))
+    bronze = spark.read.parquet(lake.table("bronze", "digital_currency_daily"))
+    silver = spark.read.parquet(lake.table("silver", "digital_currency_daily"))
+    assert bronze.count() == silver.count() == prices.select("symbol", "day").distinct().count()

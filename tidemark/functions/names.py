@@ -1,11 +1,16 @@
 """Column-name rules.
 
-These run at planning time on ``df.columns`` (a list of strings), except P1 and
-P2 which also exist as column expressions for map keys of landed payloads.
+Names of DataFrame columns are lists of strings at planning time; names inside landed
+payloads are map keys, so their rules are column expressions. Repeated names follow one
+rule in both places: the first free numbered form of the name.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from itertools import chain, count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,62 +20,40 @@ NUMERIC_FIELD_WORDS = ("open", "high", "low", "close", "volume")
 FX_FIELD_WORDS = ("rate", "exchange")
 
 
-def series_field_name(name: str) -> str:
-    """``"4b. close (EUR)"`` -> ``"close"``: text after the last ``". "``,
-    cut at the first ``" ("``."""
-    return name.split(". ")[-1].split(" (")[0]
-
-
 def series_field_expr(k: Column) -> Column:
-    """P1 as a column expression (for map keys); literal delimiters, no regex."""
+    """P1 for map keys, ``4b. close (EUR)`` to ``close``: without number and unit."""
     return F.substring_index(F.substring_index(k, ". ", -1), " (", 1)
 
 
-def quote_field_name(name: str) -> str:
-    """``"6. Last Refreshed"`` -> ``"last_refreshed"``: drop the first
-    blank-separated word, join the rest with ``_``, lower-case."""
-    return "_".join(name.split(" ")[1:]).lower()
-
-
 def quote_field_expr(k: Column) -> Column:
-    """P2 as a column expression (for map keys): the text after the first
-    blank, blanks -> ``_``, lower-cased; no blank -> empty name."""
+    """P2 for map keys, ``6. Last Refreshed`` to ``last_refreshed``: what follows the
+    first blank, in lower case with ``_`` for blanks; empty without a blank."""
     at = F.instr(k, " ")
     rest = F.substr(k, at + 1)
     return F.when(at > 0, F.lower(F.replace(rest, F.lit(" "), F.lit("_")))).otherwise(F.lit(""))
 
 
-def unique_suffix(names: list[str]) -> list[str]:
-    """Repeats of ``x`` become ``x_1``, ``x_2`` ... (first free suffix)."""
-    seen: set[str] = set()
-    out = []
-    for n in names:
-        cand, i = n, 1
-        while cand in seen:
-            cand = f"{n}_{i}"
-            i += 1
-        seen.add(cand)
-        out.append(cand)
-    return out
-
-
-def dup_suffix(names: list[str]) -> list[str]:
-    """A repeated name gets ``_dup``, the next repeat ``_dup2`` ..."""
-    seen: set[str] = set()
-    out = []
-    for n in names:
-        cand, i = n, 1
-        while cand in seen:
-            cand = f"{n}_dup" if i == 1 else f"{n}_dup{i}"
-            i += 1
-        seen.add(cand)
-        out.append(cand)
-    return out
+def free_names(names: list[str], form: Callable[[str, int], str]) -> list[str]:
+    """Each name itself or, where it is taken, the first of its numbered forms that is free."""
+    taken: dict[str, None] = {}
+    for name in names:
+        forms = chain([name], (form(name, i) for i in count(1)))
+        taken[next(f for f in forms if f not in taken)] = None
+    return list(taken)
+
+
+def free_names_expr(names: Column) -> Column:
+    """P3 on an array of names: ``x``, ``x_1``, ``x_2``; a form that is a name itself is skipped."""
+    def add(taken: Column, name: Column) -> Column:
+        forms = F.concat(F.array(name), F.transform(
+            F.sequence(F.lit(1), F.size(taken) + 1), lambda i: F.concat(name, F.lit("_"), i.cast("string"))))
+        return F.concat(taken, F.slice(F.filter(forms, lambda f: ~F.array_contains(taken, f)), 1, 1))
+    return F.aggregate(names, F.array().cast("array<string>"), add)
 
 
 def rename_duplicates(df: DataFrame) -> DataFrame:
-    """P4 on a DataFrame (positional rename, no data movement)."""
-    return df.toDF(*dup_suffix(df.columns))
+    """Repeats of a column become ``x_dup``, ``x_dup2`` and so on (no data movement)."""
+    return df.toDF(*free_names(df.columns, lambda name, i: f"{name}_dup" + str(i) * (i > 1)))
 
 
 def drop_repeated_columns(df: DataFrame) -> DataFrame:
@@ -83,21 +66,11 @@ def drop_repeated_columns(df: DataFrame) -> DataFrame:
     return renamed.select(*[F.col(t).alias(n) for n, t in first.items()])
 
 
-def normalize_name(name: str) -> str:
-    """Trim, lower-case, blanks -> ``_``."""
-    return name.strip().lower().replace(" ", "_")
-
-
 def normalize_columns(df: DataFrame) -> DataFrame:
-    """P6 on every column of ``df``."""
-    return df.toDF(*[normalize_name(c) for c in df.columns])
-
-
-def numeric_columns(columns: list[str], words=NUMERIC_FIELD_WORDS) -> list[str]:
-    """Columns whose name contains any price/volume word."""
-    return [c for c in columns if any(w in c for w in words)]
+    """Column names trimmed, in lower case, ``_`` for each blank."""
+    return df.toDF(*("_".join(c.lower().strip().split(" ")) for c in df.columns))
 
 
-def fx_columns(columns: list[str], words=FX_FIELD_WORDS) -> list[str]:
-    """Columns whose name contains ``rate`` or ``exchange``, in order."""
-    return [c for c in columns if any(w in c for w in words)]
+def columns_with(columns: list[str], words: tuple[str, ...]) -> list[str]:
+    """The columns whose name holds any of the words, in order."""
+    return list(filter(re.compile("|".join(map(re.escape, words))).search, columns))

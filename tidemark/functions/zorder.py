@@ -6,17 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def interleave_bits(cols: list, bits: int = 16) -> Column:
+def interleave_bits(cols: list, bits: int = 31) -> Column:
     """Z-order code of ``len(cols)`` non-negative integer columns.
 
     Bit ``i`` of column ``j`` lands at bit ``i * len(cols) + j`` of the code.
-    Only the low ``bits`` bits of each input are used; with two inputs and
-    16 bits the code fits 32 bits, with up to 3 inputs 21 bits fit a bigint.
+    A value that needs more than ``bits`` bits, or is negative, raises: cutting it
+    would give far values one code. Two inputs of 31 bits, or three of 21, fit a bigint.
     """
     n = len(cols)
     if n * bits > 63:
         raise ValueError("code does not fit a bigint: lower bits or columns")
     cs = [(F.col(c) if isinstance(c, str) else c).cast("bigint") for c in cols]
+    cs = [F.when((c < 0) | (c >= F.lit(1 << bits)), F.raise_error(F.lit(f"value outside 0..2^{bits}-1")))
+          .otherwise(c).cast("bigint") for c in cs]
     terms = []
     for i in range(bits):
         for j, c in enumerate(cs):

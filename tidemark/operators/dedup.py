@@ -12,10 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _order_expr(o) -> tuple[str, Column]:
-    return (o, F.col(o)) if isinstance(o, str) else (None, o)
-
-
 def keep_last(df: DataFrame, keys: list[str], order: list[str],
               columns: list[str] | None = None) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order`` tuple.

@@ -44,9 +44,3 @@ def enrich_by_key(df: DataFrame, rates: DataFrame, keys: list[str], rate_col: st
     return (df.join(r, on=list(keys), how="left")
               .withColumn(out_col, F.col(value_col) * F.col("__rate"))
               .drop("__rate"))
-
-
-def rate_value(col: str) -> Column:
-    """FX rates land as text; P8 candidates go through the lenient parse."""
-    from tidemark.functions.coerce import to_double
-    return to_double(col)

@@ -29,15 +29,6 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
         raise DuplicateKeyError(f"merge source repeats key {dup[0].asDict()}")
 
 
-def reject_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """A null key never matches (N8): it would be inserted again on each run."""
-    cond = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    return df.filter(cond)
-
-
 def merge(target: DataFrame, source: DataFrame, keys: list[str],
           allow_new_columns: bool = True) -> DataFrame:
     """Update-all on match, insert-all otherwise, keep the rest.
@@ -108,9 +99,3 @@ def merge_with_metrics(target: DataFrame, source: DataFrame, keys: list[str],
     """
     j = flagged_merge(target, source, keys, compare)
     return j.drop("__kind"), j.agg(*kind_counts(bool(compare)))
-
-
-def merge_metrics(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """A4 only: key presence counts, reading just the key columns."""
-    _, m = merge_with_metrics(target.select(*keys), source.select(*keys), keys)
-    return m

@@ -78,7 +78,8 @@ def vacuum_rows(changelog: DataFrame, keys: list[str], now, retention_hours: flo
     limit form a prefix of each key's history; every row of that prefix but
     its last is superseded by a row that is also older than the limit. So the
     result is "rows at or after the limit" plus "last row per key before it":
-    a filter and a partially aggregated keep-last - no window over a key.
+    a filter and a partially aggregated keep-last - no window over a key. Old rows
+    of versions before an old overwrite go, and so do old tombstones.
     """
     if enforce and retention_hours < DEFAULT_RETENTION_HOURS:
         raise RetentionError(
@@ -95,5 +96,13 @@ def vacuum_rows(changelog: DataFrame, keys: list[str], now, retention_hours: flo
     cols = list(changelog.columns)
     recent = changelog.filter(F.col(ts) >= limit)
     old = changelog.filter(F.col(ts) < limit)
+    if "_op" in cols:
+        # an overwrite older than the limit has superseded all versions before it
+        barrier = literal_of(old.filter(F.col("_op") == "overwrite").agg(F.max("_version")))
+        if barrier is not None:
+            old = old.filter(F.col("_version") >= barrier)
     last_old = keep_last(old, keys, list(order), columns=[c for c in cols if c not in keys])
+    if "_op" in cols:
+        # nothing is left for an old tombstone to remove
+        last_old = last_old.filter(~F.col("_op").eqNullSafe("delete"))
     return recent.unionByName(last_old.select(*cols))

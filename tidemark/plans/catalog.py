@@ -278,7 +278,7 @@ def vacuum_changelog(spark, d):
 # -------------------------------------------------------- clustering (M2)
 def zorder_code(spark, d):
     li = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey")
-    return li.select("l_partkey", "l_suppkey", interleave_bits(["l_partkey", "l_suppkey"], 16).alias("z")).distinct()
+    return li.select("l_partkey", "l_suppkey", interleave_bits(["l_partkey", "l_suppkey"], 31).alias("z")).distinct()
 
 
 # ----------------------------------------------- silver flow (Variant B)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.zorder import interleave_bits
@@ -118,6 +118,21 @@ def compact(spark: SparkSession, path: str, target_file_bytes: int = DEFAULT_FIL
             "partitions_rewritten": rewritten}
 
 
+def _rank_value(df: DataFrame, c: str) -> Column:
+    """A column as a double that keeps its order: numbers as they are, dates and
+    times by their distance from the epoch, texts by their first six bytes (texts
+    equal in those share a rank; only the clustering gets coarser)."""
+    kind = df.schema[c].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if kind == "date":
+        return F.unix_date(F.col(c)).cast("double")
+    if kind in ("string", "char", "varchar"):
+        first = F.rpad(F.substring(F.hex(F.encode(F.col(c), "UTF-8")), 1, 12), 12, "0")
+        return F.conv(first, 16, 10).cast("double")
+    return F.col(c).cast("double")
+
+
 def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
                  rel_error: float = 0.001) -> DataFrame:
     """M2 core: add ``__z``, the interleaved bucket ranks of ``cols``.
@@ -135,7 +150,7 @@ def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
     top = (1 << bits) - 1
     probs = [i / buckets for i in range(1, buckets)]
     acc = int(1 / rel_error)
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(f"b{i}")
+    row = df.agg(*[F.percentile_approx(_rank_value(df, c), probs, acc).alias(f"b{i}")
                    for i, c in enumerate(cols)]).collect()[0]
     out = df
     for i, c in enumerate(cols):
@@ -143,7 +158,7 @@ def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
         splits = [float("-inf"), *inner, float("inf")]
         if len(splits) < 3:
             splits = [float("-inf"), 0.0, float("inf")]
-        out = out.withColumn(f"__x{i}", F.col(c).cast("double"))
+        out = out.withColumn(f"__x{i}", _rank_value(df, c))
         out = Bucketizer(splits=splits, inputCol=f"__x{i}", outputCol=f"__r{i}",
                          handleInvalid="keep").transform(out)
     # null / NaN land in the extra "invalid" bucket; clamp it to the last rank
@@ -168,8 +183,10 @@ def zorder(spark: SparkSession, path: str, cols: list[str], target_file_bytes: i
     # of the row, not rand(), so a retried task sends every row to the same
     # partition again
     z = z.withColumn("__t", F.xxhash64(*[F.col(c) for c in df.columns]))
-    out = z.repartitionByRange(n, "__z", "__t").sortWithinPartitions("__z").drop("__z", "__t")
-    overwrite(out, path)
+    # a partitioned table stays partitioned: ranges follow the folders, then the code
+    parts = _partition_cols(spark, path)
+    out = z.repartitionByRange(n, *parts, "__z", "__t").sortWithinPartitions(*parts, "__z").drop("__z", "__t")
+    overwrite(out, path, parts or None)
     return {"files": n, "bytes": size}
 
 
@@ -191,7 +208,7 @@ def vacuum(spark: SparkSession, path: str, keys: list[str], now, retention_hours
         versions_src = log.select("_version", "_ts")
     floor = versions_src.filter(F.col("_ts") < F.lit(limit)).agg(F.max("_version")).first()[0]
     before = log.count()
-    overwrite(kept, path, partition_by)
+    overwrite(kept, path, partition_by or _partition_cols(spark, path) or None)
     if floor is not None:
         spark.range(1).select(F.lit(int(floor)).cast("long").alias("min_readable_version"),
                               F.lit(limit).cast("timestamp_ntz").alias("limit")) \
@@ -200,7 +217,7 @@ def vacuum(spark: SparkSession, path: str, keys: list[str], now, retention_hours
     return {"rows_before": before, "rows_after": after, "min_readable_version": floor}
 
 
-def find_tables(spark: SparkSession, root: str, max_depth: int = 4) -> list[str]:
+def find_tables(spark: SparkSession, root: str) -> list[str]:
     """Table folders under ``root`` (file-system listing, no data read): a
     folder is a table when it holds Parquet files or ``col=value`` folders
     directly. Hidden folders (``_``/``.``) and staging leftovers are skipped."""
@@ -209,22 +226,20 @@ def find_tables(spark: SparkSession, root: str, max_depth: int = 4) -> list[str]
     fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
     found: list[str] = []
 
-    def walk(p, depth):
+    def walk(p):
         entries = fs.listStatus(p)
         names = [e.getPath().getName() for e in entries]
         if any(n.endswith(".parquet") for n in names) or \
                 any(e.isDirectory() and "=" in e.getPath().getName() for e in entries):
             found.append(p.toString())
             return
-        if depth >= max_depth:
-            return
         for e in entries:
             n = e.getPath().getName()
             if e.isDirectory() and not n.startswith(("_", ".")) and ".__old-" not in n:
-                walk(e.getPath(), depth + 1)
+                walk(e.getPath())
 
     if fs.exists(top):
-        walk(top, 0)
+        walk(top)
     return sorted(found)
 
 

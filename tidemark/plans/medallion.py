@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import coerce_columns, to_double
 from tidemark.functions.dates import date_str, month_str
-from tidemark.functions.names import (drop_repeated_columns, fx_columns, normalize_columns,
-                                      numeric_columns)
+from tidemark.functions.names import (FX_FIELD_WORDS, NUMERIC_FIELD_WORDS, columns_with, drop_repeated_columns,
+                                      normalize_columns)
 from tidemark.operators import dedup, enrich, fill, incremental, quality, rollup
 from tidemark.sinks import tables as sink
 from tidemark.sources import payload
@@ -175,7 +175,7 @@ def _fx_rate(spark: SparkSession, lake: Lake) -> DataFrame:
     if fx is None:
         return spark.range(1).select(F.lit(None).cast("double").alias("rate"))
     fx = normalize_columns(fx)
-    cands = fx_columns(fx.columns)
+    cands = columns_with(fx.columns, FX_FIELD_WORDS)
     if not cands:
         return spark.range(1).select(F.lit(None).cast("double").alias("rate"))
     fx = fx.withColumn("__rate", to_double(cands[0])).withColumn(
@@ -251,7 +251,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
                             .filter(F.col("datetime") >= F.col("__from")).drop("__from"))
             inc = inc.unionByName(suffix)
     inc = normalize_columns(inc)
-    nums = [c for c in numeric_columns(inc.columns) if c not in KEYS]
+    nums = [c for c in columns_with(inc.columns, NUMERIC_FIELD_WORDS) if c not in KEYS]
     inc = coerce_columns(inc, numeric=nums, datetime={"datetime": None})
     inc = dedup.keep_last(inc, KEYS + ["datetime"], ["ingestion_timestamp"])
     inc = _stage(spark, quality.drop_null_subset(inc, ["datetime"]), "silver-increment", staged)
@@ -309,7 +309,15 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
 
 def run_incremental(spark: SparkSession, lake: Lake, series_landing: str,
                     quote_landing: str | None = None, run_ts: _dt.datetime | None = None) -> dict:
-    run_ts = run_ts or _dt.datetime(2000, 1, 1)
+    """Both steps. The run's stamp (``run_ts``, default the time of the run) is moved past the
+    newest stamp in bronze if it is earlier, so the strict ingestion watermark of the
+    transformation does not skip a run's rows. An equal stamp means that run again."""
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
+    if path_exists(spark, bronze):
+        newest = spark.read.parquet(bronze).agg(F.max("ingestion_timestamp")).first()[0]
+        if newest is not None and run_ts < newest:
+            run_ts = newest + _dt.timedelta(microseconds=1)
     out = ingest(spark, lake, series_landing, quote_landing, run_ts)
     out.update(transform(spark, lake))
     return out

@@ -130,7 +130,7 @@ ORACLE_SQL = {
         where nx is null or nx >= (select max(o_orderdate) from orders) - interval 168 hour""",
     "zorder_code": """
         select distinct l_partkey, l_suppkey,
-               cast(list_sum(list_transform(range(0, 16), lambda i:
+               cast(list_sum(list_transform(range(0, 31), lambda i:
                  (((l_partkey >> i) & 1) << (2 * i)) + (((l_suppkey >> i) & 1) << (2 * i + 1)))) as bigint) as z
         from lineitem""",
     "silver_prices": """

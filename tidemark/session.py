@@ -80,12 +80,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for staged tables, stream checkpoints and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset - local tests - a scratch folder is created and registered.
+    unset on a local master - tests - a scratch folder is created and registered;
+    elsewhere that is an error, for executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -105,7 +108,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
-
-
-def local_or_uri(path: str) -> str:
-    return path if "://" in path else os.path.abspath(path)

@@ -197,7 +197,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
 
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
     target = spark.read.option("mergeSchema", "true").parquet(path)
-    target = target.filter(F.col(partition_col).isin(touched))
+    # null is a partition like any other, and isin never matches it
+    in_touched = F.col(partition_col).isin([t for t in touched if t is not None])
+    target = target.filter(in_touched | F.col(partition_col).isNull() if None in touched else in_touched)
 
     staged = staging_path(spark, "upsert")
     append(flagged_merge(target, src, keys), staged, [partition_col])
@@ -223,8 +225,10 @@ def publish_by_key(spark: SparkSession, path: str, new: DataFrame, keys: list[st
         overwrite(new, path)
         return {"created": True}
     old = spark.read.option("mergeSchema", "true").parquet(path)
-    merged = old.join(new.select(*keys), on=list(keys), how="left_anti") \
-                .unionByName(new, allowMissingColumns=True)
+    # null-safe: a null key replaces the null key of an earlier publish
+    fresh = new.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    merged = old.join(fresh, on=same, how="left_anti").unionByName(new, allowMissingColumns=True)
     overwrite(merged, path)
     return {"created": False}
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import to_datetime_fixed, to_double
 from tidemark.functions.dates import date_str
-from tidemark.functions.names import quote_field_expr, series_field_expr
+from tidemark.functions.names import free_names_expr, quote_field_expr, series_field_expr
 
 # Payload keys and field sets of the two document kinds.
 SERIES_KEY_PREFIX = "Time Series"
@@ -43,21 +43,17 @@ def json_field(raw, path: str) -> Column:
 
 
 def _with_renamed_map(df: DataFrame, col: str, rule, out: str) -> DataFrame:
-    """Apply a key rule to the map<string,string> column ``col``; the n-th
-    repeat of a name ``x`` becomes ``x_n`` (P3). Three projections, so that
-    names and repeat counts are each computed once per key."""
-    names, counts = f"{out}__names", f"{out}__counts"
+    """Apply a key rule to the map<string,string> column ``col``; a repeat of a name
+    ``x`` takes the first free of ``x_1``, ``x_2`` (P3). Two projections, so that names
+    are computed once per key."""
+    names = f"{out}__names"
     df = df.withColumn(names, F.transform(F.map_keys(F.col(col)), rule))
     n = F.col(names)
-    # repeat counts only where a name repeats (rare); the check is codegen'd
+    # numbered forms only where a name repeats (rare); the check is codegen'd
     has_repeats = F.size(F.array_distinct(n)) < F.size(n)
-    df = df.withColumn(counts, F.when(has_repeats, F.transform(
-        n, lambda x, i: F.size(F.filter(F.slice(n, 1, i), lambda y: y == x)))))
-    suffixed = F.zip_with(n, F.col(counts), lambda x, c: F.when(c == 0, x).otherwise(
-        F.concat(x, F.lit("_"), c.cast("string"))))
-    unique = F.when(F.col(counts).isNull(), n).otherwise(suffixed)
+    unique = F.when(has_repeats, free_names_expr(n)).otherwise(n)
     df = df.withColumn(out, F.map_from_arrays(unique, F.map_values(F.col(col))))
-    return df.drop(names, counts)
+    return df.drop(names)
 
 
 def _top(raw: Column) -> Column:

@@ -28,7 +28,3 @@ def read_first(spark: SparkSession, paths: list[str], schema: T.StructType | Non
     if schema is None:
         return None
     return spark.createDataFrame([], schema)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
