@@ -205,3 +205,19 @@ def test_runs_without_or_with_earlier_stamps_lose_nothing(spark, tmp_root):
     bronze = spark.read.parquet(lake.table("bronze", "digital_currency_daily"))
     silver = spark.read.parquet(lake.table("silver", "digital_currency_daily"))
     assert bronze.count() == silver.count() == prices.select("symbol", "day").distinct().count()
+
+
+def test_quote_delivery_with_a_notice_only_keeps_the_quotes(spark, tmp_root):
+    lake = Lake(os.path.join(tmp_root, "lake"))
+    land_dir, q_dir, notice = (os.path.join(tmp_root, n) for n in ("series", "quotes", "notice"))
+    landing.land(landing.series_docs(spark, landing.daily_prices(spark, SF_SMALL)), land_dir)
+    _land_quotes(q_dir)
+    run_incremental(spark, lake, land_dir, q_dir)
+    from tidemark.plans.medallion import INCREMENTAL_TABLES
+    path = lake.table(*INCREMENTAL_TABLES["bronze_quotes"])
+    before = spark.read.parquet(path).count()
+    os.makedirs(notice)
+    with open(os.path.join(notice, "n.json"), "w") as fh:
+        fh.write('{"Note": "rate limit"}')
+    run_incremental(spark, lake, land_dir, notice)
+    assert spark.read.parquet(path).count() == before > 0

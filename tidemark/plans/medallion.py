@@ -165,7 +165,9 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
     if quote_landing:
         fx = _quotes(spark, quote_landing).withColumn(
             "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-        sink.overwrite(fx, lake.table(*INCREMENTAL_TABLES["bronze_quotes"]))
+        # a delivery without any quote (a notice) leaves the quotes of the last one
+        if not fx.isEmpty():
+            sink.overwrite(fx, lake.table(*INCREMENTAL_TABLES["bronze_quotes"]))
     return out
 
 
