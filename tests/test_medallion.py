@@ -13,12 +13,12 @@ from tests.conftest import SF_SMALL
 
 def _land_quotes(folder):
     os.makedirs(folder, exist_ok=True)
-    for i, (rate, ts) in enumerate([("0.85870000", "2025-12-07 02:45:58"), ("0.86000000", "2025-12-06 02:45:58")]):
+    for i, (rate, ts) in enumerate([("0.81250000", "2024-03-05 06:07:08"), ("0.79000000", "2024-03-04 06:07:08")]):
         doc = {"Realtime Currency Exchange Rate": {
             "1. From_Currency Code": "USD", "2. From_Currency Name": "United States Dollar",
             "3. To_Currency Code": "EUR", "4. To_Currency Name": "Euro", "5. Exchange Rate": rate,
-            "6. Last Refreshed": ts, "7. Time Zone": "UTC", "8. Bid Price": "0.85869000",
-            "9. Ask Price": "0.85870000"}}
+            "6. Last Refreshed": ts, "7. Time Zone": "UTC", "8. Bid Price": "0.81240000",
+            "9. Ask Price": "0.81250000"}}
         with open(os.path.join(folder, f"q{i}.json"), "w") as fh:
             json.dump(doc, fh)
 
@@ -36,7 +36,7 @@ def test_incremental_flow_twice_equals_once(spark, tmp_root):
     landing.land(landing.series_docs(spark, prices), land_dir)
     _land_quotes(q_dir)
     lake = Lake(os.path.join(tmp_root, "lake"))
-    run_ts = dt.datetime(2025, 12, 7, 3, 0, 0)
+    run_ts = dt.datetime(2024, 3, 5, 7, 0, 0)
     out1 = run_incremental(spark, lake, land_dir, q_dir, run_ts)
     tables = [lake.table("silver", "digital_currency_daily"), lake.table("gold", "crypto_monthly_summary"),
               lake.table("gold", "currency_exchange_rate_latest")]
@@ -45,12 +45,12 @@ def test_incremental_flow_twice_equals_once(spark, tmp_root):
     assert silver.filter(F.col("close").isNull()).count() == 0
     assert silver.filter("close_fx is null").count() == 0
     r = silver.select(F.round(F.col("close_fx") / F.col("close"), 9).alias("r")).distinct().collect()
-    assert [x.r for x in r] == [0.8587]
+    assert [x.r for x in r] == [0.8125]
     gold = spark.read.parquet(tables[1])
     assert gold.filter("not (min_close <= avg_close and avg_close <= max_close)").count() == 0
     assert gold.groupBy("symbol", "market", "month").count().filter("count > 1").count() == 0
     latest = spark.read.parquet(tables[2]).collect()
-    assert len(latest) == 1 and latest[0].exchange_rate == "0.85870000"
+    assert len(latest) == 1 and latest[0].exchange_rate == "0.81250000"
     assert out1["bronze"]["created"]
 
     out2 = run_incremental(spark, lake, land_dir, q_dir, run_ts)
@@ -78,12 +78,12 @@ def test_strict_flow(spark, tmp_root):
     gold = spark.read.parquet(lake.table("gold", "crypto_monthly_summary"))
     assert gold.count() == prices.select("symbol", F.date_format("day", "yyyy-MM")).distinct().count()
     fx = spark.read.parquet(lake.table("gold", "exchange_rate_latest")).collect()
-    assert len(fx) == 1 and fx[0].last_refreshed == "2025-12-07 02:45:58"
-    # both bad inputs are quarantined (twice: the flow ran twice), none loaded
+    assert len(fx) == 1 and fx[0].last_refreshed == "2024-03-05 06:07:08"
+    # both bad inputs are quarantined, once though the flow ran twice; none loaded
     notices = spark.read.parquet(lake.table("quarantine", "series_payloads")).collect()
-    assert {r.reason for r in notices} == {"no_time_series"} and len(notices) == 2
+    assert {r.reason for r in notices} == {"no_time_series"} and len(notices) == 1
     bad = spark.read.parquet(lake.table("quarantine", "crypto_daily")).collect()
-    assert len(bad) == 2 and all(r.datetime is None for r in bad)
+    assert len(bad) == 1 and bad[0].datetime is None
 
 
 def test_late_rows_and_corrections_reach_silver_and_gold(spark, tmp_root):
@@ -221,3 +221,84 @@ def test_quote_delivery_with_a_notice_only_keeps_the_quotes(spark, tmp_root):
         fh.write('{"Note": "rate limit"}')
     run_incremental(spark, lake, land_dir, notice)
     assert spark.read.parquet(path).count() == before > 0
+
+
+def _doc(days, symbol="AAA"):
+    return {"Meta Data": {"2. Digital Currency Code": symbol, "4. Market Code": "USD"},
+            "Time Series (Digital Currency Daily)": {
+                d: {"1. open": "1", "2. high": "9", "3. low": "1", "4. close": str(c), "5. volume": "5"}
+                for d, c in days.items()}}
+
+
+def _land(folder, name, doc, mtime=None):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w") as fh:
+        json.dump(doc, fh)
+    if mtime:
+        os.utime(path, (mtime, mtime))
+
+
+def test_the_later_delivery_of_a_day_wins(spark, tmp_root):
+    land_dir = os.path.join(tmp_root, "series")
+    _land(land_dir, "b.json", _doc({"2024-01-01": 100, "2024-01-02": 50}), 1_700_000_000)
+    _land(land_dir, "a.json", _doc({"2024-01-01": 90}), 1_700_000_500)
+    for run, table in ((run_incremental, "digital_currency_daily"), (run_strict, "crypto_daily")):
+        lake = Lake(os.path.join(tmp_root, table))
+        run(spark, lake, land_dir)
+        rows = spark.read.parquet(lake.table("bronze", table)).collect()
+        assert {r.date: r.close for r in rows} == {"2024-01-01": 90.0, "2024-01-02": 50.0}
+        assert not {"_delivered_at", "_delivered_as"} & set(rows[0].asDict())
+
+
+def test_redelivered_history_leaves_unchanged_rows_and_months(spark, tmp_root):
+    land_dir = os.path.join(tmp_root, "series")
+    start = dt.date(2023, 6, 1)
+    days = {str(start + dt.timedelta(days=i)): 100 + i for i in range(300)}
+    lake = Lake(os.path.join(tmp_root, "lake"))
+    _land(land_dir, "first.json", _doc(days))
+    run_incremental(spark, lake, land_dir)
+
+    def months(tier):
+        root = lake.table(tier, "digital_currency_daily")
+        return {m: sorted(os.listdir(os.path.join(root, m))) for m in os.listdir(root) if m.startswith("month=")}
+    bronze, silver = months("bronze"), months("silver")
+    _land(land_dir, "again.json", _doc({**days, str(start + dt.timedelta(days=300)): 7}))
+    out = run_incremental(spark, lake, land_dir)
+    assert (out["bronze"]["inserted"], out["bronze"]["updated"], out["bronze"]["unchanged"]) == (1, 0, 300)
+    assert (out["silver"]["inserted"], out["silver"]["updated"]) == (1, 0)
+    for before, after in ((bronze, months("bronze")), (silver, months("silver"))):
+        assert [m for m in after if after[m] != before.get(m)] == ["month=2024-03"]
+
+
+def test_a_first_delivery_of_notices_only_does_not_stop_the_flow(spark, tmp_root):
+    land_dir, q_dir = os.path.join(tmp_root, "series"), os.path.join(tmp_root, "quotes")
+    _land(land_dir, "n.json", {"Information": "rate limit"})
+    _land(q_dir, "n.json", {"Information": "rate limit"})
+    inc, strict = Lake(os.path.join(tmp_root, "inc")), Lake(os.path.join(tmp_root, "strict"))
+    for _ in range(2):
+        assert run_incremental(spark, inc, land_dir, q_dir)["bronze"]["inserted"] == 0
+        assert run_strict(spark, strict, land_dir, q_dir)["bronze"]["inserted"] == 0
+    for lake in (inc, strict):
+        for name in ("series_payloads", "quote_payloads"):
+            assert spark.read.parquet(lake.table("quarantine", name)).count() == 1
+    _land(land_dir, "d.json", _doc({"2024-01-01": 3}))
+    _land(q_dir, "q.json", {"Realtime Currency Exchange Rate": {
+        "1. From_Currency Code": "USD", "3. To_Currency Code": "EUR", "5. Exchange Rate": "0.5",
+        "6. Last Refreshed": "2024-01-01 00:00:00", "10. Spread": "0.1"}})
+    run_incremental(spark, inc, land_dir, q_dir)
+    run_strict(spark, strict, land_dir, q_dir)
+    row = spark.read.parquet(inc.table("silver", "digital_currency_daily")).first()
+    assert (row.close, row.close_fx) == (3.0, 1.5)
+    assert spark.read.parquet(inc.table("gold", "currency_exchange_rate_latest")).first().spread == "0.1"
+    assert spark.read.parquet(strict.table("gold", "exchange_rate_latest")).first().spread == "0.1"
+    assert spark.read.parquet(strict.table("gold", "crypto_monthly_summary")).first().avg_close == 3.0
+
+
+def test_a_run_with_the_stamp_of_an_earlier_one_passes_its_rows_on(spark, tmp_root):
+    land_dir, ts = os.path.join(tmp_root, "series"), dt.datetime(2024, 5, 1)
+    lake = Lake(os.path.join(tmp_root, "lake"))
+    for i in (1, 2):
+        _land(land_dir, f"{i}.json", _doc({f"2024-01-0{i}": i}))
+        run_incremental(spark, lake, land_dir, run_ts=ts)
+    assert spark.read.parquet(lake.table("silver", "digital_currency_daily")).count() == 2

@@ -14,6 +14,9 @@ not the table.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +53,9 @@ def flagged_merge(target: DataFrame, source: DataFrame, keys: list[str],
     """J1 as one full outer join on ``keys``: merged rows plus ``__kind``
     (``inserted`` | ``updated`` | ``unchanged`` | ``kept``).
 
-    ``unchanged`` is only produced when ``compare`` columns are given: an
-    updated row whose compared values all equal the target's.
+    ``unchanged`` is only produced when ``compare`` columns are given: a row
+    whose compared values all equal the target's (a column that one side lacks
+    is null there). It stays as the target has it.
     """
     keys = list(keys)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns]).withColumn("__in_t", F.lit(True))
@@ -60,20 +64,17 @@ def flagged_merge(target: DataFrame, source: DataFrame, keys: list[str],
     j = t.join(s, on=cond, how="full_outer")
     in_t = F.coalesce(F.col("__in_t"), F.lit(False))
     in_s = F.coalesce(F.col("__in_s"), F.lit(False))
+    cols = list(dict.fromkeys(list(target.columns) + list(source.columns)))
+    sv = {c: F.col(f"s__{c}") if c in source.columns else F.lit(None) for c in cols}
+    tv = {c: F.col(f"t__{c}") if c in target.columns else F.lit(None) for c in cols}
     kind = F.when(in_s & ~in_t, F.lit("inserted"))
-    if compare:
-        same = None
-        for c in compare:
-            e = F.col(f"t__{c}").eqNullSafe(F.col(f"s__{c}"))
-            same = e if same is None else same & e
-        kind = kind.when(in_s & same, F.lit("unchanged"))
+    take = in_s
+    if compare is not None:
+        same = reduce(and_, (tv[c].eqNullSafe(sv[c]) for c in compare), in_t & in_s)
+        kind = kind.when(same, F.lit("unchanged"))
+        take = in_s & ~same
     kind = kind.when(in_s, F.lit("updated")).otherwise(F.lit("kept"))
-    cols = list(dict.fromkeys(list(target.columns) + list(source.columns)))
-    out = []
-    for c in cols:
-        sv = F.col(f"s__{c}") if c in source.columns else F.lit(None)
-        tv = F.col(f"t__{c}") if c in target.columns else F.lit(None)
-        out.append(F.when(in_s, sv).otherwise(tv).alias(c))
+    out = [F.when(take, sv[c]).otherwise(tv[c]).alias(c) for c in cols]
     return j.select(*out, kind.alias("__kind"))
 
 

@@ -34,6 +34,8 @@ from tidemark.sources.tables import read_first, read_table
 from tidemark.session import path_exists
 
 KEYS = ["symbol", "market"]
+#: order of deliveries: time and name of the landed file
+DELIVERY = ["_delivered_at", "_delivered_as"]
 SERIES_META = {"symbol": "digital_currency_code", "market": "market_code"}
 
 # The price check constraint, and the (tier, table) names of the
@@ -71,8 +73,11 @@ def _series(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
     return _series_rows(lake, payload.read_landed(spark, landing))
 
 
-def _quotes(spark: SparkSession, landing: str) -> DataFrame:
-    return payload.quote_rows(payload.read_landed(spark, landing))
+def _quotes(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
+    """Quotes of a folder with all their fields; other documents go to the quarantine."""
+    docs = payload.read_landed(spark, landing)
+    sink.append_new(payload.quote_rejects(docs, passthrough=["file"]), lake.table("quarantine", "quote_payloads"))
+    return payload.quote_rows(docs, fields="discover")
 
 
 # ------------------------------------------------------------ variant A
@@ -80,22 +85,27 @@ def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landi
     out: dict = {}
     bronze = lake.table(*STRICT_TABLES["bronze_series"])
     rows = _series(spark, lake, series_landing)
-    out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"], order=None,
+    out["bronze"] = sink.upsert_table(spark, bronze, rows, KEYS + ["datetime"], order=DELIVERY, transient=DELIVERY,
                                       rejects_path=lake.table("quarantine", "crypto_daily"),
-                                      sort_by=KEYS + ["datetime"])
-
-    silver = lake.table(*STRICT_TABLES["silver_series"])
-    b = read_table(spark, bronze)
-    clean = quality.keep_positive(quality.drop_any_null(b), "close")
-    sink.overwrite_merge_schema(clean, silver, ["month"], sort_by=KEYS + ["datetime"])
-
-    gold = lake.table(*STRICT_TABLES["gold_monthly"])
-    s = read_table(spark, silver)
-    sink.overwrite_merge_schema(rollup.monthly_summary(s, ts="month", keys=KEYS), gold)
-
+                                      sort_by=KEYS + ["datetime"], volatile=[])
+
+    if path_exists(spark, bronze):  # nothing but notices so far: no table yet
+        silver = lake.table(*STRICT_TABLES["silver_series"])
+        b = read_table(spark, bronze)
+        clean = quality.keep_positive(quality.drop_any_null(b), "close")
+        if not clean.isEmpty():  # a partitioned write of no rows leaves no file to read
+            sink.overwrite_merge_schema(clean, silver, ["month"], sort_by=KEYS + ["datetime"])
+            gold = lake.table(*STRICT_TABLES["gold_monthly"])
+            s = read_table(spark, silver)
+            sink.overwrite_merge_schema(rollup.monthly_summary(s, ts="month", keys=KEYS), gold)
+
+    fx_b = lake.table(*STRICT_TABLES["bronze_quotes"])
     if quote_landing:
-        fx_b = lake.table(*STRICT_TABLES["bronze_quotes"])
-        sink.overwrite(_quotes(spark, quote_landing), fx_b)
+        fx = _quotes(spark, lake, quote_landing)
+        # a delivery without any quote (a notice) leaves the quotes of the last one
+        if not fx.isEmpty():
+            sink.overwrite(fx, fx_b)
+    if quote_landing and path_exists(spark, fx_b):
         fx_s = lake.table(*STRICT_TABLES["silver_quotes"])
         sink.overwrite_merge_schema(drop_repeated_columns(read_table(spark, fx_b)), fx_s)
         fx_g = lake.table(*STRICT_TABLES["gold_quotes"])
@@ -113,14 +123,26 @@ def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landi
 # ------------------------------------------------------------ variant B
 def _series_rows(lake: Lake, docs: DataFrame) -> DataFrame:
     """Series rows of landed documents (``file``, ``raw``); documents that are
-    not series (empty, not JSON, a rate-limit notice) go to the quarantine (S4)."""
-    sink.append(payload.series_rejects(docs, passthrough=["file"]), lake.table("quarantine", "series_payloads"))
+    not series (empty, not JSON, a rate-limit notice) go to the quarantine (S4).
+    The rows carry ``DELIVERY``, by which a later delivery of a day wins."""
+    sink.append_new(payload.series_rejects(docs, passthrough=["file"]), lake.table("quarantine", "series_payloads"))
     # every field the documents carry becomes a column, as landed; a new field
     # reaches the tables through their schema-merging writes
-    rows = payload.series_rows(docs, fields="discover", meta=SERIES_META)
+    docs = docs.withColumnsRenamed({"modified": DELIVERY[0], "file": DELIVERY[1]})
+    rows = payload.series_rows(docs, fields="discover", meta=SERIES_META, passthrough=DELIVERY)
     return rows.withColumn("month", month_str("datetime"))
 
 
+def _fresh_stamp(spark: SparkSession, bronze: str, run_ts: _dt.datetime) -> _dt.datetime:
+    """The stamp of a run, moved past the newest one in bronze if it is not later, so that the
+    strict ingestion watermark of the transformation skips no row."""
+    if path_exists(spark, bronze):
+        newest = spark.read.parquet(bronze).agg(F.max("ingestion_timestamp")).first()[0]
+        if newest is not None and run_ts <= newest:
+            return newest + _dt.timedelta(microseconds=1)
+    return run_ts
+
+
 def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing: str | None,
            run_ts: _dt.datetime, whole_files: bool = True, max_files_per_batch: int | None = None) -> dict:
     """Bronze step of the incremental flow.
@@ -136,20 +158,22 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
     bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
     tag = hashlib.sha1(series_landing.rstrip("/").encode()).hexdigest()[:16]
     ckpt = lake.table("state", f"_ingest-{tag}")
-    totals = {"inserted": 0, "updated": 0, "kept": 0, "rejected": 0, "created": False, "batches": 0}
+    totals = {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0, "rejected": 0, "created": False, "batches": 0}
+    stamp = _fresh_stamp(spark, bronze, run_ts)
 
     def merge_batch(raw: DataFrame, epoch_id: int) -> None:
         bs = raw.sparkSession
-        docs = raw.select(F.col("file"), F.col("value").alias("raw"))
-        rows = _series_rows(lake, docs).withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+        docs = raw.select("file", "modified", F.col("value").alias("raw"))
+        rows = _series_rows(lake, docs).withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp_ntz"))
         rows = quality.keep_positive(quality.drop_null_subset(rows, ["close"]), "close")
         if not path_exists(bs, bronze):
             quality.enforce_checks(rows, PRICE_RULES)
         # rows without a date or series key are quarantined by the upsert
-        m = sink.upsert_table(bs, bronze, rows, KEYS + ["datetime"], order=["ingestion_timestamp"],
+        # and a day delivered again without a change keeps its row and stamp
+        m = sink.upsert_table(bs, bronze, rows, KEYS + ["datetime"], order=DELIVERY, transient=DELIVERY,
                               rejects_path=lake.table("quarantine", "digital_currency_daily"),
-                              sort_by=KEYS + ["datetime"])
-        for k in ("inserted", "updated", "kept", "rejected"):
+                              sort_by=KEYS + ["datetime"], volatile=["ingestion_timestamp"])
+        for k in ("inserted", "updated", "unchanged", "kept", "rejected"):
             totals[k] += m.get(k, 0)
         totals["created"] = totals["created"] or m.get("created", False)
         totals["batches"] += 1
@@ -157,13 +181,15 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
     reader = spark.readStream.option("wholetext", "true" if whole_files else "false")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    stream = reader.text(series_landing).select(F.col("_metadata.file_path").alias("file"), "value")
+    stream = reader.text(series_landing).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"), "value")
     q = (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
                .trigger(availableNow=True).start())
     q.awaitTermination()
     out: dict = {"bronze": totals}
     if quote_landing:
-        fx = _quotes(spark, quote_landing).withColumn(
+        fx = _quotes(spark, lake, quote_landing).withColumn(
             "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
         # a delivery without any quote (a notice) leaves the quotes of the last one
         if not fx.isEmpty():
@@ -229,7 +255,30 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     """
     out: dict = {}
     staged: list[str] = []
-    bronze = read_table(spark, lake.table(*INCREMENTAL_TABLES["bronze_series"]))
+    bronze_path = lake.table(*INCREMENTAL_TABLES["bronze_series"])
+    if path_exists(spark, bronze_path):
+        out.update(_transform_series(spark, lake, read_table(spark, bronze_path), staged))
+    else:  # nothing but notices so far
+        out["silver"] = {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0, "created": False}
+
+    fx_b = read_first(spark, [lake.table(*INCREMENTAL_TABLES["bronze_quotes"])])
+    if fx_b is not None:
+        fx = normalize_columns(fx_b)
+        fx = dedup.keep_last(fx, ["from_currency_code", "to_currency_code", "last_refreshed"],
+                             ["ingestion_timestamp"])
+        sink.publish_by_key(spark, lake.table(*INCREMENTAL_TABLES["silver_quotes"]), fx,
+                            ["from_currency_code", "to_currency_code", "last_refreshed"])
+        latest = dedup.keep_last(fx, ["from_currency_code", "to_currency_code"],
+                                 ["last_refreshed", "ingestion_timestamp"])
+        sink.publish_by_key(spark, lake.table(*INCREMENTAL_TABLES["gold_quotes"]), latest,
+                            ["from_currency_code", "to_currency_code"])
+    sink.drop_staged(spark, *staged)
+    return out
+
+
+def _transform_series(spark: SparkSession, lake: Lake, bronze: DataFrame, staged: list[str]) -> dict:
+    """Silver prices and monthly gold of the bronze rows past the watermark."""
+    out: dict = {}
     silver_path = lake.table(*INCREMENTAL_TABLES["silver_series"])
     wm_path = lake.table("state", "silver_watermark")
     last_path = lake.table("state", "silver_last_row")
@@ -270,7 +319,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
         rows = enrich.enrich_scalar(rows, _fx_rate(spark, lake), "rate", value_col="close", out_col="close_fx")
         rows = _stage(spark, rows, "silver-rows", staged)
         out["silver"] = sink.upsert_table(spark, silver_path, rows, KEYS + ["datetime"], partition_col="month",
-                                          sort_by=KEYS + ["datetime"])
+                                          sort_by=KEYS + ["datetime"], volatile=[])
 
         # state: last silver row per key, then the watermark (written last:
         # a failure before it makes the next run redo this increment, which
@@ -290,36 +339,16 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
         touched = s.join(rows.select("month").distinct(), on="month", how="left_semi")
         gold = rollup.monthly_summary(touched, ts="month", keys=KEYS)
         out["gold"] = sink.upsert_table(spark, lake.table(*INCREMENTAL_TABLES["gold_monthly"]), gold,
-                                        KEYS + ["month"], partition_col="month")
+                                        KEYS + ["month"], partition_col="month", volatile=[])
     else:
-        out["silver"] = {"inserted": 0, "updated": 0, "kept": 0, "created": False}
-
-    fx_b = read_first(spark, [lake.table(*INCREMENTAL_TABLES["bronze_quotes"])])
-    if fx_b is not None:
-        fx = normalize_columns(fx_b)
-        fx = dedup.keep_last(fx, ["from_currency_code", "to_currency_code", "last_refreshed"],
-                             ["ingestion_timestamp"])
-        sink.publish_by_key(spark, lake.table(*INCREMENTAL_TABLES["silver_quotes"]), fx,
-                            ["from_currency_code", "to_currency_code", "last_refreshed"])
-        latest = dedup.keep_last(fx, ["from_currency_code", "to_currency_code"],
-                                 ["last_refreshed", "ingestion_timestamp"])
-        sink.publish_by_key(spark, lake.table(*INCREMENTAL_TABLES["gold_quotes"]), latest,
-                            ["from_currency_code", "to_currency_code"])
-    sink.drop_staged(spark, *staged)
+        out["silver"] = {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0, "created": False}
     return out
 
 
 def run_incremental(spark: SparkSession, lake: Lake, series_landing: str,
                     quote_landing: str | None = None, run_ts: _dt.datetime | None = None) -> dict:
-    """Both steps. The run's stamp (``run_ts``, default the time of the run) is moved past the
-    newest stamp in bronze if it is earlier, so the strict ingestion watermark of the
-    transformation does not skip a run's rows. An equal stamp means that run again."""
+    """Both steps, stamped ``run_ts`` (default the time of the run)."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
-    if path_exists(spark, bronze):
-        newest = spark.read.parquet(bronze).agg(F.max("ingestion_timestamp")).first()[0]
-        if newest is not None and run_ts < newest:
-            run_ts = newest + _dt.timedelta(microseconds=1)
     out = ingest(spark, lake, series_landing, quote_landing, run_ts)
     out.update(transform(spark, lake))
     return out

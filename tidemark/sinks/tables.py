@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_str
 from tidemark.operators.dedup import keep_last
-from tidemark.operators.upsert import assert_unique_keys, flagged_merge, kind_counts
+from tidemark.operators.upsert import assert_unique_keys, flagged_merge
 from tidemark.session import checkpoint_root, path_exists
 
 
@@ -112,6 +112,29 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
     _writer(df, partition_by, sort_by).mode("append").parquet(path)
 
 
+def append_new(df: DataFrame, path: str, ignore: list[str] = ()) -> None:
+    """K2 for quarantine tables: add the rows the table does not hold yet, so a replayed
+    batch adds none. Rows are compared by a hash of all columns but ``ignore``; a column
+    that one side lacks is null there."""
+    spark = df.sparkSession
+    if not path_exists(spark, path):
+        append(df, path)
+        return
+    old = spark.read.option("mergeSchema", "true").parquet(path)
+    cols = sorted((set(old.columns) | set(df.columns)) - set(ignore))
+
+    def row(d: DataFrame):
+        return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols if c in d.columns])), 256).alias("__row")
+    known = old.select(row(old)).distinct()
+    append(df.withColumn("__row", row(df)).join(known, "__row", "left_anti").drop("__row"), path)
+
+
+def _in_partitions(col: str, values: list):
+    """Rows of the listed partitions; null is a partition like any other, and isin never matches it."""
+    listed = F.col(col).isin([v for v in values if v is not None])
+    return listed | F.col(col).isNull() if None in values else listed
+
+
 def overwrite_merge_schema(df: DataFrame, path: str, partition_by: list[str] | None = None,
                            sort_by: list[str] | None = None) -> None:
     """K4: overwrite, keeping columns the table had that ``df`` lacks (null)."""
@@ -137,14 +160,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  partition_col: str = "month", order: list[str] | None = None,
                  ts_col: str | None = "datetime", rejects_path: str | None = None,
-                 sort_by: list[str] | None = None) -> dict:
+                 sort_by: list[str] | None = None, transient: list[str] = (),
+                 volatile: list[str] | None = None) -> dict:
     """K5 + K6 + A4: merge ``source`` into the table at ``path`` by ``keys``.
 
     * rows with a null key never match (N8) and would be inserted again on
       every run: they are kept out, counted as ``rejected`` and, with
       ``rejects_path``, appended there (quarantine, N4);
     * a repeated source key keeps its last row by ``order``, or fails if no
-      order is given;
+      order is given; ``transient`` columns only serve that order and are not stored;
+    * with ``volatile`` (a list, maybe empty) a matched row whose other columns all equal
+      the stored ones is ``unchanged``: it stays as stored, and a partition without any
+      change is not rewritten;
     * ``partition_col`` (default ``month`` of ``ts_col``) must be a function
       of the key, so a key never moves between partitions;
     * only partitions present in the source are read and rewritten; the
@@ -153,8 +180,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     * ``sort_by`` orders rows inside each written file (O1), keeping row-group
       statistics tight for later filters on those columns.
 
-    Returns real counts: ``inserted``, ``updated``, ``kept`` (rows of
-    touched partitions left as they were), ``rejected``, ``created``.
+    Returns real counts: ``inserted``, ``updated``, ``unchanged``, ``kept`` (rows of
+    touched partitions the source does not hold), ``rejected``, ``created``. Without any
+    row a missing table is not created: a folder without a data file has no schema.
     """
     keys = list(keys)
     src = source
@@ -174,38 +202,47 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     rejected = raw.filter(bad_key)
     n_rejected = rejected.count()
     if n_rejected and rejects_path:
-        append(rejected, rejects_path)
+        append_new(rejected.drop(*transient), rejects_path, ignore=volatile or ())
     src = raw.filter(~bad_key)
     if order:
         src = keep_last(src, keys, order)
+    src = src.drop(*transient)
     src_path = staging_path(spark, "upsert-src")
     src.write.parquet(src_path)
     src = spark.read.parquet(src_path)
     drop_staged(spark, raw_path)
     if not order:
         assert_unique_keys(src, keys)
-    zero = {"inserted": 0, "updated": 0, "kept": 0, "rejected": n_rejected}
+    zero = {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0, "rejected": n_rejected}
 
+    if src.isEmpty():
+        drop_staged(spark, src_path)
+        return {**zero, "created": False}
     if not path_exists(spark, path):
         append(src, path, [partition_col], sort_by)
         n = src.count()
         drop_staged(spark, src_path)
         return {**zero, "inserted": n, "created": True}
-    if src.isEmpty():
-        drop_staged(spark, src_path)
-        return {**zero, "created": False}
 
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
-    target = spark.read.option("mergeSchema", "true").parquet(path)
-    # null is a partition like any other, and isin never matches it
-    in_touched = F.col(partition_col).isin([t for t in touched if t is not None])
-    target = target.filter(in_touched | F.col(partition_col).isNull() if None in touched else in_touched)
+    target = spark.read.option("mergeSchema", "true").parquet(path).filter(_in_partitions(partition_col, touched))
 
     staged = staging_path(spark, "upsert")
-    append(flagged_merge(target, src, keys), staged, [partition_col])
+    compare = None
+    if volatile is not None:
+        fixed = {*keys, *volatile, partition_col}
+        compare = [c for c in dict.fromkeys([*target.columns, *src.columns]) if c not in fixed]
+    append(flagged_merge(target, src, keys, compare), staged, [partition_col])
     merged = spark.read.option("mergeSchema", "true").parquet(staged)
-    metrics = {**merged.agg(*kind_counts()).first().asDict(), "rejected": n_rejected}
-    overwrite_partitions(merged.drop("__kind"), path, [partition_col], sort_by)
+    kinds = {r[0]: r[1] for r in merged.groupBy("__kind").count().collect()}
+    metrics = {k: kinds.get(k, 0) for k in ("inserted", "updated", "unchanged", "kept")}
+    metrics["rejected"] = n_rejected
+    if metrics["unchanged"]:
+        changed = [r[0] for r in merged.filter(F.col("__kind").isin("inserted", "updated"))
+                   .select(partition_col).distinct().collect()]
+        merged = merged.filter(_in_partitions(partition_col, changed))
+    if metrics["inserted"] or metrics["updated"]:
+        overwrite_partitions(merged.drop("__kind"), path, [partition_col], sort_by)
     drop_staged(spark, src_path, staged)
     metrics["created"] = False
     return metrics

@@ -24,9 +24,13 @@ QUOTE_FIELDS = ("from_currency_code", "from_currency_name", "to_currency_code",
                 "to_currency_name", "exchange_rate", "last_refreshed", "time_zone",
                 "bid_price", "ask_price")
 
+#: distinct field names that become columns; more is an error, never a cut
+MAX_FIELDS = 2000
+
 
 def read_landed(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """Landed documents as rows (``file``, ``raw``).
+    """Landed documents as rows (``file``, ``modified``, ``raw``); the file's time and
+    name are the order of deliveries.
 
     ``whole_files``: one document per file (pretty-printed JSON allowed).
     Otherwise one document per line (JSON lines): large landing files are
@@ -34,7 +38,8 @@ def read_landed(spark: SparkSession, path: str, whole_files: bool = True) -> Dat
     millions of files.
     """
     df = spark.read.text(path, wholetext=whole_files)
-    return df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"))
+    return df.select(F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("raw"))
 
 
 def json_field(raw, path: str) -> Column:
@@ -60,39 +65,59 @@ def _top(raw: Column) -> Column:
     return F.from_json(raw, "map<string,string>")
 
 
+def _first_series(top: Column) -> Column:
+    """Text of the first ``Time Series*`` child."""
+    return F.try_element_at(
+        F.map_values(F.map_filter(top, lambda k, v: k.startswith(SERIES_KEY_PREFIX))), F.lit(1))
+
+
+def _reject_reason(raw: Column, top: Column, has: Column, child: Column, kind: str) -> Column:
+    """Null for a document that yields rows, else why it yields none."""
+    return (F.when(raw.isNull() | F.trim(raw).isin("", "null"), F.lit("empty"))
+             .when(top.isNull(), F.lit("not_a_json_object"))
+             .when(F.size(top) == 0, F.lit("empty"))
+             .when(~has, F.lit(f"no_{kind}"))
+             .when(child.isNull() | (F.size(child) == 0), F.lit(f"malformed_{kind}")))
+
+
 def classify_series(df: DataFrame, raw: str = "raw") -> DataFrame:
     """S4 for series documents: adds ``_reject`` (null = accepted) and the
-    top-level keys found, so a rate-limit notice is reported, not loaded."""
+    top-level keys found, so a rate-limit notice is reported, not loaded.
+    A series that is no object or has no entry is ``malformed_time_series``."""
     df = df.withColumn("_top", _top(F.col(raw)))
     top = F.col("_top")
-    has = F.size(F.filter(F.map_keys(top), lambda k: k.startswith(SERIES_KEY_PREFIX))) > 0
-    blank = F.col(raw).isNull() | F.trim(F.col(raw)).isin("", "null")
-    reason = (F.when(blank, F.lit("empty"))
-               .when(top.isNull(), F.lit("not_a_json_object"))
-               .when(F.size(top) == 0, F.lit("empty"))
-               .when(~has, F.lit("no_time_series")))
+    has = F.exists(F.map_keys(top), lambda k: k.startswith(SERIES_KEY_PREFIX))
+    child = F.from_json(_first_series(top), "map<string,string>")
+    reason = _reject_reason(F.col(raw), top, has, child, "time_series")
     return df.withColumn("_reject", reason).withColumn("_keys_found", F.map_keys(top))
 
 
+def _discovered(names: DataFrame, column: str, first: tuple[str, ...]) -> list[str]:
+    """``first`` and then the other map keys of ``column``, by name. The distinct keys
+    are column names of the plan; more than ``MAX_FIELDS`` of them is an error."""
+    found = [r[0] for r in names.select(F.explode(F.map_keys(column))).distinct().limit(MAX_FIELDS + 1).collect()]
+    if len(found) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} distinct field names in the landed documents")
+    return [*first, *sorted(set(found) - set(first))]
+
+
 def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
                 meta: dict[str, str] | None = None, keep_extra: bool = False,
                 passthrough: list[str] = ()) -> DataFrame:
     """S1 + P1 + P3 + Q6 + Q7 + P10: one row per (document, date).
 
     ``fields``: the cleaned field names to project as numbers, or
-    ``"discover"`` to take every field the documents carry (one aggregation
-    collects the distinct names - bounded by the number of names, not rows;
-    the usual price fields first, others by name).
+    ``"discover"`` for the usual price fields and then every other field the
+    documents carry, by name (one aggregation collects the distinct names,
+    at most ``MAX_FIELDS``).
     ``meta`` maps output column -> cleaned ``Meta Data`` field name (e.g.
     ``{"symbol": "digital_currency_code"}``) to carry series keys onto rows.
-    A document without a ``Time Series*`` object yields no rows (its series
-    is null and explodes to nothing; ``series_rejects`` lists it).
+    A document yields rows or one reject (``series_rejects``), never neither;
+    an entry that is no object is a row without values.
     """
     keep = list(passthrough)
     d = df.select(*keep, _top(F.col(raw)).alias("_top"))
-    series_txt = F.try_element_at(
-        F.map_values(F.map_filter(F.col("_top"), lambda k, v: k.startswith(SERIES_KEY_PREFIX))), F.lit(1))
-    d = d.select(*keep, F.from_json(series_txt, "map<string,map<string,string>>").alias("_series"),
+    d = d.select(*keep, F.from_json(_first_series(F.col("_top")), "map<string,string>").alias("_series"),
                  F.from_json(F.element_at(F.col("_top"), META_KEY), "map<string,string>").alias("_meta"))
     meta_cols: list[str] = []
     if meta:
@@ -102,12 +127,12 @@ def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
     # explode_outer + a filter on its output: a plain explode makes Spark
     # infer size(_series) > 0 and push it below the projection, parsing the
     # series text twice
-    exploded = d.select(*keep, *meta_cols, F.explode_outer(F.col("_series")).alias("_date_key", "_raw_fields")) \
-                .filter(F.col("_raw_fields").isNotNull())
+    exploded = d.select(*keep, *meta_cols, F.explode_outer(F.col("_series")).alias("_date_key", "_entry")) \
+                .filter(F.col("_date_key").isNotNull()) \
+                .withColumn("_raw_fields", F.from_json("_entry", "map<string,string>"))
     named = _with_renamed_map(exploded, "_raw_fields", series_field_expr, "_fields")
     if fields == "discover":
-        found = [r[0] for r in named.select(F.explode(F.map_keys("_fields"))).distinct().collect()]
-        fields = [f for f in SERIES_FIELDS if f in found] + sorted(f for f in found if f not in SERIES_FIELDS)
+        fields = _discovered(named, "_fields", SERIES_FIELDS)
     out = [F.col(p) for p in keep + meta_cols]
     out.append(to_datetime_fixed("_date_key", "yyyy-MM-dd").alias("datetime"))
     out += [to_double(F.element_at(F.col("_fields"), f)).alias(f) for f in fields]
@@ -126,23 +151,26 @@ def series_rejects(df: DataFrame, raw: str = "raw", passthrough: list[str] = ())
 def quote_rows(df: DataFrame, raw: str = "raw", fields=QUOTE_FIELDS,
                passthrough: list[str] = ()) -> DataFrame:
     """S2 + P2 + P3: one row per quote document; values stay text (as landed).
-    Documents without the quote object yield no row (see ``quote_rejects``)."""
+    ``fields="discover"`` takes the usual fields and then every other one, by name.
+    A document yields a row or one reject (``quote_rejects``)."""
     keep = list(passthrough)
     d = df.select(*keep, F.element_at(_top(F.col(raw)), QUOTE_KEY).alias("_obj"))
     d = d.select(*keep, F.from_json(F.col("_obj"), "map<string,string>").alias("_m"))
     # zero or one quote per document; the filter sits above the generator,
     # so it is not pushed into (and does not repeat) the parsing
-    d = d.select(*keep, F.explode_outer(F.array(F.col("_m"))).alias("_m")).filter(F.col("_m").isNotNull())
+    d = d.select(*keep, F.explode_outer(F.array(F.col("_m"))).alias("_m")).filter(F.size("_m") > 0)
     d = _with_renamed_map(d, "_m", quote_field_expr, "_q")
+    if fields == "discover":
+        fields = [f for f in _discovered(d, "_q", QUOTE_FIELDS) if f]
     return d.select(*keep, *[F.element_at(F.col("_q"), f).alias(f) for f in fields])
 
 
 def quote_rejects(df: DataFrame, raw: str = "raw", passthrough: list[str] = ()) -> DataFrame:
     """S4 for quote documents."""
-    d = df.select(*passthrough, _top(F.col(raw)).alias("_top"))
+    d = df.select(*passthrough, F.col(raw).alias("_raw"), _top(F.col(raw)).alias("_top"))
     top = F.col("_top")
-    reason = (F.when(top.isNull() | (F.size(top) == 0), F.lit("empty"))
-               .when(F.element_at(top, QUOTE_KEY).isNull(), F.lit("no_quote")))
+    child = F.from_json(F.element_at(top, QUOTE_KEY), "map<string,string>")
+    reason = _reject_reason(F.col("_raw"), top, F.map_contains_key(top, QUOTE_KEY), child, "quote")
     return d.select(*passthrough, reason.alias("reason"), F.map_keys(top).alias("keys_found")) \
             .filter(F.col("reason").isNotNull())
 
