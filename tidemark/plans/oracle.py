@@ -5,6 +5,17 @@ scalar subqueries, full outer joins - so they check the aggregate-based
 Spark plans rather than repeat them. Column names equal the Spark aliases.
 """
 
+# states that several table jobs must leave
+TWO_BATCHES = """
+    with t as (select o_orderkey, o_totalprice, o_orderdate from orders where o_orderdate < timestamp '2000-01-01'),
+         s as (select o_orderkey, o_orderdate,
+                      case when o_orderstatus = 'F' then o_totalprice else o_totalprice + 1 end as o_totalprice
+               from orders where o_orderdate >= timestamp '1999-01-01')
+    select coalesce(s.o_orderkey, t.o_orderkey) as o_orderkey, coalesce(s.o_totalprice, t.o_totalprice) as o_totalprice,
+           strftime(coalesce(s.o_orderdate, t.o_orderdate), '%Y') as year
+    from t full outer join s on t.o_orderkey = s.o_orderkey"""
+ALL_PRICES = "select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') as year from orders"
+
 ORACLE_SQL = {
     "monthly_summary": """
         select strftime(o_orderdate, '%Y-%m') as month,
@@ -189,4 +200,36 @@ ORACLE_SQL = {
         union all select 'lineitem', count(*) from lineitem
         union all select 'events', count(*) from events
         union all select 'customer', count(*) from customer""",
+    "table_upsert": TWO_BATCHES,
+    "zorder_then_upsert": TWO_BATCHES,
+    "overwrite_schema_merge": """
+        select c_custkey, c_name, cast(null as double) as c_acctbal, upper(c_mktsegment) as segment from customer""",
+    "sorted_partitions": ALL_PRICES,
+    "compacted_table": ALL_PRICES,
+    "publish_prices": """
+        select o_orderkey, case when o_orderstatus = 'O' then o_totalprice + 1 else o_totalprice end as o_totalprice
+        from orders""",
+    "fallback_scan": "select n_nationkey, n_name, n_regionkey from nation",
+    "picked_columns": """
+        select event_id, value as close, value as close_dup, value * 2 as exchange_rate from events""",
+    "strict_dates": "select o_orderkey, cast(cast(o_orderdate as date) as timestamp) as day from orders",
+    "vacuum_then_as_of": """
+        select o_orderkey, case when o_orderstatus = 'P' then o_totalprice + 2 else o_totalprice + 1 end as o_totalprice
+        from orders where o_orderstatus = 'P' or (o_orderstatus <> 'O' and o_orderpriority <> '1-URGENT')""",
+    "as_of_after_delete": """
+        select o_orderkey, o_totalprice + 1 as o_totalprice from orders
+        where o_orderstatus = 'P' or (o_orderstatus <> 'O' and o_orderpriority <> '1-URGENT')""",
+    "current_version": "select cast(3 as bigint) as version from orders where o_orderstatus = 'P' group by 1",
+    "document_outcomes": """
+        select event_id, case when event_type = 'purchase' then cast(value as varchar) end as exchange_rate,
+               case when event_type = 'purchase' then cast(user_id as varchar) end as seen_by,
+               case event_type when 'purchase' then null when 'error' then 'no_quote' when 'click' then 'not_a_json_object'
+                               when 'view' then 'malformed_quote' else 'empty' end as reason
+        from events""",
+    "ingest_overlapping": """
+        select event_type as symbol, 'USD' as market, strftime(day, '%Y-%m-%d') as date, strftime(day, '%Y-%m') as month,
+               max(value) as high,
+               case when dayofmonth(day) >= 15 then arg_max(value, ts) / 2 else arg_max(value, ts) end as close
+        from (select *, date_trunc('day', ts) as day from events)
+        group by event_type, day having arg_max(value, ts) > 0""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import atexit
 import tempfile
 import uuid
 
@@ -102,6 +103,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A scratch path that is removed when the driver ends."""
+    path = scratch_path(spark, name)
+
+    def remove() -> None:
+        if spark.sparkContext._jsc is not None:
+            hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+    atexit.register(remove)
+    return path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system of the path (any scheme)."""
     jvm = spark._jvm
