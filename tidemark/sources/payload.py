@@ -117,7 +117,12 @@ def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
     """
     keep = list(passthrough)
     d = df.select(*keep, _top(F.col(raw)).alias("_top"))
-    d = d.select(*keep, F.from_json(_first_series(F.col("_top")), "map<string,string>").alias("_series"),
+    text = _first_series(F.col("_top"))
+    # one parse; a series with an entry that is no object fails it and is parsed entry by entry
+    series = F.coalesce(F.from_json(text, "map<string,map<string,string>>"),
+                        F.transform_values(F.from_json(text, "map<string,string>"),
+                                           lambda k, v: F.from_json(v, "map<string,string>")))
+    d = d.select(*keep, series.alias("_series"),
                  F.from_json(F.element_at(F.col("_top"), META_KEY), "map<string,string>").alias("_meta"))
     meta_cols: list[str] = []
     if meta:
@@ -127,9 +132,8 @@ def series_rows(df: DataFrame, raw: str = "raw", fields=SERIES_FIELDS,
     # explode_outer + a filter on its output: a plain explode makes Spark
     # infer size(_series) > 0 and push it below the projection, parsing the
     # series text twice
-    exploded = d.select(*keep, *meta_cols, F.explode_outer(F.col("_series")).alias("_date_key", "_entry")) \
-                .filter(F.col("_date_key").isNotNull()) \
-                .withColumn("_raw_fields", F.from_json("_entry", "map<string,string>"))
+    exploded = d.select(*keep, *meta_cols, F.explode_outer(F.col("_series")).alias("_date_key", "_raw_fields")) \
+                .filter(F.col("_date_key").isNotNull())
     named = _with_renamed_map(exploded, "_raw_fields", series_field_expr, "_fields")
     if fields == "discover":
         fields = _discovered(named, "_fields", SERIES_FIELDS)
