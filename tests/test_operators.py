@@ -23,7 +23,7 @@ def _series(n=400, keys=3, seed=1, null_share=0.3):
     return rows
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month"])
+@pytest.mark.parametrize("bucket", ["hour", "day", "month", "range"])
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_two_phase_fill_equals_pandas_ffill_bfill(spark, bucket, keys):
     rows = _series()
@@ -161,7 +161,7 @@ def test_fill_null_key_is_its_own_series(spark):
     rows = [(1, None, d(2024, 1, 1), 1.0), (2, None, d(2024, 1, 2), None),
             (3, "a", d(2024, 1, 1), None), (4, "a", d(2024, 1, 3), 5.0), (5, "a", d(2024, 1, 4), None)]
     df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double")
-    got = {r.id: r.v for r in fill.fill_gaps(df, ["v"], ["ts", "id"], keys=["k"], bucket="day").collect()}
+    got = {r.id: r.v for r in fill.fill_gaps(df, ["v"], ["ts", "id"], keys=["k"]).collect()}
     assert got == {1: 1.0, 2: 1.0, 3: 5.0, 4: 5.0, 5: 5.0}
 
 

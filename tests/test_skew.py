@@ -65,3 +65,24 @@ def test_fill_spreads_a_hot_key_over_tasks(spark):
     # the hot key's buckets land in several tasks instead of one
     assert parts > 1
     assert out.filter(F.col("v").isNull()).count() == 0
+
+
+def test_fill_ranges_follow_the_shuffle_partitions(spark):
+    # all rows lie in one day and a third of them in one key: calendar buckets would make few tasks
+    df = spark.range(20_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 5) END AS k",
+        "timestamp_micros(1704067200000000 + id * 1000) AS ts", "CASE WHEN id % 7 > 0 THEN double(id) END AS v")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    used, most = {}, {}
+    try:
+        for n in (4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            filled = fill.fill_gaps(df, ["v"], ["ts", "id"])
+            sizes = [r["n"] for r in filled.groupBy(F.spark_partition_id()).agg(F.count("v").alias("n")).collect()]
+            used[n], most[n] = len(sizes), max(sizes)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert used[4] == 4 and used[16] > 12
+    assert most[16] < most[4] < 20_000

@@ -9,24 +9,16 @@ from tidemark.functions.dates import month_str
 
 
 def monthly_summary(df: DataFrame, ts: str = "datetime", value: str = "close",
-                    keys: list[str] = (), exact_scale: int | None = None) -> DataFrame:
+                    keys: list[str] = ()) -> DataFrame:
     """A1: ``avg``, ``max``, ``min`` of ``value`` per (keys, month).
 
-    Rows without a month are dropped (a null group is not a month). With
-    ``exact_scale`` the sum is taken as ``decimal(38, scale)`` so the average
-    does not depend on the order rows are added in (same result on any
-    partitioning); it is divided as double.
+    Rows without a month are dropped (a null group is not a month).
     """
-    m = month_str(ts) if ts != "month" else F.col("month")
-    base = df.withColumn("month", m) if ts != "month" else df
+    base = df if ts == "month" else df.withColumn("month", month_str(ts))
     v = F.col(value)
-    if exact_scale is None:
-        avg = F.avg(v)
-    else:
-        avg = F.sum(v.cast(f"decimal(38,{exact_scale})")).cast("double") / F.count(v)
     return (base.filter(F.col("month").isNotNull())
                 .groupBy(*keys, "month")
-                .agg(avg.alias("avg_close"), F.max(v).alias("max_close"), F.min(v).alias("min_close")))
+                .agg(F.avg(v).alias("avg_close"), F.max(v).alias("max_close"), F.min(v).alias("min_close")))
 
 
 def latest_row(df: DataFrame, order: list[str], n: int = 1) -> DataFrame:

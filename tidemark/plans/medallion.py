@@ -312,7 +312,7 @@ def _transform_series(spark: SparkSession, lake: Lake, bronze: DataFrame, staged
         rows = inc.withColumn("__seed", F.lit(False))
         if seeds is not None:
             rows = rows.unionByName(seeds.withColumn("__seed", F.lit(True)), allowMissingColumns=True)
-        rows = fill.fill_gaps(rows, nums, order=["datetime", "__seed"], keys=KEYS, bucket="month")
+        rows = fill.fill_gaps(rows, nums, order=["datetime", "__seed"], keys=KEYS)
         rows = rows.filter(~F.col("__seed")).drop("__seed")
         rows = quality.keep_positive(rows, "close")
         rows = rows.withColumn("date", date_str("datetime")).withColumn("month", month_str("datetime"))

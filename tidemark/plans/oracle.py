@@ -19,12 +19,12 @@ ALL_PRICES = "select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') as ye
 ORACLE_SQL = {
     "monthly_summary": """
         select strftime(o_orderdate, '%Y-%m') as month,
-               cast(sum(cast(o_totalprice as decimal(38,2))) as double) / count(o_totalprice) as avg_close,
+               round(avg(o_totalprice), 4) as avg_close,
                max(o_totalprice) as max_close, min(o_totalprice) as min_close
         from orders where o_totalprice > 0 group by 1""",
     "monthly_by_symbol": """
         select event_type as symbol, strftime(ts, '%Y-%m') as month,
-               cast(sum(cast(value as decimal(38,2))) as double) / count(value) as avg_close,
+               round(avg(value), 4) as avg_close,
                max(value) as max_close, min(value) as min_close
         from events where value > 0 group by 1, 2""",
     "null_month_group": """
@@ -187,7 +187,7 @@ ORACLE_SQL = {
                  min(value) as low, arg_max(value, ts) as close, count(*) as volume
           from events group by 1, 2)
         select symbol, strftime(day, '%Y-%m') as month,
-               cast(sum(cast(close as decimal(38,2))) as double) / count(close) as avg_close,
+               round(avg(close), 4) as avg_close,
                max(close) as max_close, min(close) as min_close
         from d
         where open is not null and high is not null and low is not null and close is not null
