@@ -132,6 +132,32 @@ def test_compaction_preserves_rows_and_reduces_files(spark, tmp_root):
     assert spark.read.parquet(p).count() == len(before) + one.count()
 
 
+def test_compaction_keeps_a_clustered_order(spark, tmp_root):
+    p = os.path.join(tmp_root, "clustered")
+    spark.range(8000).withColumn("x", F.col("id") * 7 % 8000).repartitionByRange(8, "x").sortWithinPartitions("x").write.parquet(p)
+    size = maintenance.table_bytes(spark, p)
+    res = maintenance.compact(spark, p, target_file_bytes=size // 2 + 1)
+    assert res["files_after"] < res["files_before"] == 8
+    files = spark.read.parquet(p).groupBy("_metadata.file_name").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.count("*").alias("n"))
+    assert all(r.b - r.a + 1 == r.n for r in files.collect())          # each file holds one unbroken range
+    assert spark.read.parquet(p).count() == 8000
+    files_before = sorted(os.listdir(p))
+    maintenance.compact(spark, p, target_file_bytes=size // 2 + 1)
+    assert sorted(os.listdir(p)) == files_before                       # nothing left to do
+    assert [n for n in os.listdir(tmp_root) if n.startswith("clustered.")] == []
+
+
+def test_compaction_of_escaped_and_null_partitions(spark, tmp_root):
+    p = os.path.join(tmp_root, "escaped")
+    rows = spark.range(40).withColumn("k", F.element_at(F.array(F.lit("a:b"), F.lit("c d%"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")))
+    for _ in range(3):
+        rows.coalesce(1).write.mode("append").partitionBy("k").parquet(p)
+    before = _rows(spark.read.parquet(p))
+    res = maintenance.compact(spark, p)
+    assert (res["files_before"], res["files_after"], res["partitions_rewritten"]) == (9, 3, 3)
+    assert _rows(spark.read.parquet(p)) == before
+
+
 def test_zorder_preserves_rows(spark, tmp_root):
     p = os.path.join(tmp_root, "li")
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey")

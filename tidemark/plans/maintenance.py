@@ -8,17 +8,19 @@ and collects failures instead of stopping at the first one.
 from __future__ import annotations
 
 import math
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.zorder import interleave_bits
 from tidemark.operators.versions import DEFAULT_RETENTION_HOURS, vacuum_rows
-from tidemark.sinks.tables import (VACUUM_MARK, drop_staged, overwrite, overwrite_partitions, staging_path,
-                                   swap_in, version_index)
+from tidemark.sinks.tables import (VACUUM_MARK, drop_staged, overwrite, overwrite_partitions, staging_beside,
+                                   staging_path, swap_in, version_index)
 from tidemark.session import path_exists
 
 DEFAULT_FILE_BYTES = 128 * 1024 * 1024
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_bytes(spark: SparkSession, path: str) -> int:
@@ -55,9 +57,9 @@ def _partition_cols(spark: SparkSession, path: str) -> list[str]:
         cur = subs[0].getPath()
 
 
-def _partition_stats(spark: SparkSession, path: str, col: str) -> list[tuple[str, int, int]]:
+def _partition_stats(spark: SparkSession, path: str, col: str) -> list[tuple[str | None, int, int]]:
     """(value, data files, bytes) per ``col=value`` folder - file-system
-    metadata only, one entry per partition."""
+    metadata only, one entry per partition; names are decoded, the null partition is None."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -73,10 +75,17 @@ def _partition_stats(spark: SparkSession, path: str, col: str) -> list[tuple[str
             if f.getPath().getName().endswith(".parquet"):
                 files += 1
                 size += f.getLen()
-        out.append((name.split("=", 1)[1], files, size))
+        value = name.split("=", 1)[1]
+        out.append((None if value == NULL_PARTITION else unquote(value), files, size))
     return out
 
 
+def _in_stored_order(df: DataFrame, deal) -> DataFrame:
+    """Rows of a table dealt anew by ``deal``; each new file keeps them in the order of the files they came from."""
+    df = df.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
+    return deal(df).sortWithinPartitions("__file", "__row").drop("__file", "__row")
+
+
 def compact(spark: SparkSession, path: str, target_file_bytes: int = DEFAULT_FILE_BYTES) -> dict:
     """M1: rewrite a table into files of about ``target_file_bytes``.
 
@@ -84,7 +93,9 @@ def compact(spark: SparkSession, path: str, target_file_bytes: int = DEFAULT_FIL
     size needs are read and rewritten (REBALANCE with the advisory size set
     to the target, staged, then swapped in by dynamic partition overwrite) -
     cost follows the fragmented partitions, not the table. Unpartitioned
-    (or multi-level): ``repartition(n)`` with n from the table size, staged.
+    tables with more files than their size needs are dealt by stored order into that many,
+    multi-level ones are rewritten whole; both are staged beside the table. New files keep
+    rows in stored order, so a clustered table stays clustered.
     """
     before = data_file_count(spark, path)
     size = table_bytes(spark, path)
@@ -99,19 +110,21 @@ def compact(spark: SparkSession, path: str, target_file_bytes: int = DEFAULT_FIL
             todo = [v for v, files, b in stats if files > max(1, math.ceil(b / target_file_bytes))]
             rewritten = len(todo)
             if todo:
-                df = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(col).isin(todo))
+                df = spark.read.option("mergeSchema", "true").parquet(path).filter(
+                    F.col(col).isin([v for v in todo if v is not None]) | (F.col(col).isNull() & F.lit(None in todo)))
                 staged = staging_path(spark, "compact")
-                df.hint("rebalance", col).write.partitionBy(col).parquet(staged)
+                df = _in_stored_order(df, lambda d: d.hint("rebalance", col))
+                df.write.partitionBy(col).parquet(staged)
                 overwrite_partitions(spark.read.option("mergeSchema", "true").parquet(staged), path, [col])
                 drop_staged(spark, staged)
         else:
             df = spark.read.option("mergeSchema", "true").parquet(path)
             if parts:
-                staged = staging_path(spark, "compact")
-                df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staged)
+                staged = staging_beside(path)
+                _in_stored_order(df, lambda d: d.hint("rebalance", *parts)).write.partitionBy(*parts).parquet(staged)
                 swap_in(spark, staged, path)
-            else:
-                overwrite(df.repartition(max(1, math.ceil(size / target_file_bytes))), path)
+            elif before > (n := max(1, math.ceil(size / target_file_bytes))):
+                overwrite(_in_stored_order(df, lambda d: d.repartitionByRange(n, "__file", "__row")), path)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
     return {"files_before": before, "files_after": data_file_count(spark, path), "bytes": size,
@@ -235,7 +248,7 @@ def find_tables(spark: SparkSession, root: str) -> list[str]:
             return
         for e in entries:
             n = e.getPath().getName()
-            if e.isDirectory() and not n.startswith(("_", ".")) and ".__old-" not in n:
+            if e.isDirectory() and not n.startswith(("_", ".")) and ".__old-" not in n and ".__stage-" not in n:
                 walk(e.getPath())
 
     if fs.exists(top):

@@ -86,6 +86,11 @@ def staging_path(spark: SparkSession, name: str = "stage") -> str:
     return f"{checkpoint_root(spark)}/tidemark-stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staging_beside(path: str) -> str:
+    """A staging folder next to a table, so that publishing it is a rename on one file system."""
+    return f"{path.rstrip('/')}.__stage-{uuid.uuid4().hex[:12]}"
+
+
 def drop_staged(spark: SparkSession, *paths: str) -> None:
     """Remove staging folders once the write that read them has finished
     (only folders this library created under the staging root)."""
@@ -101,9 +106,14 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None,
               sort_by: list[str] | None = None) -> None:
     """K1 (+K3): replace the whole table; safe when ``df`` reads ``path``."""
     spark = df.sparkSession
-    staged = staging_path(spark, "overwrite")
-    _writer(df, partition_by, sort_by).mode("overwrite").parquet(staged)
-    swap_in(spark, staged, path)
+    staged = staging_beside(path)
+    try:
+        _writer(df, partition_by, sort_by).mode("overwrite").parquet(staged)
+        swap_in(spark, staged, path)
+    except BaseException:
+        fs, left = _fs(spark, staged)
+        fs.delete(left, True)
+        raise
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
