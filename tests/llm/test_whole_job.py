@@ -1,0 +1,17 @@
+"""Cases in which an operator once did less than the whole job."""
+
+from tidemark.llm import html_extract
+
+PARAGRAPH = "<p>Some words to read, and more, and then some more of them, again and again.</p>"
+WORDS = "Some words to read, and more, and then some more of them, again and again."
+
+
+def test_class_words_do_not_lose_the_article():
+    for name in ("layout has-sidebar", "content no-sidebar", "main-with-sidebar", "sidebar", "notice-period"):
+        page = f"<div class='{name}'><div><h1>Title</h1>{PARAGRAPH * 3}</div><div class='sidebar'><p>side, one</p></div></div>"
+        assert html_extract.main_text(page) == " ".join(["Title", *[WORDS] * 3]), name
+    for name in ("related-work", "side-effects", "social-history", "notice-period", "share-price"):
+        page = f"""<article><h1>Title</h1>{PARAGRAPH * 3}<h2 id='{name}'>Head</h2><p class='{name}'>Short.</p><p><span class='{name}'>in</span>
+        line</p><section id='{name}'><p>Section.</p></section><div class='ad-box'>buy</div><div class='comments'><p>hi, there</p></div></article>"""
+        assert html_extract.main_text(page) == " ".join(["Title", *[WORDS] * 3, "Head Short. in line Section."]), name
+    assert html_extract.main_text(f"<div>{PARAGRAPH}</div><div role='navigation'><p>a, b, c, d, e, f, g, h</p></div>") == WORDS

@@ -2,10 +2,11 @@
 
 Every paragraph gives points to its ancestors: one, one more for each comma, and up to
 three for its length; the parent takes them whole, the grandparent half, farther ones a
-third over their distance. A container's points are scaled by the share of its text that
-is not in links. The best container is taken, and those of its siblings that score near it
-or are plain paragraphs; elements that are not content by tag, role, or class and id words
-are left out.
+third over their distance. Points below a block with class or id words of other matter count
+a fifth. A container's points are scaled by the share of its text that is not in links. The
+best container is taken, and those of its siblings that score near it or are plain paragraphs.
+Elements that are not content by tag or role are left out, and blocks whose class or id
+names nothing but other matter, unless they hold the best container or most points.
 """
 
 from __future__ import annotations
@@ -44,12 +45,20 @@ _CLOSES = {
 }
 _INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup tt u var".split())
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: blocks whose class and id words count: no headings, no paragraphs
+_MARKED = BLOCKS - PARAGRAPHS - _HEADINGS - frozenset("article body br hr html main".split())
+
+_WORDS = (r"(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|breadcrumbs?|comments?|replies|reply|respond|disqus|"
+          r"cookies?|consent|gdpr|notice|alert|popup|modal|overlay|footer|foot|masthead|menu|nav|navbar|navigation|"
+          r"sidebar|side|widget|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|toolbar|"
+          r"pagination|pager|contentinfo|complementary|search|skip|hidden)")
 #: whole words of class, id and role that mark what is not the article
-NOT_CONTENT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|breadcrumbs?|comments?|replies|reply|respond|disqus|"
-    r"cookies?|consent|gdpr|notice|alert|popup|modal|overlay|footer|foot|masthead|menu|nav|navbar|navigation|"
-    r"sidebar|side|widget|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|toolbar|"
-    r"pagination|pager|contentinfo|complementary|search|skip|hidden)(?:$|[\s_-]|\d)", re.I)
+NOT_CONTENT = re.compile(rf"(?:^|[\s_-]){_WORDS}(?:$|[\s_-]|\d)", re.I)
+#: a class or id made of nothing but such words and words of layout
+_ONLY = re.compile(rf"(?:(?:{_WORDS}|areas?|articles?|bars?|block|body|bottom|box|buttons?|container|entry|global|group|inline|inner|"
+                   r"items?|left|links?|list|main|outer|page|panel|posts?|primary|right|secondary|section|site|sticky|top|wrap|wrapper)"
+                   r"\d*(?:[_-]+|$))+", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -60,33 +69,38 @@ _WHITE = re.compile(r"\s+")
 class Node:
     """An element: its children are nodes and strings."""
 
-    __slots__ = ("tag", "off", "kids", "parent", "score", "chars", "link_chars")
+    __slots__ = ("tag", "off", "mark", "kids", "parent", "weight", "score", "held", "chars", "link_chars")
 
-    def __init__(self, tag: str, off: bool, parent: Node | None):
-        self.tag, self.off, self.parent = tag, off, parent
+    def __init__(self, tag: str, off: bool, mark: int, parent: Node | None):
+        self.tag, self.off, self.mark, self.parent = tag, off, mark, parent
         self.kids: list = []
-        self.score, self.chars, self.link_chars = 0.0, 0, 0
+        self.weight, self.score, self.held, self.chars, self.link_chars = 1.0, 0.0, 0.0, 0, 0
 
 
-def _off(tag: str, attributes: str) -> bool:
+def _judge(tag: str, attributes: str) -> tuple[bool, int]:
+    """(left out, mark: 1 if a word of class or id is one of other matter, 2 if a whole name is)."""
     if tag in DROPPED:
-        return True
+        return True, 0
+    mark = 0
     if "=" not in attributes and "hidden" not in attributes or tag in ("html", "body"):
-        return False
+        return False, 0
     for m in _ATTR.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name in ("class", "id", "role") and tag not in ("article", "main") and NOT_CONTENT.search(value):
-            return True
+            return True, 0
+        if name == "role" and tag not in ("article", "main") and NOT_CONTENT.search(value):
+            return True, 0
+        if name in ("class", "id") and tag in _MARKED and NOT_CONTENT.search(value):
+            named = any(NOT_CONTENT.search(x) and _ONLY.fullmatch(x) for x in value.split())
+            mark = max(mark, 2 if named else 1)
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return True, 0
+    return False, mark
 
 
 def parse(page: str) -> Node:
     """Element tree of a page; unclosed and stray tags are mended as browsers do, in one pass."""
-    root = Node("html", False, None)
+    root = Node("html", False, 0, None)
     open_: list[Node] = [root]
     at, n = 0, len(page)
     while at < n:
@@ -123,7 +137,7 @@ def parse(page: str) -> Node:
                     del open_[i:]
                 elif open_[i].tag in fences:
                     break
-        node = Node(tag, _off(tag, m[3]), open_[-1])
+        node = Node(tag, *_judge(tag, m[3]), open_[-1])
         open_[-1].kids.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
@@ -136,13 +150,16 @@ def parse(page: str) -> Node:
 
 
 def _measure(root: Node) -> list[Node]:
-    """Text and link characters of each kept element, children first; returns the elements."""
+    """Text and link characters of each kept element, and the weight of its points; returns the elements."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
+        if node.mark or node.parent is not None and node.parent.weight < 1:
+            node.weight = 0.2
         stack += [k for k in node.kids if isinstance(k, Node) and not k.off]
     for node in reversed(order):
+        node.chars = node.link_chars = 0
         for k in node.kids:
             if isinstance(k, str):
                 node.chars += len(k.strip())
@@ -201,7 +218,8 @@ def main_text(page: str | None) -> str:
         text = _own_text(node).strip()
         if not text:
             continue
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
+        points = node.weight * (1 + text.count(",") + min(len(text) / 100, 3))
+        node.held += points
         up, distance = (node if loose else node.parent), 0
         while up is not None:
             if up.tag in CONTAINERS:
@@ -212,11 +230,22 @@ def main_text(page: str | None) -> str:
             up = up.parent
     if not scored:
         return " ".join(_blocks(root))
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.held += node.held
     for node in scored:
         node.score *= 1 - node.link_chars / max(node.chars, 1)
         if node.tag in ("article", "main"):
             node.score *= 1.25
     best = max(scored, key=lambda x: x.score)
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    holders = {id(x) for x in above}
+    for node in order:
+        if node.mark == 2 and id(node) not in holders and 2 * node.held <= root.held:
+            node.off = True
+    _measure(root)
     keep = [best]
     if best.parent is not None:
         near = max(10.0, best.score / 5)
