@@ -15,3 +15,16 @@ def test_class_words_do_not_lose_the_article():
         line</p><section id='{name}'><p>Section.</p></section><div class='ad-box'>buy</div><div class='comments'><p>hi, there</p></div></article>"""
         assert html_extract.main_text(page) == " ".join(["Title", *[WORDS] * 3, "Head Short. in line Section."]), name
     assert html_extract.main_text(f"<div>{PARAGRAPH}</div><div role='navigation'><p>a, b, c, d, e, f, g, h</p></div>") == WORDS
+
+
+def test_blocks_beside_the_best_container_stay():
+    short = "<section><p>one last</p></section>"
+    assert html_extract.main_text(f"<article><h1>Title</h1><section>{PARAGRAPH * 5}</section>{short}</article>") == " ".join(
+        ["Title", *[WORDS] * 5, "one last"])
+    page = f"""<div><h1>Title</h1><ul><li>item</li></ul><div>{PARAGRAPH * 5}</div><pre>code</pre><blockquote>quote</blockquote>
+    <dl><dt>term</dt><dd>meaning</dd></dl><table><tr><td>cell</table><figure><figcaption>caption</figcaption></figure>{short}
+    <p>See <a href=x>our earlier report</a>.</p><p><a href=x>Home</a> | <a href=y>About</a></p><div role=search><p>find, it</p></div></div>"""
+    assert html_extract.main_text(page) == " ".join(
+        ["Title item", *[WORDS] * 5, "code quote term meaning cell caption one last See our earlier report."])
+    page = f"<div><h1>Title</h1><div><div>{PARAGRAPH * 5}</div></div><div><p>End of it.</p></div><ul><li><a href=x>Home</a><li><a href=y>About</a></ul></div>"
+    assert html_extract.main_text(page) == " ".join(["Title", *[WORDS] * 5, "End of it."])

@@ -4,7 +4,8 @@ Every paragraph gives points to its ancestors: one, one more for each comma, and
 three for its length; the parent takes them whole, the grandparent half, farther ones a
 third over their distance. Points below a block with class or id words of other matter count
 a fifth. A container's points are scaled by the share of its text that is not in links. The
-best container is taken, and those of its siblings that score near it or are plain paragraphs.
+best container's article or main element is taken; without one, the best container, the
+content blocks beside it, and those beside its parent if these have paragraphs or headings.
 Elements that are not content by tag or role are left out, and blocks whose class or id
 names nothing but other matter, unless they hold the best container or most points.
 """
@@ -69,12 +70,12 @@ _WHITE = re.compile(r"\s+")
 class Node:
     """An element: its children are nodes and strings."""
 
-    __slots__ = ("tag", "off", "mark", "kids", "parent", "weight", "score", "held", "chars", "link_chars")
+    __slots__ = ("tag", "off", "mark", "kids", "parent", "weight", "score", "held", "chars", "link_chars", "links")
 
     def __init__(self, tag: str, off: bool, mark: int, parent: Node | None):
         self.tag, self.off, self.mark, self.parent = tag, off, mark, parent
         self.kids: list = []
-        self.weight, self.score, self.held, self.chars, self.link_chars = 1.0, 0.0, 0.0, 0, 0
+        self.weight, self.score, self.held, self.chars, self.link_chars, self.links = 1.0, 0.0, 0.0, 0, 0, 0
 
 
 def _judge(tag: str, attributes: str) -> tuple[bool, int]:
@@ -150,7 +151,7 @@ def parse(page: str) -> Node:
 
 
 def _measure(root: Node) -> list[Node]:
-    """Text and link characters of each kept element, and the weight of its points; returns the elements."""
+    """Text and link characters and links of each kept element, and the weight of its points; returns the elements."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -159,13 +160,14 @@ def _measure(root: Node) -> list[Node]:
             node.weight = 0.2
         stack += [k for k in node.kids if isinstance(k, Node) and not k.off]
     for node in reversed(order):
-        node.chars = node.link_chars = 0
+        node.chars = node.link_chars = node.links = 0
         for k in node.kids:
             if isinstance(k, str):
                 node.chars += len(k.strip())
             elif not k.off:
                 node.chars += k.chars
                 node.link_chars += k.chars if k.tag == "a" else k.link_chars
+                node.links += k.links + (k.tag == "a")
     return order
 
 
@@ -204,6 +206,35 @@ def _own_text(node: Node) -> str:
                    if isinstance(k, str) or not k.off and k.tag not in BLOCKS)
 
 
+def _is_content(node: Node) -> bool:
+    """Whether a block beside the article belongs to it: by its links alone."""
+    if node.tag in _HEADINGS:
+        return True
+    density = node.link_chars / max(node.chars, 1)
+    return density <= 0.5 or node.tag in PARAGRAPHS and (density <= 0.8 or node.links == 1)
+
+
+def _with_neighbours(best: Node) -> Node:
+    """The best container's parent, or the parent's if text stands beside it, left with content only; or the container."""
+    top, node = best, best
+    for _ in range(2):
+        above = node.parent
+        if above is None:
+            break
+        beside = [k for k in above.kids if isinstance(k, Node) and k is not node and k.tag in BLOCKS and not k.off
+                  and k.chars and _is_content(k)]
+        loose = [k for k in above.kids if isinstance(k, str) or k.tag not in BLOCKS and not k.off]
+        linked = sum(k.chars if k.tag == "a" else k.link_chars for k in loose if isinstance(k, Node))
+        text = sum(len(k.strip()) if isinstance(k, str) else k.chars for k in loose)
+        own = 2 * linked < text
+        if node is best or own or any(k.held or k.tag in _HEADINGS for k in beside):
+            keep = {id(k) for k in (node, *beside, *(loose if own else ()))}
+            above.kids = [k for k in above.kids if id(k) in keep]
+            top = above
+        node = above
+    return top
+
+
 def main_text(page: str | None) -> str:
     """The article of a page as one line; empty if there is none."""
     if not page:
@@ -246,19 +277,9 @@ def main_text(page: str | None) -> str:
         if node.mark == 2 and id(node) not in holders and 2 * node.held <= root.held:
             node.off = True
     _measure(root)
-    keep = [best]
-    if best.parent is not None:
-        near = max(10.0, best.score / 5)
-        keep = []
-        for k in best.parent.kids:
-            if k is best:
-                keep.append(k)
-            elif isinstance(k, Node) and not k.off:
-                density = k.link_chars / max(k.chars, 1)
-                if k.tag in CONTAINERS and k.score >= near or k.tag == "p" and k.chars and (
-                        density < 0.25 if k.chars > 80 else density == 0):
-                    keep.append(k)
-    return " ".join(b for k in keep for b in _blocks(k))
+    whole = best if best.tag in ("article", "main") else next(
+        (x for tag in ("article", "main") for x in above if x.tag == tag), None)
+    return " ".join(_blocks(whole if whole is not None and whole is not best else _with_neighbours(best)))
 
 
 def extract(df: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
