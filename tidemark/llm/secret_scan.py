@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: matches of ``pattern`` whose ``group`` has ``least`` characters."""
+    """A kind of secret: matches of ``pattern`` whose ``group`` has ``least`` characters; ``early``: redacted before others."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    early: bool = False
 
 
 #: the kinds that the base digest takes, in order; hex runs are maximal, so their least
@@ -35,8 +36,14 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
+#: a whole key: header, and all to the END line (hyphens in header fields and at line starts
+#: come singly), else header fields and the base64 lines after them, else base64 on the same line.
+#: Classes repeat without groups, as Java takes stack for each turn of a group
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:--?-?-?[^-]+){0,250}-?-----END [A-Z ]*PRIVATE KEY-----|"
+        r"(?:\r?\n[A-Za-z0-9-]+: [^\n]*){0,20}[ \t]*[A-Za-z0-9+/=\r\n]*(?m:$)(?:\r?\n[ \t]+[A-Za-z0-9+/=]+[ \t\r]*(?m:$)){0,250}|"
+        r"[ \t]*[A-Za-z0-9+/=\\]*)")
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", _PEM, early=True),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     Rule("login", r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
 )
@@ -94,7 +101,7 @@ def _item(op: str, arg) -> tuple[set[str] | None, Query]:
     if op in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
         low, high, body = arg
         exact, need = _analyse(body)
-        if exact is not None and len(exact) ** int(high) <= 64 and int(high) <= 4:
+        if exact is not None and int(high) <= 4 and len(exact) ** int(high) <= 64:
             return {"".join(t) for n in range(low, int(high) + 1) for t in product(exact, repeat=n)}, None
         return None, (need if low else None)
     return None, None
@@ -189,12 +196,13 @@ def redact(df: DataFrame, rules: tuple[Rule, ...] = RULES, *, mark: str = "[REDA
            text_col: str = "text") -> DataFrame:
     """``df`` with every secret in the text replaced by ``mark``; all columns and rows are kept.
 
-    Rules work one after the other, each on what the rules before it left. Candidates come
-    from the same index as for ``scan``. A null text stays null, and a text without secrets
+    Rules work one after the other, each on what the rules before it left; early rules come
+    first, so no other rule takes a part of what they need. Candidates come from the same
+    index as for ``scan``. A null text stays null, and a text without secrets
     is unchanged.
     """
     rows = _rows(df, rules, id_col, text_col)
-    for i, r in enumerate(rules):
+    for i, r in sorted(enumerate(rules), key=lambda x: not x[1].early):
         parts = F.transform(_parts(i, r, F.col("_text")), lambda x: F.concat(F.coalesce(x["before"], F.lit("")), F.when(
             F.char_length(x["tested"]) >= r.least, F.lit(mark)).otherwise(F.coalesce(x["found"], F.lit("")))))
         rows = rows.withColumn("_text", F.coalesce(F.array_join(parts, ""), F.col("_text")))
