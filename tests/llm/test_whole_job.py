@@ -60,3 +60,19 @@ def test_a_whole_private_key_is_found_and_redacted(spark):
     assert not any(x in clean[100] for x in lines) and clean[101] == "[REDACTED]\nbetween, here\n[REDACTED]"
     assert clean[102].endswith("words, ") and len(clean[102]) > 5000 * 18
     assert clean[103] == "[REDACTED][REDACTED]" or clean[103] == "[REDACTED]\n[REDACTED]"
+
+
+def test_long_logins_are_found_and_redacted(spark):
+    token = "github_pat_" + "Ab1" * 28
+    urls = [f"https://oauth2:{token}@", f"https://{'user' * 30}:short@", f"https://{'u' * 5000}:{'p' * 5000}@", "ftp://u:abc@",
+            f"{'s' * 21}://u:{token}@", f"{'1' * 21}://u:{token}@"]
+    rows = [(i, f"see {u}host.org/a/b and on") for i, u in enumerate(urls)]
+    rows += [(100, f"{'a1' * 20}://u:{token}@h"), (102, f"https://x-access-token:{token}@github.com/a/b"), (101, "x" * 300_000 + " https://u:ab@h https://u/x:abc@h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "login"] for r in secret_scan.scan(df).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    for i, u in enumerate(urls):
+        assert spans[i] == [(4, 4 + len(u))] and clean[i] == "see [REDACTED]host.org/a/b and on", i
+    assert len(spans[100]) == 1 and token not in clean[100]
+    assert len(spans[102]) == 1 and token not in clean[102]
+    assert spans[101] == [] and clean[101] == rows[-1][1]

@@ -45,7 +45,8 @@ _PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:--?-?-?[^-]+){0,250}-?---
 MORE = (
     Rule("pem", _PEM, early=True),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("login", r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    # the last 21 characters of a longer scheme, so that a long run is not scanned from each of its characters
+    Rule("login", r"(?:[A-Za-z][A-Za-z0-9+.-]{1,20}|[0-9+.-]{21})://[^\s/:@]+:[^\s/:@]{3,}@", early=True),
 )
 RULES = BASE + MORE
 
