@@ -33,11 +33,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every group of near-duplicates, once; ids that are null stay out of groups."""
-    groups = simhash.near_duplicates(docs.where("doc_id IS NOT NULL"), shingle=3, radius=2)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    """One row of every group of near-duplicates: the smallest by doc_id, nulls last, then by hashes of text and columns."""
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("text"),
+                   F.xxhash64(F.lit(1), F.col("text").isNull(), *COLUMNS[1:]).alias("columns"))
+    keyed = docs.select(*COLUMNS, key.alias("row_key"))
+    groups = simhash.near_duplicates(keyed, shingle=3, radius=2, id_col="row_key")
+    first = groups.where("row_key = component_id").select("row_key").distinct()
+    return keyed.join(first, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

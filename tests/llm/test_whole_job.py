@@ -2,8 +2,9 @@
 
 import random
 import string
+import sys
 
-from tidemark.llm import html_extract, secret_scan
+from tidemark.llm import html_extract, secret_scan, simhash
 
 PARAGRAPH = "<p>Some words to read, and more, and then some more of them, again and again.</p>"
 WORDS = "Some words to read, and more, and then some more of them, again and again."
@@ -76,3 +77,27 @@ def test_long_logins_are_found_and_redacted(spark):
     assert len(spans[100]) == 1 and token not in clean[100]
     assert len(spans[102]) == 1 and token not in clean[102]
     assert spans[101] == [] and clean[101] == rows[-1][1]
+
+
+def test_near_duplicates_keep_one_row_of_every_group(spark):
+    sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
+    import corpus_pipeline
+    rnd = random.Random(7)
+    base = [" ".join(rnd.choice(string.ascii_lowercase) * rnd.randint(1, 9) for _ in range(300)) for _ in range(12)]
+    near = [" ".join([*t.split()[:-1], "end"]) for t in base]
+    rows = [(i % 9 if i % 4 else None, rnd.choice(base + near), "en", rnd.choice("st"), i % 3) for i in range(120)]
+    rows += [(1, base[0], "en", "s", 1), (1, near[0], "en", "s", 1), (1, "unique text of a repeated id", "en", "s", 1),
+             (None, "only with a null id", None, None, None), (None, "only with a null id", None, None, None), (None, None, None, None, None), (3, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    fps = [simhash.fingerprint(r[1]) % (1 << 64) for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(fps):
+            group[i] = min([group[i], *(group[j] for j, b in enumerate(fps) if (a ^ b).bit_count() <= 2)])
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    of = {r: group[i] for i, r in enumerate(rows)}
+    assert sorted(of[r] for r in kept) == sorted(set(group))
+    least = {g: min((r[0] is None, r[0] or 0) for r, h in zip(rows, group) if h == g) for g in group}
+    assert all((r[0] is None, r[0] or 0) == least[of[r]] for r in kept)
+    again = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(5), "").collect()]
+    assert sorted(map(str, again)) == sorted(map(str, kept))
