@@ -111,10 +111,30 @@ FROM shares s LEFT JOIN o ON s.lang IS NOT DISTINCT FROM o.lang AND s.source IS
 LEFT JOIN l ON s.lang IS NOT DISTINCT FROM l.lang CROSS JOIN w
 """
 
+NEGATIVES = """
+WITH good AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM good a JOIN good b ON a.id % 50 = 0 AND a.id <> b.id AND len(a.x) = len(b.x)),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
 
 ORACLE_SQL = {
     "op3_embedding_dedup": VECTORS,
     "op6_line_dedup": LINES,
     "op7_quality_rules": _rules(),
     "op10_secret_scan": _secrets(),
+    "op13_hard_negatives": NEGATIVES,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe, embed_dedup, html_extract, line_dedup, packing, quality_nbsvm, quality_rules, secret_scan,
-                          simhash, token_counts)
+from tidemark.llm import (bpe, embed_dedup, hard_negatives, html_extract, language_id, line_dedup, packing, quality_nbsvm,
+                          quality_rules, secret_scan, simhash, token_counts, whitening)
 from tidemark.sources.tables import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +90,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       joined(F.col("spans")).alias("spans"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of all embeddings."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by a model of those that are not held out; ``rejected`` marks uncertain ones."""
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language_id.identify(docs.select("doc_id", "text"), docs.where(F.col("doc_id").isNotNull() & ~held))
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all embeddings."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, least=50, most=95, scale=256)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_bpe, op3_embedding_dedup, op4_quality_classifier, op5_simhash_dedup, op6_line_dedup, op7_quality_rules,
-    op8_html_extraction, op9_token_counts, op10_secret_scan)}
+    op8_html_extraction, op9_token_counts, op10_secret_scan, op11_embedding_whitening, op12_language_id, op13_hard_negatives)}
