@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import asof_join
+
 
 def last_non_null(df: DataFrame, value: str, order: list[str],
                   keys: list[str] = (), alias: str | None = None) -> DataFrame:
@@ -44,3 +46,14 @@ def enrich_by_key(df: DataFrame, rates: DataFrame, keys: list[str], rate_col: st
     return (df.join(r, on=list(keys), how="left")
               .withColumn(out_col, F.col(value_col) * F.col("__rate"))
               .drop("__rate"))
+
+
+def enrich_as_of(df: DataFrame, rates: DataFrame, keys: list[str], time: str, rate_time: str, rate_col: str,
+                 order: list[str] = (), value_col: str = "close", out_col: str = "close_fx") -> DataFrame:
+    """J2 by the rate in force: each row is priced by the last non-null rate of its ``keys`` at or before its ``time``.
+
+    Rows before the first rate of their pair, and rows without a pair or time, get a null ``out_col``.
+    """
+    known = rates.where(F.col(rate_col).isNotNull()).select(*keys, rate_time, *order, F.col(rate_col).alias("__rate"))
+    priced = asof_join(df, known, keys, time, rate_time, ["__rate"], order)
+    return priced.withColumn(out_col, F.col(value_col) * F.col("__rate")).drop("__rate")

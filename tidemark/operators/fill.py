@@ -6,7 +6,8 @@ used here is two-phase and keeps every task bounded by a range of the order:
 
 0. the order is cut at its quantiles into a few ranges per shuffle partition, so
    a range holds its share of all rows whatever their dates are and however many
-   of them one key has (a calendar unit can be asked for instead);
+   of them one key has; a date that very many rows share is cut by the order
+   columns after it (a calendar unit can be asked for instead);
 1. inside each (keys, bucket) a running window (growing frame, linear
    time) carries the last non-null value forward;
 2. a per-bucket summary (last and first non-null value, aggregated on the
@@ -26,37 +27,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_UNITS = ("year", "month", "week", "day", "hour", "minute")
-#: ranges for each shuffle partition, so that hashing them to tasks stays even
-_RANGES = 4
-
-
-def _ranged(df: DataFrame, order_col: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the number of the quantile range that ``order_col`` falls in.
+from tidemark.operators.ranges import with_range
 
-    The bounds come from one ``percentile_approx`` aggregation; they are as many as the
-    shuffle partitions ask for, not as the data has. Equal values share a range.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    n = _RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at = F.col(order_col)
-    if df.schema[order_col].dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
-        at = F.unix_micros(at.cast("timestamp"))
-    at = at.cast("double")
-    found = df.agg(F.percentile_approx(at, [i / n for i in range(1, n)], max(10_000, 10 * n))).first()[0]
-    bounds = sorted({float("-inf"), *(found or [0.0]), float("inf")})
-    return Bucketizer(splits=bounds, inputCol="__at", outputCol=out, handleInvalid="keep").transform(
-        df.withColumn("__at", at)).drop("__at")
+_UNITS = ("year", "month", "week", "day", "hour", "minute")
 
 
-def _bucketed(df: DataFrame, order_col: str, bucket, out: str) -> DataFrame:
+def _bucketed(df: DataFrame, order: list[str], bucket, out: str) -> DataFrame:
     if isinstance(bucket, Column):
         return df.withColumn(out, bucket)
     if bucket == "range":
-        return _ranged(df, order_col, out)
+        return with_range(df, order, out)
     if bucket in _UNITS:
-        return df.withColumn(out, F.date_trunc(bucket, F.col(order_col)))
+        return df.withColumn(out, F.date_trunc(bucket, F.col(order[0])))
     raise ValueError(f"bucket must be 'range', a Column or one of {_UNITS}")
 
 
@@ -99,7 +81,7 @@ def fill_gaps(df: DataFrame, cols: list[str], order: list[str],
     # partitioning instead of shuffling the rows a second time.
     gb = "__gb"
     key_struct = F.struct(*[F.col(k).alias(f"k{j}") for j, k in enumerate(keys)]) if keys else F.lit(0)
-    src = _bucketed(df, order[0], bucket, "__b").withColumn(gb, F.struct(key_struct.alias("g"), F.col("__b").alias("b"))).drop("__b")
+    src = _bucketed(df, order, bucket, "__b").withColumn(gb, F.struct(key_struct.alias("g"), F.col("__b").alias("b"))).drop("__b")
     o = [F.col(c).asc_nulls_last() for c in order]
 
     # Phase 1: forward fill inside each bucket (growing frame: O(rows)).
