@@ -1,12 +1,14 @@
 """Command-line entry points (``spark-submit -m``-style or ``python -m``).
 
     python -m tidemark.jobs strict      --lake ROOT --series DIR [--quotes DIR]
-    python -m tidemark.jobs incremental --lake ROOT --series DIR [--quotes DIR] [--run-ts TS]
+    python -m tidemark.jobs incremental --lake ROOT --series DIR [--quotes DIR] [--run-ts TS] [--pricing in_force]
     python -m tidemark.jobs compact     --lake ROOT [--file-mb 128]
     python -m tidemark.jobs zorder      --table PATH --columns a,b
     python -m tidemark.jobs vacuum      --table PATH --keys k1,k2 [--retention-hours 168] [--now TS]
+    python -m tidemark.jobs vacuum      --lake ROOT --keys k1,k2 [--table-keys NAME=k3 ...] [--retention-hours 168] [--now TS]
+    python -m tidemark.jobs depth       --table PATH --columns a,b
 
-Each prints one JSON line with the job's metrics. The session comes from the
+Times are UTC. Each prints one JSON line with the job's metrics. The session comes from the
 environment (``spark-submit`` settings); ``--master`` is for local runs.
 """
 
@@ -22,8 +24,10 @@ from tidemark.plans.medallion import Lake, run_incremental, run_strict
 from tidemark.session import build_session
 
 
-def _ts(text: str | None) -> dt.datetime | None:
-    return dt.datetime.fromisoformat(text) if text else None
+def _ts(text: str | None) -> dt.datetime:
+    """A time without zone, as UTC; default: now."""
+    at = dt.datetime.fromisoformat(text) if text else dt.datetime.now(dt.timezone.utc)
+    return at.astimezone(dt.timezone.utc).replace(tzinfo=None) if at.tzinfo else at
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -38,15 +42,20 @@ def main(argv: list[str] | None = None) -> dict:
         j.add_argument("--quotes")
         if name == "incremental":
             j.add_argument("--run-ts", help="lineage timestamp (ISO); default: now")
+            j.add_argument("--pricing", choices=("latest", "in_force"), default="latest")
     c = sub.add_parser("compact")
     c.add_argument("--lake", required=True)
     c.add_argument("--file-mb", type=int, default=128)
-    z = sub.add_parser("zorder")
-    z.add_argument("--table", required=True)
-    z.add_argument("--columns", required=True)
+    for name in ("zorder", "depth"):
+        z = sub.add_parser(name)
+        z.add_argument("--table", required=True)
+        z.add_argument("--columns", required=True)
     v = sub.add_parser("vacuum")
-    v.add_argument("--table", required=True)
+    what = v.add_mutually_exclusive_group(required=True)
+    what.add_argument("--table")
+    what.add_argument("--lake")
     v.add_argument("--keys", required=True)
+    v.add_argument("--table-keys", action="append", default=[], metavar="NAME=k1,k2")
     v.add_argument("--retention-hours", type=float, default=168.0)
     v.add_argument("--now", help="ISO timestamp; default: now")
     a = ap.parse_args(argv)
@@ -55,15 +64,19 @@ def main(argv: list[str] | None = None) -> dict:
     if a.job == "strict":
         out = run_strict(spark, Lake(a.lake), a.series, a.quotes)
     elif a.job == "incremental":
-        out = run_incremental(spark, Lake(a.lake), a.series, a.quotes, _ts(a.run_ts) or dt.datetime.now())
+        out = run_incremental(spark, Lake(a.lake), a.series, a.quotes, _ts(a.run_ts), a.pricing)
     elif a.job == "compact":
         tables = maintenance.find_tables(spark, a.lake)
         out = maintenance.run_all(spark, tables, maintenance.compact, target_file_bytes=a.file_mb << 20)
     elif a.job == "zorder":
         out = maintenance.zorder(spark, a.table, a.columns.split(","))
+    elif a.job == "depth":
+        out = {r["column"]: r.asDict() for r in maintenance.clustering_depth(spark, a.table, a.columns.split(",")).collect()}
+    elif a.lake:
+        own = {name: keys.split(",") for name, keys in (x.split("=", 1) for x in a.table_keys)}
+        out = maintenance.vacuum_lake(spark, a.lake, a.keys.split(","), _ts(a.now), a.retention_hours, own)
     else:
-        out = maintenance.vacuum(spark, a.table, a.keys.split(","), _ts(a.now) or dt.datetime.now(),
-                                 a.retention_hours)
+        out = maintenance.vacuum(spark, a.table, a.keys.split(","), _ts(a.now), a.retention_hours)
     print(json.dumps(out, default=str))
     return out
 

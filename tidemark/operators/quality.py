@@ -30,7 +30,8 @@ def keep_positive(df: DataFrame, col: str = "close") -> DataFrame:
     return df.filter((c > 0) & ~F.isnan(c))
 
 
-def _violation(rule: str | Column) -> Column:
+def violation(rule: str | Column) -> Column:
+    """True where a row breaks ``rule``."""
     cond = F.expr(rule) if isinstance(rule, str) else rule
     # A row violates a rule when the rule is false or cannot be decided (null).
     return F.coalesce(~cond, F.lit(True))
@@ -42,7 +43,7 @@ def check_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     All rules are counted in one aggregation (partial counts per task, one
     tiny final merge), then turned into rows with ``stack``.
     """
-    aggs = [F.count_if(_violation(expr)).alias(f"v{i}") for i, expr in enumerate(rules.values())]
+    aggs = [F.count_if(violation(expr)).alias(f"v{i}") for i, expr in enumerate(rules.values())]
     counts = df.agg(*aggs)
 
     def quoted(name: str) -> str:
@@ -55,7 +56,7 @@ def split_by_checks(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, Da
     """Q4 quarantine mode: (rows passing every rule, rows failing any rule with
     the list of failed rule names in ``_failed_rules``)."""
     failed = F.filter(
-        F.array(*[F.when(_violation(e), F.lit(n)) for n, e in rules.items()]),
+        F.array(*[F.when(violation(e), F.lit(n)) for n, e in rules.items()]),
         lambda x: x.isNotNull())
     tagged = df.withColumn("_failed_rules", failed)
     good = tagged.filter(F.size("_failed_rules") == 0).drop("_failed_rules")

@@ -212,23 +212,15 @@ def payload_rows(spark, d):
 
 
 def landed_quotes(spark, d) -> DataFrame:
-    """Quote documents derived from ``events``: each purchase event is a quote
-    of its user's currency against USD; error events land as notices."""
-    e = _t(spark, d, "events").filter(F.col("event_type").isin("purchase", "error"))
-    code = F.concat(F.lit("C"), F.col("user_id").cast("string"))
-    quote = F.create_map(
-        F.lit("1. From_Currency Code"), code,
-        F.lit("2. From_Currency Name"), F.concat(F.lit("Currency "), F.col("user_id").cast("string")),
-        F.lit("3. To_Currency Code"), F.lit("USD"),
-        F.lit("4. To_Currency Name"), F.lit("United States Dollar"),
-        F.lit("5. Exchange Rate"), F.col("value").cast("string"),
-        F.lit("6. Last Refreshed"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
-        F.lit("7. Time Zone"), F.lit("UTC"),
-        F.lit("8. Bid Price"), F.col("value").cast("string"),
-        F.lit("9. Ask Price"), F.col("value").cast("string"))
-    doc = F.when(F.col("event_type") == "purchase",
-                 F.to_json(F.create_map(F.lit("Realtime Currency Exchange Rate"), quote)))\
-           .otherwise(F.to_json(F.create_map(F.lit("Information"), F.lit("rate limit reached"))))
+    """Documents derived from all of ``events``: each is a quote of its user's currency in the currency of its type;
+    error events land as notices."""
+    e = _t(spark, d, "events")
+    user, kind, value = F.col("user_id").cast("string"), F.upper("event_type"), F.col("value").cast("string")
+    fields = (F.concat(F.lit("C"), user), F.concat(F.lit("Currency "), user), kind, F.concat(F.lit("Currency "), kind), value,
+              F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("UTC"), value, value)
+    quote = F.create_map(*[c for name, v in zip(payload.QUOTE_WIRE_NAMES, fields) for c in (F.lit(name), v)])
+    doc = F.when(F.col("event_type") == "error", F.to_json(F.create_map(F.lit("Information"), F.lit("rate limit reached"))))\
+           .otherwise(F.to_json(F.create_map(F.lit(payload.QUOTE_KEY), quote)))
     return e.select("event_id", doc.alias("raw"))
 
 

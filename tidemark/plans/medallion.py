@@ -34,6 +34,7 @@ from tidemark.sources.tables import read_first, read_table
 from tidemark.session import path_exists
 
 KEYS = ["symbol", "market"]
+QUOTE_KEYS = ["from_currency_code", "to_currency_code", "last_refreshed"]
 #: order of deliveries: time and name of the landed file
 DELIVERY = ["_delivered_at", "_delivered_as"]
 SERIES_META = {"symbol": "digital_currency_code", "market": "market_code"}
@@ -73,9 +74,8 @@ def _series(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
     return _series_rows(lake, payload.read_landed(spark, landing))
 
 
-def _quotes(spark: SparkSession, lake: Lake, landing: str) -> DataFrame:
-    """Quotes of a folder with all their fields; other documents go to the quarantine."""
-    docs = payload.read_landed(spark, landing)
+def _quote_rows(lake: Lake, docs: DataFrame) -> DataFrame:
+    """Quotes of landed documents with all their fields; other documents go to the quarantine."""
     sink.append_new(payload.quote_rejects(docs, passthrough=["file"]), lake.table("quarantine", "quote_payloads"))
     return payload.quote_rows(docs, fields="discover")
 
@@ -101,7 +101,7 @@ def run_strict(spark: SparkSession, lake: Lake, series_landing: str, quote_landi
 
     fx_b = lake.table(*STRICT_TABLES["bronze_quotes"])
     if quote_landing:
-        fx = _quotes(spark, lake, quote_landing)
+        fx = _quote_rows(lake, payload.read_landed(spark, quote_landing))
         # a delivery without any quote (a notice) leaves the quotes of the last one
         if not fx.isEmpty():
             sink.overwrite(fx, fx_b)
@@ -133,14 +133,32 @@ def _series_rows(lake: Lake, docs: DataFrame) -> DataFrame:
     return rows.withColumn("month", month_str("datetime"))
 
 
-def _fresh_stamp(spark: SparkSession, bronze: str, run_ts: _dt.datetime) -> _dt.datetime:
-    """The stamp of a run, moved past the newest one in bronze if it is not later, so that the
-    strict ingestion watermark of the transformation skips no row."""
-    if path_exists(spark, bronze):
-        newest = spark.read.parquet(bronze).agg(F.max("ingestion_timestamp")).first()[0]
-        if newest is not None and run_ts <= newest:
-            return newest + _dt.timedelta(microseconds=1)
-    return run_ts
+def _fresh_stamp(spark: SparkSession, lake: Lake, bronze: str, run_ts: _dt.datetime) -> _dt.datetime:
+    """The stamp of a run, moved past the one of the last run if it is not later, so that the strict ingestion
+    watermark of the transformation skips no row. The last stamp is a one-row state table, written before any row
+    carries it; bronze is only read where that table does not exist yet."""
+    state = lake.table("state", "bronze_stamp")
+    last = read_first(spark, [state])
+    if last is None and path_exists(spark, bronze):
+        last = spark.read.parquet(bronze).select(F.col("ingestion_timestamp").alias("stamp"))
+    newest = None if last is None else last.agg(F.max("stamp")).first()[0]
+    stamp = run_ts if newest is None or run_ts > newest else newest + _dt.timedelta(microseconds=1)
+    sink.overwrite(spark.range(1).select(F.lit(stamp).cast("timestamp_ntz").alias("stamp")), state)
+    return stamp
+
+
+def _each_landed(spark: SparkSession, lake: Lake, landing: str, whole_files: bool, max_files_per_batch: int | None, batch) -> None:
+    """Call ``batch`` with the documents (``file``, ``modified``, ``raw``) that landed since the last run, each file once."""
+    tag = hashlib.sha1(landing.rstrip("/").encode()).hexdigest()[:16]
+    reader = spark.readStream.option("wholetext", "true" if whole_files else "false")
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
+    stream = reader.text(landing).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("raw"))
+    q = (stream.writeStream.foreachBatch(lambda docs, epoch_id: batch(docs)).option("checkpointLocation", lake.table("state", f"_ingest-{tag}"))
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing: str | None,
@@ -156,21 +174,18 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
     (``availableNow`` still processes all of it, in several batches).
     """
     bronze = lake.table(*INCREMENTAL_TABLES["bronze_series"])
-    tag = hashlib.sha1(series_landing.rstrip("/").encode()).hexdigest()[:16]
-    ckpt = lake.table("state", f"_ingest-{tag}")
     totals = {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0, "rejected": 0, "created": False, "batches": 0}
-    stamp = _fresh_stamp(spark, bronze, run_ts)
+    stamp = _fresh_stamp(spark, lake, bronze, run_ts)
+    # the price rule stays with the table: whoever writes to it is held to it
+    for rule, expression in PRICE_RULES.items():
+        sink.add_check(spark, bronze, rule, expression)
 
-    def merge_batch(raw: DataFrame, epoch_id: int) -> None:
-        bs = raw.sparkSession
-        docs = raw.select("file", "modified", F.col("value").alias("raw"))
+    def merge_batch(docs: DataFrame) -> None:
         rows = _series_rows(lake, docs).withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp_ntz"))
         rows = quality.keep_positive(quality.drop_null_subset(rows, ["close"]), "close")
-        if not path_exists(bs, bronze):
-            quality.enforce_checks(rows, PRICE_RULES)
         # rows without a date or series key are quarantined by the upsert
         # and a day delivered again without a change keeps its row and stamp
-        m = sink.upsert_table(bs, bronze, rows, KEYS + ["datetime"], order=DELIVERY, transient=DELIVERY,
+        m = sink.upsert_table(docs.sparkSession, bronze, rows, KEYS + ["datetime"], order=DELIVERY, transient=DELIVERY,
                               rejects_path=lake.table("quarantine", "digital_currency_daily"),
                               sort_by=KEYS + ["datetime"], volatile=["ingestion_timestamp"])
         for k in ("inserted", "updated", "unchanged", "kept", "rejected"):
@@ -178,37 +193,44 @@ def ingest(spark: SparkSession, lake: Lake, series_landing: str, quote_landing:
         totals["created"] = totals["created"] or m.get("created", False)
         totals["batches"] += 1
 
-    reader = spark.readStream.option("wholetext", "true" if whole_files else "false")
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    stream = reader.text(series_landing).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_modification_time").alias("modified"), "value")
-    q = (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out: dict = {"bronze": totals}
-    if quote_landing:
-        fx = _quotes(spark, lake, quote_landing).withColumn(
-            "ingestion_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-        # a delivery without any quote (a notice) leaves the quotes of the last one
+    def merge_quotes(docs: DataFrame) -> None:
+        # a quote replaces the one of its pair and time; a delivery without any (a notice) changes nothing
+        fx = _quote_rows(lake, docs.drop("modified")).withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp_ntz"))
+        fx = dedup.keep_last(fx, QUOTE_KEYS, ["exchange_rate", *[c for c in fx.columns if c not in QUOTE_KEYS and c != "exchange_rate"]])
+        path = lake.table(*INCREMENTAL_TABLES["bronze_quotes"])
         if not fx.isEmpty():
-            sink.overwrite(fx, lake.table(*INCREMENTAL_TABLES["bronze_quotes"]))
-    return out
+            sink.publish_by_key(docs.sparkSession, path, fx, QUOTE_KEYS)
 
+    _each_landed(spark, lake, series_landing, whole_files, max_files_per_batch, merge_batch)
+    if quote_landing:
+        _each_landed(spark, lake, quote_landing, whole_files, max_files_per_batch, merge_quotes)
+    return {"bronze": totals}
 
-def _fx_rate(spark: SparkSession, lake: Lake) -> DataFrame:
-    """J2 rate: the last non-null value of the first rate-like column."""
+
+def _rated_quotes(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Quotes with ``__rate``, the first rate-like column (P8), and their time ``__ts``; None without any."""
     fx = read_first(spark, [lake.table(*INCREMENTAL_TABLES["bronze_quotes"])])
     if fx is None:
-        return spark.range(1).select(F.lit(None).cast("double").alias("rate"))
+        return None
     fx = normalize_columns(fx)
     cands = columns_with(fx.columns, FX_FIELD_WORDS)
-    if not cands:
-        return spark.range(1).select(F.lit(None).cast("double").alias("rate"))
-    fx = fx.withColumn("__rate", to_double(cands[0])).withColumn(
-        "__ts", F.try_to_timestamp("last_refreshed", F.lit("yyyy-MM-dd HH:mm:ss")))
-    return enrich.last_non_null(fx, "__rate", ["__ts", "ingestion_timestamp"], alias="rate")
+    return fx.withColumn("__rate", to_double(cands[0])).withColumn(
+        "__ts", F.try_to_timestamp("last_refreshed", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")) if cands else None
+
+
+def _priced(spark: SparkSession, lake: Lake, rows: DataFrame, pricing: str) -> DataFrame:
+    """``close_fx`` of every row. ``latest``: the last non-null rate of all quotes (A7) prices every series.
+    ``in_force``: a row takes the last rate at or before its time of the pair whose from-currency is its market."""
+    if pricing not in ("latest", "in_force"):
+        raise ValueError(f"pricing must be 'latest' or 'in_force', not {pricing!r}")
+    fx = _rated_quotes(spark, lake)
+    if fx is None:
+        return rows.withColumn("close_fx", F.lit(None).cast("double"))
+    if pricing == "latest":
+        return enrich.enrich_scalar(rows, enrich.last_non_null(fx, "__rate", ["__ts", "ingestion_timestamp"], alias="rate"), "rate",
+                                    value_col="close", out_col="close_fx")
+    rates = fx.select(F.col("from_currency_code").alias("market"), "__ts", "ingestion_timestamp", F.col("__rate").alias("rate"))
+    return enrich.enrich_as_of(rows, rates, ["market"], "datetime", "__ts", "rate", order=["ingestion_timestamp"])
 
 
 def _stage(spark: SparkSession, df: DataFrame, name: str, staged: list[str]) -> DataFrame:
@@ -244,8 +266,8 @@ def _fill_seeds(spark: SparkSession, inc: DataFrame, silver_path: str, last_path
     return in_order.unionByName(dedup.keep_last(back, KEYS, ["datetime"], columns=["datetime", *cols]))
 
 
-def transform(spark: SparkSession, lake: Lake) -> dict:
-    """Silver + gold step of the incremental flow.
+def transform(spark: SparkSession, lake: Lake, pricing: str = "latest") -> dict:
+    """Silver + gold step of the incremental flow; ``pricing``: see ``_priced``.
 
     The increment is every bronze row ingested after the last processed run
     (an ingestion watermark in a one-row state table), so late dates and
@@ -257,7 +279,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     staged: list[str] = []
     bronze_path = lake.table(*INCREMENTAL_TABLES["bronze_series"])
     if path_exists(spark, bronze_path):
-        out.update(_transform_series(spark, lake, read_table(spark, bronze_path), staged))
+        out.update(_transform_series(spark, lake, read_table(spark, bronze_path), staged, pricing))
     else:  # nothing but notices so far
         out["silver"] = {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0, "created": False}
 
@@ -276,7 +298,7 @@ def transform(spark: SparkSession, lake: Lake) -> dict:
     return out
 
 
-def _transform_series(spark: SparkSession, lake: Lake, bronze: DataFrame, staged: list[str]) -> dict:
+def _transform_series(spark: SparkSession, lake: Lake, bronze: DataFrame, staged: list[str], pricing: str) -> dict:
     """Silver prices and monthly gold of the bronze rows past the watermark."""
     out: dict = {}
     silver_path = lake.table(*INCREMENTAL_TABLES["silver_series"])
@@ -316,7 +338,7 @@ def _transform_series(spark: SparkSession, lake: Lake, bronze: DataFrame, staged
         rows = rows.filter(~F.col("__seed")).drop("__seed")
         rows = quality.keep_positive(rows, "close")
         rows = rows.withColumn("date", date_str("datetime")).withColumn("month", month_str("datetime"))
-        rows = enrich.enrich_scalar(rows, _fx_rate(spark, lake), "rate", value_col="close", out_col="close_fx")
+        rows = _priced(spark, lake, rows, pricing)
         rows = _stage(spark, rows, "silver-rows", staged)
         out["silver"] = sink.upsert_table(spark, silver_path, rows, KEYS + ["datetime"], partition_col="month",
                                           sort_by=KEYS + ["datetime"], volatile=[])
@@ -346,9 +368,9 @@ def _transform_series(spark: SparkSession, lake: Lake, bronze: DataFrame, staged
 
 
 def run_incremental(spark: SparkSession, lake: Lake, series_landing: str,
-                    quote_landing: str | None = None, run_ts: _dt.datetime | None = None) -> dict:
-    """Both steps, stamped ``run_ts`` (default the time of the run)."""
+                    quote_landing: str | None = None, run_ts: _dt.datetime | None = None, pricing: str = "latest") -> dict:
+    """Both steps, stamped ``run_ts`` (default the time of the run, UTC)."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     out = ingest(spark, lake, series_landing, quote_landing, run_ts)
-    out.update(transform(spark, lake))
+    out.update(transform(spark, lake, pricing))
     return out

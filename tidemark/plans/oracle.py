@@ -123,10 +123,10 @@ ORACLE_SQL = {
         from orders group by 1, 2""",
     "fx_latest": """
         select from_currency_code, to_currency_code, rate, last_refreshed from (
-          select 'C' || cast(user_id as varchar) as from_currency_code, 'USD' as to_currency_code,
+          select 'C' || cast(user_id as varchar) as from_currency_code, upper(event_type) as to_currency_code,
                  value as rate, strftime(ts, '%Y-%m-%d %H:%M:%S') as last_refreshed,
-                 row_number() over (partition by user_id order by date_trunc('second', ts) desc, event_id desc) as rn
-          from events where event_type = 'purchase')
+                 row_number() over (partition by user_id, event_type order by date_trunc('second', ts) desc, event_id desc) as rn
+          from events where event_type <> 'error')
         where rn = 1""",
     "payload_rejects": "select 'no_quote' as reason, count(*) as n from events where event_type = 'error'",
     "asof_version": """
@@ -175,7 +175,7 @@ ORACLE_SQL = {
     "quote_silver": """
         select 'C' || cast(user_id as varchar) as from_currency_code,
                strftime(ts, '%Y-%m-%d %H:%M:%S') as last_refreshed, arg_max(value, event_id) as rate
-        from events where event_type = 'purchase' group by 1, 2""",
+        from events where event_type <> 'error' group by 1, 2, event_type""",
     "stream_latest_daily": """
         select event_type as symbol, strftime(ts, '%Y-%m-%d') as day, ts as datetime, event_id, value as close
         from events
@@ -232,4 +232,49 @@ ORACLE_SQL = {
                case when dayofmonth(day) >= 15 then arg_max(value, ts) / 2 else arg_max(value, ts) end as close
         from (select *, date_trunc('day', ts) as day from events)
         group by event_type, day having arg_max(value, ts) > 0""",
+    "version_changes": """
+        select cast(v as bigint) as _version, op as _op, inserted, updated, deleted, cast(0 as bigint) as unchanged from (
+          select 0 as v, 'upsert' as op, count(*) as inserted, 0::bigint as updated, 0::bigint as deleted from orders
+          union all
+          select 1, 'overwrite', 0, count(*) filter (where o_orderstatus <> 'O'), count(*) filter (where o_orderstatus = 'O') from orders
+          union all
+          select 2, 'delete', 0, 0, count(*) from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT'
+          union all
+          select 3, 'upsert', 0, count(*), 0 from orders where o_orderstatus = 'P')""",
+    "overlap_depth": """
+        with spans as (
+          select o_orderkey, o_orderstatus, o_orderdate as a, shipped as b from orders
+          join (select l_orderkey, max(l_shipdate) as shipped from lineitem group by 1) on l_orderkey = o_orderkey
+          where o_orderdate is not null and shipped is not null),
+        points as (
+          select o_orderstatus, a as point, 0 as is_end from spans union all select o_orderstatus, b, 1 from spans),
+        swept as (
+          select *, sum(1 - is_end) over w as started, sum(is_end) over w as ended from points
+          window w as (partition by o_orderstatus order by point, is_end range between unbounded preceding and current row)),
+        counted as (
+          select o_orderstatus, sum(is_end) as n, max(started - ended) as deepest,
+                 sum(case when is_end = 1 then started else -ended end) as met from swept group by 1)
+        select o_orderstatus, cast(n as bigint) as intervals, round(cast(met as double) / cast(n as double), 6) as avg_depth,
+               cast(deepest as bigint) as max_depth from counted""",
+    "clustering_depth": """
+        select layout, c as "column", count(*) as rows, true as fell
+        from orders, unnest(['flat', 'partitioned']) as l(layout), unnest(['o_custkey', 'o_orderdate', 'o_totalprice']) as t(c)
+        group by 1, 2""",
+    "check_blocks_write": """
+        select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') as year from orders where o_orderstatus <> 'P'""",
+    "widened_types": """
+        select o_orderkey, case when o_orderstatus = 'F' then trunc(o_totalprice) else o_totalprice end as price,
+               case when o_orderstatus = 'F' then cast(date_trunc('day', o_orderdate) as timestamp) else o_orderdate end as at
+        from orders""",
+    "moved_rows": """
+        select o_orderkey, o_totalprice,
+               case when o_orderstatus = 'O' and o_orderdate < timestamp '1997-01-01' then 'P' else o_orderstatus end as o_orderstatus
+        from orders""",
+    "asof_rates": """
+        with closes as (
+          select event_type, date_trunc('day', ts) + interval 1 day as since, max(value) as rate from events group by 1, 2),
+        ended as (
+          select *, lead(since) over (partition by event_type order by since) as until from closes)
+        select e.event_id, e.event_type, e.value as close, e.value * c.rate as close_fx
+        from events e left join ended c on e.event_type = c.event_type and e.ts >= c.since and (c.until is null or e.ts < c.until)""",
 }

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.coerce import to_datetime_strict
 from tidemark.functions.dates import date_str
 from tidemark.functions.names import FX_FIELD_WORDS, NUMERIC_FIELD_WORDS, columns_with, rename_duplicates
-from tidemark.operators import versions
+from tidemark.operators import enrich, versions
+from tidemark.operators.quality import CheckViolation
 from tidemark.plans import maintenance
 from tidemark.plans.medallion import INCREMENTAL_TABLES, Lake, ingest, transform
 from tidemark.session import scratch_table
@@ -165,11 +166,88 @@ def current_version(spark, d):
     return versions.current_version(read_table(spark, _changelog(spark, d)))
 
 
+def version_changes(spark, d):
+    """V2: what each version of the changelog inserted, updated and deleted."""
+    return versions.version_changes(read_table(spark, _changelog(spark, d)), ["o_orderkey"])
+
+
+def overlap_depth(spark, d):
+    """M2: how many orders of a status are under way at once, from order to last shipment."""
+    last = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("shipped"))
+    spans = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate").join(last, "o_orderkey")
+    out = maintenance.overlap_depth(spans, "o_orderstatus", "o_orderdate", "shipped")
+    return out.select("o_orderstatus", "intervals", F.round("avg_depth", 6).alias("avg_depth"), "max_depth")
+
+
+def clustering_depth(spark, d):
+    """M2: whether files overlap less in every column after clustering, in a flat and in a partitioned table."""
+    o, cols = _orders(spark, d).drop("year"), ["o_custkey", "o_orderdate", "o_totalprice"]
+    out = None
+    for layout, parts in (("flat", []), ("partitioned", ["o_orderstatus"])):
+        path = scratch_table(spark, f"depth-{layout}")
+        w = o.repartition(16).write
+        (w.partitionBy(*parts) if parts else w).parquet(path)
+        size = maintenance.table_bytes(spark, path)
+        before = maintenance.clustering_depth(spark, path, cols).select("column", (F.col("avg_depth") * 16 / F.col("files")).alias("was"))
+        maintenance.zorder(spark, path, cols, target_file_bytes=max(size // 24, 1))
+        after = maintenance.clustering_depth(spark, path, cols).join(before, "column")
+        # a share of the files of a folder: there are more files now
+        fell = F.col("avg_depth") * 16 / F.col("files") < F.col("was")
+        rows = after.select(F.lit(layout).alias("layout"), "column", "rows", fell.alias("fell"))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
+# ------------------------------------------------------------- rules and types
+def check_blocks_write(spark, d):
+    """Q4: a rule that stays with the table: a batch that breaks it fails as a whole, a sound one is appended."""
+    path, o = scratch_table(spark, "checked"), _orders(spark, d)
+    sink.append(o.filter("o_orderstatus = 'F'"), path, ["year"])
+    sink.add_check(spark, path, "positive_price", "o_totalprice > 0")
+    broken = o.filter("o_orderstatus <> 'F'").withColumn("o_totalprice", F.when(
+        F.col("o_orderstatus") == "P", -F.col("o_totalprice")).otherwise(F.col("o_totalprice")))
+    try:
+        sink.append(broken, path, ["year"])
+    except CheckViolation:
+        sink.append(broken.filter("o_totalprice > 0"), path, ["year"])
+    return _prices(spark, path)
+
+
+def widened_types(spark, d):
+    """K4: whole numbers, then fractions, and days, then times, under the same names; both are kept."""
+    path, o = scratch_table(spark, "widened"), _t(spark, d, "orders")
+    closed = o.filter("o_orderstatus = 'F'").select("o_orderkey", F.col("o_totalprice").cast("long").alias("price"), F.to_date("o_orderdate").alias("at"))
+    rest = o.filter("o_orderstatus <> 'F'").select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("at"))
+    sink.append(closed, path)
+    sink.append_merge_schema(rest, path)
+    return read_table(spark, path).select("o_orderkey", "price", "at")
+
+
+def moved_rows(spark, d):
+    """K6: a merge whose rows move to other partitions: open orders of before 1997 become pending."""
+    path, o = scratch_table(spark, "moved"), _orders(spark, d).drop("year")
+    sink.append(o, path, ["o_orderstatus"])
+    old = (F.col("o_orderstatus") == "O") & (F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    sink.upsert_table(spark, path, o.filter(old).withColumn("o_orderstatus", F.lit("P")), ["o_orderkey"], partition_col="o_orderstatus",
+                      ts_col=None, volatile=[], partition_follows_key=False)
+    return read_table(spark, path).select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+# ------------------------------------------------------------------------ rates
+def asof_rates(spark, d):
+    """Every event priced by the last daily close of its type in force at its time, known from the next day on."""
+    e = _t(spark, d, "events")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    closes = e.groupBy("event_type", (day + F.expr("INTERVAL 1 DAY")).alias("since")).agg(F.max("value").alias("rate"))
+    rows = e.select("event_id", "event_type", "ts", F.col("value").alias("close"))
+    return enrich.enrich_as_of(rows, closes, ["event_type"], "ts", "since", "rate").select("event_id", "event_type", "close", "close_fx")
+
+
 # ------------------------------------------------------------ landed documents
 def document_outcomes(spark, d):
     """Each event lands as a quote or as one of four broken documents; each gives a row or a reject."""
     kind = F.col("event_type")
-    quote = F.create_map(F.lit("1. From_Currency Code"), kind, F.lit("5. Exchange Rate"), F.col("value").cast("string"),
+    quote = F.create_map(F.lit(payload.QUOTE_WIRE_NAMES[0]), kind, F.lit(payload.QUOTE_WIRE_NAMES[4]), F.col("value").cast("string"),
                          F.lit("10. Seen By"), F.col("user_id").cast("string"))
     raw = (F.when(kind == "purchase", F.to_json(F.create_map(F.lit(payload.QUOTE_KEY), quote)))
             .when(kind == "error", F.lit('{"Information": "limit"}')).when(kind == "click", F.lit("[1]"))
@@ -206,4 +284,5 @@ def ingest_overlapping(spark, d):
 TABLE_QUERIES = {f.__name__: f for f in (
     table_upsert, schema_merge, overwrite_schema_merge, sorted_partitions, publish_prices, fallback_scan, picked_columns,
     strict_dates, compacted_table, zorder_then_upsert, vacuum_then_as_of, as_of_after_delete, current_version,
-    document_outcomes, ingest_overlapping)}
+    document_outcomes, ingest_overlapping, version_changes, overlap_depth, clustering_depth, check_blocks_write, widened_types,
+    moved_rows, asof_rates)}

@@ -24,6 +24,10 @@ QUOTE_FIELDS = ("from_currency_code", "from_currency_name", "to_currency_code",
                 "to_currency_name", "exchange_rate", "last_refreshed", "time_zone",
                 "bid_price", "ask_price")
 
+# The names that fields have in landed documents.
+QUOTE_WIRE_NAMES = ("1. From_Currency Code", "2. From_Currency Name", "3. To_Currency Code", "4. To_Currency Name",
+                    "5. Exchange Rate", "6. Last Refreshed", "7. Time Zone", "8. Bid Price", "9. Ask Price")
+
 #: distinct field names that become columns; more is an error, never a cut
 MAX_FIELDS = 2000
 
