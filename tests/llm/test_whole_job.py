@@ -63,6 +63,29 @@ def test_a_whole_private_key_is_found_and_redacted(spark):
     assert clean[103] == "[REDACTED][REDACTED]" or clean[103] == "[REDACTED]\n[REDACTED]"
 
 
+def test_no_part_of_a_key_is_left(spark):
+    """Keys of any make: long, quoted, cut off, PGP; and tokens of issuers."""
+    head, foot, pgp = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "-----BEGIN PGP PRIVATE KEY BLOCK-----"
+    body = base64_lines(400, 3)
+    texts = [f"{head}\n" + "\n".join("    " + x for x in body), f"{head}\n" + "\n".join("- " + x for x in body) + f"\n{foot}",
+             "\n".join("> " + x for x in [head, *body, foot]), "\n".join("> " + x for x in [head, *body]),
+             "\n".join([pgp, "Version: GnuPG v2", "", *body, "=aBcD", pgp.replace("BEGIN", "END")]), "\n".join([pgp, "Version: GnuPG v2", "", *body]),
+             "\n".join("# " + x for x in [head, *body, foot]), "\n".join("x-y--z " + x for x in [head, *body, foot])]
+    rows = [(i, f"Before it.\n{t}\nAfter it, some words.") for i, t in enumerate(texts)]
+    tokens = ["ghp_" + "aB3" * 12, "github_pat_" + "aB3" * 20, "postgres://u:a:b@h", "redis://:pa@ss:w0rd@h", "xoxb-1234567890-abcdef", "AIza" + "a1B2c" * 7,
+              "sk_live_" + "a1B2" * 6, "glpat-" + "a1B2" * 5, "npm_" + "a1B2" * 9, "hf_" + "a1B2" * 8, "ASIA" + "A1B2" * 4, "SG." + "a1B2" * 5 + "." + "a1B2" * 8]
+    rows += [(100 + i, f"see {t} there") for i, t in enumerate(tokens)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    for i, _ in enumerate(texts):
+        assert not any(x[k:k + 16] in clean[i] for x in body for k in (0, 20, 48)), i
+        assert clean[i].startswith("Before it.") and clean[i].endswith("After it, some words."), i
+    for i, t in enumerate(tokens):
+        assert clean[100 + i] == ("see [REDACTED]h there" if "://" in t else "see [REDACTED] there"), t
+    odd = spark.createDataFrame([(1, "api_key=abcdefghijkl", "a", "b", "c", "d")], "doc_id long, text string, _text string, _key string, _may string, _row string")
+    assert [tuple(r) for r in secret_scan.redact(odd).collect()] == [(1, "[REDACTED]", "a", "b", "c", "d")]
+
+
 def test_long_logins_are_found_and_redacted(spark):
     token = "github_pat_" + "Ab1" * 28
     urls = [f"https://oauth2:{token}@", f"https://{'user' * 30}:short@", f"https://{'u' * 5000}:{'p' * 5000}@", "ftp://u:abc@",

@@ -34,7 +34,7 @@ def dedup_lines(df: DataFrame, *, min_chars: int = 20, min_docs: int = 3, id_col
     lose all their lines except in the largest id that holds them (there all stay). A null
     or empty text is one empty line. Rows of one id are one document for the counts; each
     row gets its own result. Null ids are one document that comes before all others. Added
-    columns replace columns of the same names; an empty table gives an empty one.
+    columns replace columns of the same names, all others may have any name; an empty table gives an empty one.
     """
     known = [c for c in df.columns if c not in ("kept_text", "n_lines", "n_dropped")]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -52,12 +52,12 @@ def dedup_lines(df: DataFrame, *, min_chars: int = 20, min_docs: int = 3, id_col
     dropped = (lines.join(repeated, ["_h1", "_h2"]).where(~F.col("_id").eqNullSafe(F.col("_last")))
                .groupBy("_id", "_th").agg(F.collect_set("_pos").alias("_gone"))
                .select(F.struct("_id", "_th").alias("_row"), "_gone"))
-    out = df.select(*known, F.split(text, "\n", -1).alias("_lines"),
+    out = df.select(F.struct(*known).alias("_in"), F.split(text, "\n", -1).alias("_lines"),
                     F.struct(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th")).alias("_row"))
     out = out.join(dropped, "_row", "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     return (out.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_lines"))
                            .otherwise(F.transform(kept, lambda i: F.col("_lines")[i])))
-            .select(*known, F.array_join("_kept", "\n").alias("kept_text"),
+            .select(*[F.col("_in")[c].alias(c) for c in known], F.array_join("_kept", "\n").alias("kept_text"),
                     F.size("_lines").cast("long").alias("n_lines"),
                     F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped")))

@@ -48,9 +48,27 @@ _SPANS = """
                      string_split_regex(coalesce(text, ''), '{pattern}') AS before FROM documents)) m"""
 
 
+# spans from an opening to the next end, or over the lines of the key that follow it
+_UNTIL = """
+  SELECT doc_id, {rule} AS rule, '{kind}' AS kind, length(span) AS size, length(span) AS tested, CAST(start + length(span) AS BIGINT) AS stop
+  FROM (SELECT doc_id, start, CASE WHEN following SIMILAR TO '{until}' THEN mark || after || following
+                                   ELSE mark || regexp_replace(regexp_extract(after, '{key}', 0), '[ \t\r\n>|#*;-]+$', '') END AS span, mark
+        FROM (SELECT doc_id, mark, after, lead(mark) OVER d AS following,
+                     sum(length(before) + length(mark)) OVER d - length(mark) AS start
+              FROM (SELECT doc_id, generate_subscripts(marks, 1) AS pos, unnest(marks) AS mark, unnest(pieces[1:len(marks)]) AS before,
+                           unnest(pieces[2:]) AS after
+                    FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}|{until}', 0) AS marks,
+                                 string_split_regex(coalesce(text, ''), '{pattern}|{until}') AS pieces FROM documents)) m
+              WINDOW d AS (PARTITION BY doc_id ORDER BY pos)) s
+        WHERE mark SIMILAR TO '{pattern}') k"""
+
+
 def _secrets() -> str:
-    from tidemark.llm.secret_scan import BASE, RULES
-    spans = " UNION ALL ".join(f"(SELECT * FROM ({_SPANS.format(rule=i, kind=r.kind, group=r.group, pattern=r.pattern.replace(chr(39), chr(39) * 2))}) s{i}"
+    from tidemark.llm.secret_scan import BASE, QUOTED, RULES
+    line_end = r"[ \t\r]*(?m:$)"
+    key = (rf"^(?:[ \t]*[A-Za-z0-9+/=\\]*{line_end}(?:\n{QUOTED}[A-Za-z0-9-]+: [^\n]*)*(?:\n{QUOTED}[A-Za-z0-9+/=]*{line_end})*|"
+           r"[ \t]*[A-Za-z0-9+/=\\]{16,})")
+    spans = " UNION ALL ".join(f"(SELECT doc_id, rule, kind, size, tested, stop FROM ({(_UNTIL if r.until else _SPANS).format(rule=i, kind=r.kind, group=r.group, pattern=r.pattern.replace(chr(39), chr(39) * 2), until=r.until, key=key)}) s{i}"
                                f" WHERE tested >= {r.least})" for i, r in enumerate(RULES))
     counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
     text = "kind || ':' || (stop - size) || ':' || stop"
