@@ -13,7 +13,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import bpe, html_extract, line_dedup, packing, quality_nbsvm, quality_rules, secret_scan, simhash, token_counts
+from tidemark.llm.common import staged
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LONG = "word and other, " * 4000
@@ -243,6 +246,44 @@ def test_quality_rules(spark):
     assert quality_rules.judge(empty(df)).count() == 0
 
 
+def test_every_limit_varies_over_groups(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
+    rows = quality_rules.counts(docs.select("lang", "source", "text"), F.col("text"))
+    rows = rows.withColumns({n: F.when(F.col(of) > 0, F.floor(k * F.col(part) / F.col(of))).otherwise(0).cast("long")
+                             for n, (part, of, k, *_) in quality_rules.SHARES.items()})
+    rows = rows.where("n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words")
+    found = quality_rules.limits(staged(quality_rules.sketches(rows, ["lang", "source"]), "sketch"), 200).toPandas()
+    assert len(found) == 80
+    for column in found.columns[1:]:
+        assert found[column].nunique() > 4, column
+
+
+def test_limits_equal_brute_force(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice("xyz"), rnd.choice([0, 0, 3, 500, rnd.randint(0, 9000)])) for _ in range(900)]
+    df = spark.createDataFrame(rows, "lang string, source string, word_length long")
+    sketch = quality_rules.sketches(df.withColumns({n: F.col("word_length") for n in quality_rules.SHARES}), ["lang", "source"])
+    got = {tuple(r["group"]): r for r in quality_rules.limits(staged(sketch, "sketch"), 50).collect()}
+
+    def cut(v):
+        low = max(v.bit_length() - 6, 0)
+        return v >> low << low
+
+    def share(values, v):
+        return sum(x <= v for x in values) / len(values)
+    support = sorted({cut(v) for *_, v in rows})
+    for lang, source in {r[:2] for r in rows}:
+        own = [cut(v) for a, b, v in rows if (a, b) == (lang, source)]
+        of_lang = [cut(v) for a, _, v in rows if a == lang]
+        a, b = len(own) / (len(own) + 50), len(of_lang) / (len(of_lang) + 50)
+        f = {v: a * share(own, v) + (1 - a) * (b * share(of_lang, v) + (1 - b) * share([cut(x) for *_, x in rows], v)) for v in support}
+
+        def q(p):
+            return min(v for v in support if f[v] >= p - 1e-9)
+        r = got[lang, source]
+        assert (r.word_length_high, r.word_length_low, r.symbols_high) == (q(.95) + q(.99), q(.01) + q(.05), q(.9) + q(.95))
+
+
 def key_spans(text, rule):
     """Spans of private keys by a walk over the markers and the lines after them."""
     marks = list(re.finditer(f"{rule.pattern}|{rule.until}", text))

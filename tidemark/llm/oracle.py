@@ -90,23 +90,21 @@ def _rules() -> str:
         f"SELECT lang, source, '{n}' AS share, ({n} >> {low.format(v=n)}) << {low.format(v=n)} AS value FROM shares WHERE NOT base_failed"
         for n in SHARES)
 
-    def level(name: str, keys: str) -> str:
-        group = f"{keys}, share" if keys else "share"
-        by = f"GROUP BY {keys}" if keys else ""
-        head = f"{keys}, " if keys else ""
-        cols = []
-        for n, (_, _, _, above, below) in SHARES.items():
-            cols.append(f"max(q3 + greatest(6 * (q3 - q1), {above})) FILTER (WHERE share = '{n}') AS {n}_high")
-            if below is not None:
-                cols.append(f"max(q1 - greatest(6 * (q3 - q1), {below})) FILTER (WHERE share = '{n}') AS {n}_low")
+    def level(name: str, keys: list[str]) -> str:
+        head = "".join(f"{k}, " for k in keys)
+        same = "".join(f" AND b.{k} IS NOT DISTINCT FROM g.{k}" for k in keys)
+        listed = "".join(f"g.{k}, " for k in keys)
         return f"""{name} AS (
-  SELECT {head}max(n_docs) AS n_docs, {', '.join(cols)} FROM (
-    SELECT {head}share, max(all_) AS n_docs, min(value) FILTER (WHERE 4 * upto >= all_) AS q1, min(value) FILTER (WHERE 4 * upto >= 3 * all_) AS q3
-    FROM (SELECT {head}share, value, sum(n) OVER (PARTITION BY {group} ORDER BY value) AS upto, sum(n) OVER (PARTITION BY {group}) AS all_
-          FROM (SELECT {head}share, value, count(*) AS n FROM bucketed GROUP BY {head}share, value)) GROUP BY {head}share) {by})"""
-    names = [f"{n}_{side}" for n, v in SHARES.items() for side in ("high", "low") if side == "high" or v[4] is not None]
-    pick = {n: f"CASE WHEN o.n_docs >= 200 THEN o.{n} WHEN l.n_docs >= 200 THEN l.{n} ELSE w.{n} END" for n in names}
-    fine = " AND ".join(f"s.{n.rpartition('_')[0]} {'<=' if n.endswith('high') else '>='} {e}" for n, e in pick.items())
+  SELECT {head}share, value, sum(n) OVER (PARTITION BY {head}share ORDER BY value) / sum(n) OVER (PARTITION BY {head}share) AS f,
+         sum(n) OVER (PARTITION BY {head}share) AS n
+  FROM (SELECT {listed}g.share, v.value, count(b.value) AS n FROM (SELECT DISTINCT {head}share FROM bucketed) g
+        JOIN (SELECT DISTINCT share, value FROM bucketed) v ON g.share = v.share
+        LEFT JOIN bucketed b ON b.share = v.share AND b.value = v.value{same} GROUP BY ALL))"""
+    sides = [(n, side, pair) for n, v in SHARES.items() for side, pair in (("high", v[3]), ("low", v[4])) if pair]
+    twice = ", ".join(f"max(CASE WHEN share = '{n}' THEN q{p} + q{q} END) AS {n}_{side}" for n, side, (p, q) in sides)
+    quantiles = ", ".join(f"min(CASE WHEN f >= {p / 1000!r} - 1e-9 THEN value END) AS q{p}" for p in sorted({p for *_, pair in sides for p in pair}))
+    fine = " AND ".join(f"2 * ((s.{n} >> {low.format(v=f's.{n}')}) << {low.format(v=f's.{n}')}) {'<=' if side == 'high' else '>='} t.{n}_{side}"
+                        for n, side, _ in sides)
     return f"""
 WITH words AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS words,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {_WHITE}) <> '') AS lines FROM documents),
@@ -122,11 +120,17 @@ counted AS (SELECT w.doc_id, lang, source, len(words) AS n_words, len(lines) AS
   FROM words w LEFT JOIN covered c ON w.doc_id = c.doc_id),
 shares AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {shares} FROM counted),
 bucketed AS ({values}),
-{level('o', 'lang, source')}, {level('l', 'lang')}, {level('w', '')}
+{level('o', ['lang', 'source'])}, {level('l', ['lang'])}, {level('w', [])},
+blended AS (
+  SELECT o.lang, o.source, o.share, o.value,
+         CAST(o.n AS DOUBLE) / (o.n + 200) * o.f + (1 - CAST(o.n AS DOUBLE) / (o.n + 200)) * (
+           CAST(l.n AS DOUBLE) / (l.n + 200) * l.f + (1 - CAST(l.n AS DOUBLE) / (l.n + 200)) * w.f) AS f
+  FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.share = l.share AND o.value = l.value
+  JOIN w ON o.share = w.share AND o.value = w.value),
+t AS (SELECT lang, source, {twice} FROM (SELECT lang, source, share, {quantiles} FROM blended GROUP BY lang, source, share) GROUP BY lang, source)
 SELECT s.doc_id, s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words, s.base_failed,
        coalesce(NOT s.base_failed AND {fine}, false) AS kept
-FROM shares s LEFT JOIN o ON s.lang IS NOT DISTINCT FROM o.lang AND s.source IS NOT DISTINCT FROM o.source
-LEFT JOIN l ON s.lang IS NOT DISTINCT FROM l.lang CROSS JOIN w
+FROM shares s LEFT JOIN t ON s.lang IS NOT DISTINCT FROM t.lang AND s.source IS NOT DISTINCT FROM t.source
 """
 
 NEGATIVES = """

@@ -1,13 +1,14 @@
 """Quality rules with adaptive thresholds (operator 7), DataFrame functions only.
 
 Each text is counted where it is. The shares made of the counts go into mergeable quantile
-sketches per language and source: counts of values rounded to six significant bits, so a
+sketches per language and source: counts of values cut to six significant bits, so a
 sketch has a bounded number of rows, merging is adding, and the result does not depend on
-the order of rows or on retries. Sketches of small groups are replaced by those of their
-language, or of everything, which are merged from the same rows. A threshold lies a number
-of quartile ranges beyond a group's quartile; thresholds are joined to the documents'
-counts, and those beyond any are rejected. Fixed cutoffs remain only as the least distance
-that a threshold keeps from the quartile.
+the order of rows or on retries. The sketches of languages and of the whole are merged from those
+of the groups. A group's distribution is a blend of its own, its language's and the whole one, a group of
+``n`` texts having the weight ``n / (n + weight)`` in its own and its language likewise in what is left; so
+small groups lean on larger ones by degrees. A threshold lies halfway between two upper (or lower) quantiles
+of the blend. Nothing but these quantiles is fixed. Thresholds are joined to the documents' counts,
+and those beyond any are rejected.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ SYMBOLS = "#*$%&|<>"
 SPLIT = r"[\x20\x09-\x0D]+"
 SPAN = 8
 
-# share of a document, in ten thousandths or hundredths of a character: counts it is made
-# of, factor, least distance of the threshold from the upper quartile, and from the lower
+# share of a document, in ten thousandths or hundredths of a character: counts it is made of, factor, and the quantiles, in
+# thousandths, that its upper and its lower threshold lie halfway between
 SHARES = {
-    "word_length": ("word_chars", "n_words", 100, 100, 100),
-    "symbols": ("n_symbols", "n_words", 10_000, 1_000, None),
-    "dup_lines": ("n_dup_lines", "n_lines", 10_000, 3_000, None),
-    "repeats": ("n_repeat_words", "n_words", 10_000, 2_000, None),
+    "word_length": ("word_chars", "n_words", 100, (950, 990), (10, 50)),
+    "symbols": ("n_symbols", "n_words", 10_000, (900, 950), None),
+    "dup_lines": ("n_dup_lines", "n_lines", 10_000, (990, 1000), None),
+    "repeats": ("n_repeat_words", "n_words", 10_000, (990, 1000), None),
 }
 
 
@@ -76,33 +77,46 @@ def sketches(rows: DataFrame, keys: list[str]) -> DataFrame:
             .groupBy(*keys, "s.share", "s.value").agg(F.count("*").alias("n")))
 
 
-def limits(sketch: DataFrame, keys: list[str], spread: int) -> DataFrame:
-    """(keys, n_docs, <share>_high and _low per share) from sketches merged to ``keys``."""
-    merged = sketch.groupBy(*keys, "share", "value").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "share")
-    merged = merged.withColumns({"upto": F.sum("n").over(group.orderBy("value")), "all": F.sum("n").over(group)})
-    # smallest value that a quarter, or three quarters, of the group do not exceed
-    quartile = [F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("value"))).alias(f"q{k}") for k in (1, 3)]
-    q = merged.groupBy(*keys, "share").agg(F.max("all").alias("n_docs"), *quartile)
-    out = []
-    for name, (_, _, _, above, below) in SHARES.items():
-        mine = F.col("share") == name
-        reach = spread * (F.col("q3") - F.col("q1"))
-        out.append(F.max(F.when(mine, F.col("q3") + F.greatest(reach, F.lit(above)))).alias(f"{name}_high"))
-        if below is not None:
-            out.append(F.max(F.when(mine, F.col("q1") - F.greatest(reach, F.lit(below)))).alias(f"{name}_low"))
-    return q.groupBy(*keys).agg(F.max("n_docs").alias("n_docs"), *out)
-
-
-def judge(df: DataFrame, *, min_words: int = 20, max_repeats: int = 30, min_group: int = 200, spread: int = 6,
+def _distribution(sketch: DataFrame, keys: list[str], support: DataFrame) -> DataFrame:
+    """(key, share, value, f, n): the share of a group's texts up to every value of ``support``, and the number of its texts."""
+    own = sketch.groupBy(F.struct(*keys).alias("key"), "share", "value").agg(F.sum("n").alias("n"))
+    # a group's rows are as many as the support, which the rounding bounds
+    groups = own.select("key", "share").distinct().join(F.broadcast(support), "share")
+    group = Window.partitionBy("key", "share")
+    at = groups.join(own, ["key", "share", "value"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    upto, total = F.sum("n").over(group.orderBy("value")), F.sum("n").over(group)
+    return at.select("key", "share", "value", (upto / total).alias("f"), total.alias("n"))
+
+
+def limits(sketch: DataFrame, weight: int) -> DataFrame:
+    """(group, <share>_high and _low per share): twice the thresholds, as sums of two quantiles, for each language and source."""
+    # the values that occur in a share: at most 32 for each power of two, whatever the rows
+    support = staged(sketch.select("share", "value").distinct(), "support")
+    own = _distribution(sketch, ["lang", "source"], support).select(
+        F.col("key").alias("group"), F.struct("key.lang").alias("key"), "share", "value", F.col("f").alias("fo"), F.col("n").alias("no"))
+    langs = _distribution(sketch, ["lang"], support).withColumnsRenamed({"f": "fl", "n": "nl"})
+    whole = _distribution(sketch.withColumn("all", F.lit(1)), ["all"], support).select("share", "value", F.col("f").alias("fw"))
+    at = own.join(langs, ["key", "share", "value"]).join(F.broadcast(whole), ["share", "value"])
+    a, b = F.col("no") / (F.col("no") + weight), F.col("nl") / (F.col("nl") + weight)
+    at = at.withColumn("f", a * F.col("fo") + (1 - a) * (b * F.col("fl") + (1 - b) * F.col("fw")))
+
+    def quantile(p: int) -> Column:
+        return F.min(F.when(F.col("f") >= p / 1000 - 1e-9, F.col("value")))
+    out = [F.max(F.when(F.col("share") == name, F.col(f"q{p}") + F.col(f"q{q}"))).alias(f"{name}_{side}")
+           for name, v in SHARES.items() for side, pair in (("high", v[3]), ("low", v[4])) if pair for p, q in (pair,)]
+    every = sorted({p for v in SHARES.values() for pair in v[3:] if pair for p in pair})
+    q = at.groupBy("group", "share").agg(*[quantile(p).alias(f"q{p}") for p in every])
+    return q.groupBy("group").agg(*out)
+
+
+def judge(df: DataFrame, *, min_words: int = 20, max_repeats: int = 30, weight: int = 200,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per input row: id, the counts, ``base_failed`` and ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeats`` percent of
-    the words in repeated windows. Others are kept unless a share lies beyond its group's
-    threshold; they alone make the sketches. Groups of fewer than ``min_group`` texts use
-    their language's thresholds, languages as small those of the whole table. Null language
-    or source is a group like any other; null and empty texts have no words and fail. Rows
+    the words in repeated windows. Others are kept unless a share, cut to six bits, lies beyond its group's
+    threshold; they alone make the sketches. ``weight`` is how many texts a group needs for half the say in its own
+    thresholds. Null language or source is a group like any other; null and empty texts have no words and fail. Rows
     that repeat count each time; extra columns are not read; an empty table gives an empty one.
     """
     rows = counts(df.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
@@ -113,20 +127,13 @@ def judge(df: DataFrame, *, min_words: int = 20, max_repeats: int = 30, min_grou
         100 * F.col("n_repeat_words") > max_repeats * F.col("n_words")))
     rows = staged(rows, "counts")
     sketch = staged(sketches(rows.where("NOT base_failed"), ["lang", "source"]), "sketch")
-    names = [f"{n}_{side}" for n, v in SHARES.items() for side in ("high", "low") if side == "high" or v[4] is not None]
-    own = limits(sketch, ["lang", "source"], spread).alias("o")
-    by_lang = limits(sketch, ["lang"], spread).alias("l")
-    whole = limits(sketch.withColumn("all", F.lit(1)), ["all"], spread).drop("all", "n_docs").alias("w")
-    chosen = own.join(by_lang, F.col("o.lang").eqNullSafe(F.col("l.lang"))).join(F.broadcast(whole))     # one row
-    chosen = chosen.select(F.struct("o.lang", "o.source").alias("group"), *[
-        F.when(F.col("o.n_docs") >= min_group, F.col(f"o.{n}")).when(F.col("l.n_docs") >= min_group, F.col(f"l.{n}"))
-        .otherwise(F.col(f"w.{n}")).alias(n) for n in names])
-    chosen = staged(chosen, "thresholds")
+    chosen = staged(limits(sketch, weight), "thresholds")
     out = rows.withColumn("group", F.struct("lang", "source")).join(chosen, "group", "left")
     fine = ~F.col("base_failed")
-    for name, (_, _, _, _, below) in SHARES.items():
-        fine &= F.col(name) <= F.col(f"{name}_high")
-        if below is not None:
-            fine &= F.col(name) >= F.col(f"{name}_low")
+    for name, v in SHARES.items():
+        twice = 2 * rounded(F.col(name))
+        fine &= twice <= F.col(f"{name}_high")
+        if v[4]:
+            fine &= twice >= F.col(f"{name}_low")
     return out.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", F.coalesce(fine, F.lit(False)).alias("kept"))
