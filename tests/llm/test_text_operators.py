@@ -251,7 +251,7 @@ def test_every_limit_varies_over_groups(spark):
     rows = quality_rules.counts(docs.select("lang", "source", "text"), F.col("text"))
     rows = rows.withColumns({n: F.when(F.col(of) > 0, F.floor(k * F.col(part) / F.col(of))).otherwise(0).cast("long")
                              for n, (part, of, k, *_) in quality_rules.SHARES.items()})
-    rows = rows.where("n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words")
+    rows = staged(rows, "counts").where("n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words")
     found = quality_rules.limits(staged(quality_rules.sketches(rows, ["lang", "source"]), "sketch"), 200).toPandas()
     assert len(found) == 80
     for column in found.columns[1:]:
