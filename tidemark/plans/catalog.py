@@ -363,6 +363,23 @@ def stream_dedup_copies(spark, d):
     return spark.read.schema(unique.schema).parquet(out)
 
 
+def stream_late_rows(spark, d):
+    """T2 across batches: events land week by week, one run each; purchases land again a week
+    later (copies) and errors only a week later, most of them behind the watermark."""
+    from tidemark.session import scratch_table
+    from tidemark.streaming.incremental import dedup_into, parquet_stream
+    e = _t(spark, d, "events").select("event_id", "ts", "event_type", "value")
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    landing, out, ckpt = (scratch_table(spark, f"stream-late-{n}") for n in ("landing", "table", "ckpt"))
+    for n in range(6):
+        due = F.when(F.col("event_type") == "error", week == n - 1).when(
+            F.col("event_type") == "purchase", week.isin(n - 1, n)).otherwise(week == n)
+        e.where(due).write.mode("append").parquet(landing)
+        dedup_into(spark, parquet_stream(spark, landing, e.schema), out, ["event_id"], "ts", "2 days",
+                   hold="1 day", checkpoint=ckpt)
+    return spark.read.parquet(out).select("event_id", "ts", "event_type", "value", F.col("_outcome").alias("outcome"))
+
+
 # ---------------------------------------------------- preview, counts
 def preview_rows(spark, d):
     return rollup.preview(_t(spark, d, "events").select("event_id", "ts", "value"), 5, ["ts", "event_id"])
@@ -440,3 +457,4 @@ QUERIES = {
 #: the queries that write tables are timed apart from these (bench.py)
 READ_QUERIES = tuple(QUERIES)
 QUERIES.update(table_queries.TABLE_QUERIES)
+QUERIES["stream_late_rows"] = stream_late_rows

@@ -9,9 +9,13 @@ nothing - so the job is safe to re-run and to lose executors mid-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import upsert_table
@@ -39,6 +43,92 @@ def dedup_within_watermark(df: DataFrame, keys: list[str], ts: str, delay: str =
               .drop(wm))
 
 
+def first_or_late(df: DataFrame, keys: list[str], ts: str, delay: str = "1 day", hold: str = "1 hour",
+                  order: list[str] | None = None) -> DataFrame:
+    """T2 across micro-batches: each key's first row as ``_outcome`` 'kept', its copies gone,
+    and rows that came too late to tell as 'late'. No other row is lost.
+
+    A key is held in keyed state from its first row until the watermark is ``delay`` past its
+    newest one; a row of a held key is a copy, however late. A row of a key that is not held
+    and whose time is null or before the watermark is 'late'; all of those are returned.
+    Of the rows that a key's first batch brings, the smallest by (ts, order) is kept. State
+    is looked through for expired keys every ``hold`` of processing time: a timeout by event
+    time would make Spark drop late rows before this function sees them. Rows of a key come
+    in Arrow batches, so a hot key never has to fit in memory. Null keys are a key.
+    """
+    wm, ms = f"__wm_{ts}", f"__ms_{ts}"
+    delay_ms, hold_ms = (int(pd.Timedelta(t).total_seconds() * 1000) for t in (delay, hold))
+    # pandas has no whole numbers with nulls: long columns pass as decimals
+    longs = [f.name for f in df.schema.fields if f.dataType == T.LongType()]
+    exact = df.withColumns({c: F.col(c).cast("decimal(20,0)") for c in longs})
+    fields = exact.schema.fields
+    timed = (exact.withColumn(wm, F.col(ts).cast("timestamp")).withColumn(ms, F.unix_millis(wm).cast("double"))
+                  .withWatermark(wm, delay))
+    names = [f.name for f in fields]
+    by = [ms, ts, *(order or [])]
+
+    def decide(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        mark = state.getCurrentWatermarkMs()
+        if state.hasTimedOut:
+            if state.get[0] + delay_ms < mark:
+                state.remove()
+            else:
+                state.setTimeoutDuration(hold_ms)
+            return
+        held, newest, first = state.exists, state.get[0] if state.exists else None, None
+        for rows in batches:
+            at = rows[ms].to_numpy()
+            late = ~(at >= mark)
+            if not held and late.any():
+                yield rows.loc[late, names].assign(_outcome="late")
+            if not late.all():
+                newest = max(newest or 0, int(at[~late].max()))
+                if not held:
+                    fresh = rows[~late] if late.any() else rows
+                    first = fresh if first is None else pd.concat([first, fresh])
+                    first = first.sort_values(by, kind="stable").head(1) if len(first) > 1 else first
+        if newest is not None:
+            state.update((newest,))
+            state.setTimeoutDuration(hold_ms)
+        if first is not None:
+            yield first[names].assign(_outcome="kept")
+
+    out = timed.groupBy(*keys).applyInPandasWithState(
+        decide, T.StructType([*fields, T.StructField("_outcome", T.StringType())]), "newest long", "append",
+        GroupStateTimeout.ProcessingTimeTimeout)
+    return out.withColumns({c: F.col(c).cast("long") for c in longs})
+
+
+def dedup_into(spark: SparkSession, stream: DataFrame, path: str, keys: list[str], ts: str, delay: str = "1 day",
+               hold: str = "1 hour", order: list[str] | None = None, checkpoint: str | None = None) -> list[dict]:
+    """Write :func:`first_or_late` of what has landed to ``path``, partitioned by ``_outcome`` ('kept',
+    'late') and ``_batch``; the counts of both for each batch.
+
+    A replayed batch overwrites its own two partitions. The checkpoint holds state and
+    watermark from one run to the next.
+    """
+    counts: list[dict] = []
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        seen = Observation()
+        kinds = [F.count_if(F.col("_outcome") == k).alias(k) for k in ("kept", "late")]
+        (batch.observe(seen, *kinds).withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("_outcome", "_batch").parquet(path))
+        counts.append({"batch": epoch, **seen.get})
+
+    # timeouts by processing time ask for one more empty batch after each; available-now would never end
+    empty = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(empty)
+    spark.conf.set(empty, "false")
+    try:
+        q = (first_or_late(stream, keys, ts, delay, hold, order).writeStream.outputMode("append").foreachBatch(write)
+             .option("checkpointLocation", checkpoint or scratch_path(spark, "dedup-ckpt")).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(empty, before)
+    q.awaitTermination()
+    return counts
+
+
 def incremental_upsert(spark: SparkSession, stream: DataFrame, target_path: str, keys: list[str],
                        order: list[str] | None = None, ts_col: str = "datetime",
                        partition_col: str = "month", checkpoint: str | None = None,
