@@ -364,16 +364,16 @@ def stream_dedup_copies(spark, d):
 
 
 def stream_late_rows(spark, d):
-    """T2 across batches: events land week by week, one run each; purchases land again a week
-    later (copies) and errors only a week later, most of them behind the watermark."""
+    """T2 across batches: events land by thirds of a month, one run each; purchases land again one
+    run later (copies) and errors only one run later, most of them behind the watermark."""
     from tidemark.session import scratch_table
     from tidemark.streaming.incremental import dedup_into, parquet_stream
     e = _t(spark, d, "events").select("event_id", "ts", "event_type", "value")
-    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
     landing, out, ckpt = (scratch_table(spark, f"stream-late-{n}") for n in ("landing", "table", "ckpt"))
-    for n in range(6):
-        due = F.when(F.col("event_type") == "error", week == n - 1).when(
-            F.col("event_type") == "purchase", week.isin(n - 1, n)).otherwise(week == n)
+    for n in range(4):
+        due = F.when(F.col("event_type") == "error", third == n - 1).when(
+            F.col("event_type") == "purchase", third.isin(n - 1, n)).otherwise(third == n)
         e.where(due).write.mode("append").parquet(landing)
         dedup_into(spark, parquet_stream(spark, landing, e.schema), out, ["event_id"], "ts", "2 days",
                    hold="1 day", checkpoint=ckpt)

@@ -271,11 +271,11 @@ ORACLE_SQL = {
                case when o_orderstatus = 'O' and o_orderdate < timestamp '1997-01-01' then 'P' else o_orderstatus end as o_orderstatus
         from orders""",
     "stream_late_rows": """
-        with dealt as (select *, cast(floor((dayofmonth(ts) - 1) / 7) as int) as week from events),
-        due as (select *, week + case when event_type = 'error' then 1 else 0 end as run from dealt),
+        with dealt as (select *, cast(least(floor((dayofmonth(ts) - 1) / 10), 2) as int) as third from events),
+        due as (select *, third + case when event_type = 'error' then 1 else 0 end as run from dealt),
         marks as (
           select run, max(max(ts)) over (order by run rows between unbounded preceding and 1 preceding) - interval 2 day as mark
-          from (select run, ts from due union all select week + 1, ts from dealt where event_type = 'purchase') group by run)
+          from (select run, ts from due union all select third + 1, ts from dealt where event_type = 'purchase') group by run)
         select event_id, ts, event_type, value,
                case when date_trunc('millisecond', ts) < date_trunc('millisecond', mark) then 'late' else 'kept' end as outcome
         from due join marks using (run)""",
