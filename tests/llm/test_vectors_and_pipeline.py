@@ -43,6 +43,39 @@ def test_links(spark, strip):
     assert [(r.n_links, r.component_id, r.kept) for r in embed_dedup.link_vectors(null).collect()] == [(0, None, False)] * 3
 
 
+def test_pair_tests(spark):
+    """On the test vectors fewer than half of all pairs are tested, and no link is lost; nor in dense cells, in one strip or two."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding", "label").collect()
+    tests = pairs = 0
+    for label in {r.label for r in rows}:
+        x = np.unique(np.array([r.embedding for r in rows if r.label == label], float), axis=0)
+        made = embed_dedup.Pairs(x / np.sqrt((x * x).sum(axis=1, keepdims=True)), None, 8, 4, 0.98, 7)
+        list(made.links())
+        tests, pairs = tests + made.tests, pairs + len(x) * (len(x) - 1) // 2
+    assert pairs > 100_000 and tests < pairs / 2
+    rng = np.random.default_rng(3)
+    for size, noise in ((64, 0.01), (64, 0.018), (5, 0.05), (1, 0.1)):
+        x = np.concatenate([rng.normal(size=size) / size ** 0.5 + rng.normal(size=(400, size)) * noise, rng.normal(size=(150, size))])
+        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+        near = x @ x.T >= 0.98 if size > 1 else x @ x.T > 0
+        for left, right in ((x, None), (x[:250], x[250:])):
+            found = [(int(a), int(b)) for i, j in embed_dedup.Pairs(left, right, 8, 4, 0.98, 7).links() for a, b in zip(i, j)]
+            cut = 0 if right is None else 250
+            want = {(a, b) for a, b in zip(*np.nonzero(near)) if a < b} if right is None else {(a, b - 250) for a, b in zip(*np.nonzero(near)) if a < 250 <= b}
+            got = {(min(f), max(f)) for f in found} if not cut else set(found)
+            assert len(found) == len(got) and got == want, (size, noise)
+
+
+def test_a_task_takes_whole_vectors_once_for_each_strip_of_their_label(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    whole = {tuple(r) for r in embed_dedup.link_vectors(df, cosine=0.9).collect()}
+    assert whole == {tuple(r) for r in embed_dedup.link_vectors(df, cosine=0.9, strip_bytes=20 * 8 * 8).collect()}
+    single = [(i, [float(np.float32(x)) for x in v], label) for i, v, label in rows]
+    assert {r[0]: (r[1], r[2]) for r in whole} == brute(single, 0.9)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     rnd = random.Random(1)
     path = [(i, i + 1) for i in range(100, 180)]

@@ -4,13 +4,15 @@ Unit vectors are rotated by one orthogonal matrix and split into blocks. If two
 within squared distance ``2 - 2 * cosine``, at least one block has no more than its
 proportional share of that. So each block is range-joined on its own: vectors are dealt to
 the cells of a grid over the block's first coordinates, as wide as the block's radius, and
-to half of the cells around; in a cell the block's distances are tested, and what passes is
-verified by the cosine in double precision. A pair belongs to the first block that finds
-it, so the union over blocks needs no deduplication.
+only cells that touch are compared: first the block's distance, then, for what passes, the
+cosine in double precision. A pair belongs to the first block that finds it, so the union
+over blocks needs no deduplication.
 
-Equal vectors are one class with a count before anything else. A cell's rows are split into
-strips of a bounded size, so a task holds two strips however full a cell is. A task returns
-the number of links of each class and a spanning forest of its links, never the pairs.
+Equal vectors are one class with a count before anything else. The classes of a label are
+split by hash into strips of a bounded number of bytes; a task takes one strip or two and
+joins all blocks of them, so a vector is shuffled once for each strip of its label, however
+many blocks and cells there are. A task returns the number of links of each class and a
+spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -22,12 +24,18 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tidemark.llm.common import components, staged, unstage
 
-_CHUNK = 512
+#: pairs that are tested at once
+_PAIRS = 1 << 19
+#: two cells with more pairs than this are tested as a matrix, others pair by pair
+_DENSE = 1 << 14
+#: rows and columns of such a matrix
+_TILE = 1024
 
 
 def rotation(size: int, seed: int) -> np.ndarray:
@@ -49,58 +57,157 @@ def _spans(size: int, n_blocks: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges, edges[1:]) if b > a]
 
 
-class _Pairs:
-    """Tests of one left against one right strip of rows in one block."""
+class Pairs:
+    """Links between the rows of two strips, or (``right`` None) among those of one.
 
-    def __init__(self, left: np.ndarray, right: np.ndarray, block: int, n_blocks: int, cosine: float, seed: int):
-        self.u, self.v, self.cosine, self.block = left, right, cosine, block
+    ``tests`` counts the pairs whose distance was computed in the block that proposed them.
+    """
+
+    def __init__(self, left: np.ndarray, right: np.ndarray | None, n_blocks: int, grid: int, cosine: float, seed: int):
+        self.own, self.cosine, self.tests = right is None, cosine, 0
+        self.u = left
+        self.v = left if right is None else right
         size = left.shape[1]
         q = rotation(size, seed)
-        self.ru, self.rv, self.spans = left @ q, right @ q, _spans(size, n_blocks)
+        self.ru = left @ q
+        self.rv = self.ru if right is None else right @ q
+        self.spans, self.grid = _spans(size, n_blocks), grid
         # each block's share of the squared distance, by its width
         self.budgets = [(2 - 2 * cosine) * (s.stop - s.start) / size + 1e-12 for s in self.spans]
 
-    def _near(self, b: int, rows: slice) -> np.ndarray:
+    def _cells(self, b: int) -> tuple[list, list]:
+        """Codes of the cells that are met, where the rows of each begin, and the rows by cell; for both sides."""
+        s = self.spans[b]
+        axes = slice(s.start, min(s.stop, s.start + self.grid))
+        width = math.sqrt(self.budgets[b]) * (1 + 1e-9)
+        # a linear code: the cell an offset away has a code that far away; two cells that share one only cost tests
+        factor = self._factors(axes.stop - axes.start)
+        sides = []
+        for x in (self.ru,) if self.own else (self.ru, self.rv):
+            code = (np.floor(x[:, axes] / width).astype(np.int64) * factor).sum(axis=1)
+            order = np.argsort(code, kind="stable")
+            cells, first = np.unique(code[order], return_index=True)
+            sides.append([cells, np.append(first, len(code)), order])
+        return sides[0], sides[-1]
+
+    @staticmethod
+    def _factors(n: int) -> np.ndarray:
+        return np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(n)], np.uint64).astype(np.int64)
+
+    def _near_pairs(self, b: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        s = self.spans[b]
+        return ((self.ru[i, s] - self.rv[j, s]) ** 2).sum(axis=1) <= self.budgets[b]
+
+    def _near_tile(self, b: int, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
         """Which pairs are within block ``b``'s budget; borderline ones are tested term by term."""
         s, budget = self.spans[b], self.budgets[b]
-        x, y = self.ru[rows, s], self.rv[:, s]
+        x, y = self.ru[rows, s], self.rv[cols, s]
         d = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * (x @ y.T)
         near = d <= budget
         i, j = np.nonzero(np.abs(d - budget) < 1e-11)
-        near[i, j] = ((x[i] - y[j]) ** 2).sum(axis=1) <= budget
+        near[i, j] = self._near_pairs(b, rows[i], cols[j])
         return near
 
-    def links(self, rows: slice) -> np.ndarray:
-        """Pairs of these left rows that this block is the first to find and the cosine confirms."""
-        near = self._near(self.block, rows)
-        if not near.any():
-            return near
-        c = self.u[rows] @ self.v.T
-        ok = near & (c >= self.cosine)
-        i, j = np.nonzero(near & (np.abs(c - self.cosine) < 1e-12))
-        ok[i, j] = (self.u[rows][i] * self.v[j]).sum(axis=1) >= self.cosine
-        for b in range(self.block):
+    def _confirm_pairs(self, b: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.tests += len(i)
+        for test in (lambda: self._near_pairs(b, i, j), lambda: (self.u[i] * self.v[j]).sum(axis=1) >= self.cosine,
+                     *[lambda c=c: ~self._near_pairs(c, i, j) for c in range(b)]):
+            if not len(i):
+                break
+            ok = test()
+            i, j = i[ok], j[ok]
+        return i, j
+
+    def _confirm_tile(self, b: int, rows: np.ndarray, cols: np.ndarray, half: bool) -> tuple[np.ndarray, np.ndarray]:
+        ok = self._near_tile(b, rows, cols)
+        if half:
+            ok &= rows[:, None] < cols
+        self.tests += int((rows[:, None] < cols).sum()) if half else ok.size
+        for c in range(b):
             if not ok.any():
                 break
-            ok &= ~self._near(b, rows)
-        return ok
+            ok &= ~self._near_tile(c, rows, cols)
+        if ok.any():
+            cos = self.u[rows] @ self.v[cols].T
+            i, j = np.nonzero(ok & (np.abs(cos - self.cosine) < 1e-12))
+            exact = (self.u[rows[i]] * self.v[cols[j]]).sum(axis=1) >= self.cosine
+            ok &= cos >= self.cosine
+            ok[i, j] = exact
+        i, j = np.nonzero(ok)
+        return rows[i], cols[j]
+
+    def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Left and right rows of the links, each link once, a bounded number at a time."""
+        for b in range(len(self.spans)):
+            (codes, first, order), (codes_r, first_r, order_r) = self._cells(b)
+            axes = min(self.grid, self.spans[b].stop - self.spans[b].start)
+            zero = (0,) * axes
+            for offset in product((-1, 0, 1), repeat=axes):
+                # within one strip half of the cells around will do: each two cells meet once
+                if self.own and offset < zero:
+                    continue
+                half = self.own and offset == zero
+                want = codes + (np.array(offset, np.int64) * self._factors(axes)).sum()
+                at = np.minimum(np.searchsorted(codes_r, want), len(codes_r) - 1)
+                mine = np.flatnonzero(codes_r[at] == want)
+                at = at[mine]
+                rows, cols = first[mine + 1] - first[mine], first_r[at + 1] - first_r[at]
+                dense = rows * cols > _DENSE
+                for k in np.flatnonzero(dense):
+                    left, right = order[first[mine[k]]:first[mine[k] + 1]], order_r[first_r[at[k]]:first_r[at[k] + 1]]
+                    for x in range(0, len(left), _TILE):
+                        for y in range(x if half else 0, len(right), _TILE):
+                            yield self._confirm_tile(b, left[x:x + _TILE], right[y:y + _TILE], half)
+                keep = ~dense
+                n = (rows * cols)[keep]
+                if not len(n):
+                    continue
+                starts, starts_r, wide = first[mine][keep], first_r[at][keep], cols[keep]
+                # as many pairs of cells at a time as make _PAIRS pairs of rows
+                cuts = np.unique(np.append(np.searchsorted(np.cumsum(n), np.arange(0, n.sum(), _PAIRS)), len(n)))
+                for x, y in zip(cuts, cuts[1:]):
+                    part = n[x:y]
+                    cell = np.repeat(np.arange(x, y), part)
+                    place = np.arange(len(cell)) - np.repeat(np.cumsum(part) - part, part)
+                    i, j = order[starts[cell] + place // wide[cell]], order_r[starts_r[cell] + place % wide[cell]]
+                    if half:
+                        i, j = i[i < j], j[i < j]
+                    yield self._confirm_pairs(b, i, j)
+
 
+class _Forest:
+    """Links that join rows not joined before."""
 
-def _forest(ok: np.ndarray, label: np.ndarray, first: int, n_left: int) -> Iterator[tuple[int, int]]:
-    """Links that join labels not joined yet; ``label`` (left rows, then right) is updated."""
-    for i in np.flatnonzero(ok.any(axis=1)):
-        js = np.flatnonzero(ok[i]) + n_left
-        own = label[first + i]
-        others, at = np.unique(label[js], return_index=True)
-        new = others != own
-        for j in js[at[new]]:
-            yield first + i, int(j)
-        if new.any():
-            label[np.isin(label, others[new])] = own
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
 
+    def root(self, x: int) -> int:
+        p = self.parent
+        while p[x] != x:
+            p[x] = p[p[x]]
+            x = p[x]
+        return int(x)
 
-def link_vectors(df: DataFrame, *, cosine: float = 0.98, n_blocks: int = 4, grid: int = 2, strip: int = 2048, seed: int = 7,
-                 id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label") -> DataFrame:
+    def add(self, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The links that join two trees, in the order given."""
+        while len(i):
+            # shorten all paths first, so that only links between trees are left
+            p = self.parent
+            while (p[p] != p).any():
+                p[:] = p[p]
+            apart = p[i] != p[j]
+            i, j = i[apart], j[apart]
+            for a, b in zip(i[:4096].tolist(), j[:4096].tolist()):
+                x, y = self.root(a), self.root(b)
+                if x != y:
+                    p[y] = x
+                    yield a, b
+            i, j = i[4096:], j[4096:]
+
+
+def link_vectors(df: DataFrame, *, cosine: float = 0.98, n_blocks: int = 8, grid: int = 4, strip: int = 16_384,
+                 strip_bytes: int = 8 << 20, seed: int = 7, id_col: str = "vec_id", vec_col: str = "embedding",
+                 label_col: str | None = "label") -> DataFrame:
     """One row per input row: id, ``n_links``, ``component_id``, ``kept``.
 
     Vectors are compared if their labels are equal and not null (all, without a label
@@ -108,7 +215,8 @@ def link_vectors(df: DataFrame, *, cosine: float = 0.98, n_blocks: int = 4, grid
     non-finite components link with nothing: no links, a component of their own. Rows with a
     null id are left out of links and get null component and ``kept`` false. Rows that
     repeat an id with an equal vector count as one vector and are each returned. Other
-    columns are not read; an empty table gives an empty one.
+    columns are not read; an empty table gives an empty one. A strip has at most about
+    ``strip`` rows and ``strip_bytes`` bytes of components (16 rows at least).
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be over 0 and at most 1")
@@ -117,87 +225,57 @@ def link_vectors(df: DataFrame, *, cosine: float = 0.98, n_blocks: int = 4, grid
     good = (F.col("id").isNotNull() & F.col("label").isNotNull() & vec.isNotNull() & (F.size(vec) > 0)
             & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists(vec, lambda x: x != 0))
+    double = F.transform(vec, lambda x: x.cast("double") + F.lit(0.0))
+    single = isinstance(df.schema[vec_col].dataType.elementType, FloatType)
+    # components of four bytes are shuffled as such, others as doubles
     rows = df.select(F.col(id_col).alias("id"), label.alias("label"),
-                     F.transform(vec_col, lambda x: x.cast("double") + F.lit(0.0)).alias("vec"))
+                     (F.col(vec_col) if single else F.transform(vec_col, lambda x: x.cast("double"))).alias("vec"))
     rows = rows.select("id", "label", "vec", F.coalesce(good, F.lit(False)).alias("good"),
-                       F.xxhash64("label", "vec").alias("h1"), F.xxhash64(F.lit(1), "vec", "label").alias("h2"))
-    # classes of equal vectors: their smallest id and how many ids they have
-    one = rows.where("good").groupBy("h1", "h2", "id").agg(F.first("label").alias("label"), F.first("vec").alias("vec"))
-    classes = staged(one.groupBy("h1", "h2").agg(
-        F.min("id").alias("cls"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vec").alias("vec")), "classes")
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = pa.compute.list_value_length(batch.column("vec")).to_numpy()
-            for d in np.unique(size):
-                part = pa.Table.from_batches([batch]).filter(pa.array(size == d))
-                turned = _unit(part) @ rotation(int(d), seed)
-                out = []
-                for s in _spans(int(d), n_blocks):
-                    width = math.sqrt((2 - 2 * cosine) * (s.stop - s.start) / d + 1e-12) * (1 + 1e-9)
-                    axes = turned[:, s][:, :grid]
-                    at = np.zeros((part.num_rows, grid), np.int32)
-                    at[:, :axes.shape[1]] = np.floor(axes / width)
-                    out.append(at)
-                flat = pa.array(np.stack(out, axis=1).reshape(-1))
-                each = len(out) * grid
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * each, pa.int32()), flat)
-                yield from part.append_column("cells", lists).select(["cls", "n", "label", "vec", "cells"]).combine_chunks().to_batches()
-
-    placed = staged(classes.select("cls", "n", "label", "vec").mapInArrow(
-        cells, "cls long, n long, label string, vec array<double>, cells array<int>"), "placed")
-    # half of the cells around, and the own one: each pair of cells meets once
-    around = [o for o in product((-1, 0, 1), repeat=grid) if o >= (0,) * grid]
-
-    def cell(b: int, offset: tuple[int, ...]) -> Column:
-        return F.array(*[F.get("cells", F.lit(b * grid + g)) + o for g, o in enumerate(offset)])
-    places = [F.struct(F.lit(b).alias("block"), cell(b, o).alias("cell"), F.lit(left).alias("left"), F.lit(o == (0,) * grid).alias("own"))
-              for b in range(n_blocks) for left, offsets in ((True, around[:1]), (False, around)) for o in offsets]
-    dealt = placed.withColumn("place", F.explode(F.array(*places))).where(F.col("place.block") * grid < F.size("cells")).select(
-        "cls", F.struct("label", F.size("vec").alias("size"), "place.block", "place.cell").alias("key"), "place.left", "place.own")
-    sizes = staged(dealt.groupBy("key").agg(F.count_if("left").alias("n_left"), F.count_if(~F.col("left")).alias("n_right"))
-                   .where("n_left > 0 AND (n_left > 1 OR n_right > 1)"), "sizes")
-    strips = (dealt.join(sizes, "key")
-              .withColumn("a", F.ceil(F.col("n_left") / strip).cast("int")).withColumn("b", F.ceil(F.col("n_right") / strip).cast("int"))
-              .withColumn("mine", F.pmod(F.xxhash64("cls"), F.when(F.col("left"), F.col("a")).otherwise(F.col("b"))).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("left"), F.col("b")).otherwise(F.col("a")) - 1)))
-              .select("cls", "key", "left", "own", F.when(F.col("left"), F.col("mine")).otherwise(F.col("other")).alias("i"),
-                      F.when(F.col("left"), F.col("other")).otherwise(F.col("mine")).alias("j")))
-    tasks = strips.join(placed.select("cls", "n", "vec"), "cls")
+                       F.xxhash64("label", double).alias("h1"), F.xxhash64(F.lit(1), double, "label").alias("h2"))
+    # classes of equal vectors: their smallest id and how many ids they have; both sides are grouped alike, so the join moves nothing
+    fine = rows.where("good")
+    ids = fine.select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.count("*").alias("n"))
+    vectors = fine.groupBy("h1", "h2").agg(F.first("label").alias("label"), F.first("vec").alias("vec"))
+    classes = staged(ids.hint("merge").join(vectors, ["h1", "h2"]), "classes")
+
+    placed = classes.select("cls", "n", "label", F.size("vec").alias("size"), "vec")
+    most = F.least(F.lit(strip), F.greatest(F.lit(16), F.floor(F.lit(strip_bytes) / (8 * F.col("size")))))
+    sizes = staged(placed.groupBy("label", "size").agg(F.count("*").alias("rows")).where("rows > 1")
+                   .select("label", "size", F.ceil(F.col("rows") / most).cast("int").alias("strips")), "sizes")
+    tasks = (placed.join(sizes, ["label", "size"])
+             .withColumn("mine", F.pmod(F.xxhash64("cls"), "strips").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)))
+             .select("cls", "n", "vec", "label", "size", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                     (F.col("mine") <= F.col("other")).alias("left")))
 
     def compare(table: pa.Table) -> pa.Table:
-        block = table.column("key")[0]["block"].as_py()
-        left = table.filter(table.column("left"))
-        right = table.filter(pa.compute.invert(table.column("left")))
+        own = table.column("i")[0] == table.column("j")[0]
+        left = table if own else table.filter(table.column("left"))
+        right = table if own else table.filter(pa.compute.invert(table.column("left")))
         out: list[tuple] = []
         if left.num_rows and right.num_rows:
             ids_l, ids_r = left.column("cls").to_numpy(), right.column("cls").to_numpy()
             n_l, n_r = left.column("n").to_numpy(), right.column("n").to_numpy()
-            own = right.column("own").to_numpy()
-            pairs = _Pairs(_unit(left), _unit(right), block, n_blocks, cosine, seed)
+            pairs = Pairs(_unit(left), None if own else _unit(right), n_blocks, grid, cosine, seed)
             got_l, got_r = np.zeros(len(ids_l), np.int64), np.zeros(len(ids_r), np.int64)
-            # a class can stand on both sides; equal classes share a label from the start
-            label_ = np.unique(np.concatenate([ids_l, ids_r]), return_inverse=True)[1]
-            for k in range(0, len(ids_l), _CHUNK):
-                ok = pairs.links(slice(k, k + _CHUNK))
-                ok &= ~own | (ids_l[k:k + _CHUNK, None] < ids_r)
-                if ok.any():
-                    got_l[k:k + _CHUNK] += ok.astype(np.int64) @ n_r
-                    got_r += n_l[k:k + _CHUNK] @ ok.astype(np.int64)
-                    out += [(int(ids_l[i]), int(ids_r[j - len(ids_l)]), 0) for i, j in _forest(ok, label_, k, len(ids_l))]
-            for ids, got in ((ids_l, got_l), (ids_r, got_r)):
-                out += [(int(ids[i]), None, int(got[i])) for i in np.flatnonzero(got)]
+            forest, past = _Forest(len(ids_l) if own else len(ids_l) + len(ids_r)), 0 if own else len(ids_l)
+            for i, j in pairs.links():
+                np.add.at(got_l, i, n_r[j])
+                np.add.at(got_r, j, n_l[i])
+                out += [(int(ids_l[x]), int(ids_r[y - past]), 0) for x, y in forest.add(i, j + past)]
+            for ids_, got in ((ids_l, got_l), (ids_r, got_r)):
+                out += [(int(ids_[x]), None, int(got[x])) for x in np.flatnonzero(got)]
         a, b, n = zip(*out) if out else ((), (), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
 
-    found = staged(tasks.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, n long"), "found")
+    found = staged(tasks.groupBy("label", "size", "i", "j").applyInArrow(compare, "a long, b long, n long"), "found")
     roots = components(found.where("b IS NOT NULL"))
     linked = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("others"))
     result = staged(classes.select("h1", "h2", "cls", "n")
                     .join(linked.withColumnRenamed("a", "cls"), "cls", "left").join(roots.withColumnRenamed("v", "cls"), "cls", "left")
                     .select("h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
                             F.coalesce("root", "cls").alias("component_id"), F.lit(True).alias("good")), "result")
-    for t in (placed, sizes, found, classes):
+    for t in (sizes, found, classes):
         unstage(t.staged_path)
     out = rows.select("id", "good", "h1", "h2").join(result, ["h1", "h2", "good"], "left")
     component = F.coalesce("component_id", "id")
