@@ -371,6 +371,20 @@ def test_classifier_edges(edge):
     assert quality_nbsvm.score(empty(edge), labels).count() == 0
 
 
+def test_a_fit_is_bounded_by_rows_and_by_n_grams(spark):
+    """The rows of the smallest hashed ids whose n-grams stay within the bound are the ones learnt from."""
+    texts = {i: " ".join(f"w{i % 2}x{k}" for k in range(20 + i)) for i in range(40)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    order = [r.doc_id for r in labels.selectExpr("doc_id", "xxhash64(doc_id) AS h").orderBy("h", "doc_id").collect()]
+    sizes = [len(quality_nbsvm.features(texts[i])) for i in order]
+    for n, bound in ((15, sum(sizes[:15])), (15, sum(sizes[:16]) - 1), (1, 3), (40, sum(sizes))):
+        some = sorted(order[:n])
+        want = quality_nbsvm.fit([quality_nbsvm.features(texts[i]) for i in some], np.array([float(i % 2) for i in some]))
+        got = quality_nbsvm.train(docs, labels, sample_features=bound)
+        assert np.array_equal(got[0], want[0]) and got[1] == pytest.approx(want[1], abs=1e-12), (n, bound)
+
+
 def test_dual_descent_finds_the_optimum():
     rng = np.random.default_rng(0)
     rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(40)]

@@ -7,7 +7,8 @@ coordinate descent, and its weights are drawn towards their mean magnitude. The
 becomes a probability by a logistic fit on texts that the model has not seen.
 
 The fit takes a bounded sample of labelled rows (``sample``: the rows whose hashed ids are
-smallest) and runs in one task, whose memory that bound limits. Every text is scored whole,
+smallest, and of these the first whose n-grams number ``sample_features`` at most) and runs
+in one task, whose memory those bounds limit. Every text is scored whole,
 where it is, with the broadcast weights (their size is fixed by ``bits``).
 """
 
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,10 +160,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, *, cost: flo
     return (a * w).astype(np.float32), a * b + c
 
 
-def train(docs: DataFrame, labels: DataFrame, *, bits: int = 18, sample: int = 6000, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "quality") -> tuple[np.ndarray, float]:
+def train(docs: DataFrame, labels: DataFrame, *, bits: int = 18, sample: int = 6000, sample_features: int = 1 << 25,
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[np.ndarray, float]:
     """Weights and bias from at most ``sample`` labelled texts, those with the smallest hashed ids.
 
+    In the order of hashed ids, texts are taken as long as their distinct n-grams add up to
+    ``sample_features`` at most; one text at least. Ids of equal hash go by id.
     Labels over 0 count as 1. Null ids and labels are left out; an id labelled or stored
     twice counts once, with the smaller label and features.
     """
@@ -179,7 +183,17 @@ def train(docs: DataFrame, labels: DataFrame, *, bits: int = 18, sample: int = 6
                                                  names=["id", "y", "x"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [b for b in batches if b.num_rows]
+        # the rows come by hashed id; what is past the bound is read, not held
+        tables, held = [], 0
+        for b in batches:
+            held_by = held + np.cumsum(pa.compute.list_value_length(b.column("x")).to_numpy(zero_copy_only=False))
+            n = int(np.searchsorted(held_by, sample_features, side="right"))
+            if not held and not n:
+                n = min(1, b.num_rows)
+            if n:
+                tables.append(pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(0, n)]) for c in b.columns], names=b.schema.names))
+            if b.num_rows:
+                held = max(int(held_by[-1]), 1) if n == b.num_rows else sample_features + 1
         x, y = [], np.zeros(0)
         if tables:
             table = pa.Table.from_batches(tables).sort_by("id")
@@ -191,14 +205,14 @@ def train(docs: DataFrame, labels: DataFrame, *, bits: int = 18, sample: int = 6
     schema = T.StructType([T.StructField("id", kinds["id"]), T.StructField("y", kinds["y"]),
                            T.StructField("x", T.ArrayType(T.IntegerType()))])
     counted = texts.mapInArrow(extract, schema).groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
-    model = counted.repartition(1).mapInArrow(learn, "w binary, b double").first()
+    model = counted.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").mapInArrow(learn, "w binary, b double").first()
     if model is None:
         return fit([], np.zeros(0), bits)
     return np.frombuffer(model["w"], np.float32), model["b"]
 
 
 def score(docs: DataFrame, labels: DataFrame, *, train_on: Column | None = None, cutoff: float = 0.3, bits: int = 18,
-          sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+          sample: int = 6000, sample_features: int = 1 << 25, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """The documents with ``score`` (0 to 1) and ``predicted`` (1 if the score is at least ``cutoff``).
 
     ``train_on`` limits the label rows that are learnt from. Only the text is scored; a null
@@ -206,7 +220,7 @@ def score(docs: DataFrame, labels: DataFrame, *, train_on: Column | None = None,
     ones replace columns of the same names; an empty table gives an empty one.
     """
     w, b = train(docs, labels if train_on is None else labels.where(train_on), bits=bits, sample=sample,
-                 id_col=id_col, text_col=text_col, label_col=label_col)
+                 sample_features=sample_features, id_col=id_col, text_col=text_col, label_col=label_col)
     known = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
     schema = T.StructType([*known.schema.fields, T.StructField("score", T.DoubleType())])
     weights = docs.sparkSession.sparkContext.broadcast(w)
