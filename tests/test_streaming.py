@@ -3,10 +3,11 @@
 import datetime
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.streaming.incremental import (dedup_into, dedup_within_watermark, incremental_upsert, landed_series_stream,
-                                            parquet_stream)
+from tidemark.streaming.incremental import (dedup_into, dedup_within_watermark, first_or_late, incremental_upsert,
+                                            landed_series_stream, parquet_stream)
 from tests import landing
 from tests.conftest import SF_SMALL
 
@@ -102,3 +103,46 @@ def test_expired_keys_leave_the_state(spark, tmp_root):
     for rows in ([("a", _at(10), 1)], [("b", _at(30), 1)], [("c", _at(30), 1)], [("a", _at(10), 1)]):
         _run(spark, tmp_root, schema, rows, hold="1 ms")
     assert _rows(spark, tmp_root) == [("a", 10, 1, "kept"), ("a", 10, 1, "late"), ("b", 30, 1, "kept"), ("c", 30, 1, "kept")]
+
+
+def test_first_or_late_is_joins_and_aggregations(spark, capsys):
+    """Keys are decided in joins and aggregations, no Python call a key; a hot key and NaN pass whole."""
+    day = F.timestamp_seconds(F.lit(10 * DAY))
+    hot = spark.range(50_000).select(F.lit(-1).cast("long").alias("k"), day.alias("at"), F.col("id").cast("double").alias("v"))
+    batch = hot.unionAll(spark.range(1000).select("id", day - F.expr("make_interval(0, 0, 0, id % 2)"), F.lit(float("nan"))))
+    mark = 10 * DAY * 1000
+    state = "k long, __newest long, __check long"
+    held = spark.createDataFrame([(0, mark, 99), (1, mark - DAY * 1000, 5), (3000, mark, 5), (3001, 1, 5), (3002, 1, 99), (None, mark, 99)], state)
+    late, after = first_or_late(batch, held, ["k"], "at", mark, 50, "1 day", "1 hour", ["v"])
+    for df in (late, after):
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "Join" in plan and not any(n in plan for n in ("Python", "Pandas", "Arrow"))
+    assert sorted(r.k for r in late.collect()) == list(range(3, 1000, 2))       # 1 is held, so its row is a copy
+    rows = {r.k: r for r in after.collect()}
+    assert set(rows) == {-1, *range(0, 1000, 2), 1, 3000, 3002, None}             # 3001 has expired, 3002 is not due
+    assert rows[-1]["__first"].v == 0 and rows[2]["__first"].v != rows[2]["__first"].v
+    assert rows[0]["__first"] is None and rows[1]["__newest"] == mark - DAY * 1000 and rows[1]["__check"] == 50 + 3_600_000
+    assert (rows[3000]["__check"], rows[3002]["__check"], rows[None]["__check"]) == (50 + 3_600_000, 99, 99)
+
+
+def test_replayed_batch_starts_from_the_keys_before_it(spark, tmp_root):
+    schema = "k string, at timestamp, n long"
+    _run(spark, tmp_root, schema, [("a", _at(10), 1)])
+    for rows in ([("b", _at(12), 1), ("a", _at(10), 2), ("c", _at(1), 1)], [("d", _at(12), 1), ("b", _at(12), 3), ("e", _at(3), 1)]):
+        _run(spark, tmp_root, schema, rows)
+    whole = _rows(spark, tmp_root)
+    assert [r for r in whole if r[3] == "late"] == [("c", 1, 1, "late"), ("e", 3, 1, "late")]
+    assert sorted(os.listdir(os.path.join(tmp_root, "ckpt", "held"))) == ["1", "2"]
+    for name in ("2", ".2.crc"):                    # the driver died before the commit
+        os.remove(os.path.join(tmp_root, "ckpt", "commits", name))
+    assert [(m["batch"], m["kept"], m["late"]) for m in _run(spark, tmp_root, schema)] == [(2, 1, 1)]
+    assert _rows(spark, tmp_root) == whole
+
+
+def test_checkpoint_without_its_keys_is_refused(spark, tmp_root):
+    schema = "k string, at timestamp, n long"
+    _run(spark, tmp_root, schema, [("a", _at(10), 1)])
+    os.rename(os.path.join(tmp_root, "ckpt", "held"), os.path.join(tmp_root, "elsewhere"))
+    with pytest.raises(Exception, match="does not hold the keys of batch 0"):
+        _run(spark, tmp_root, schema, [("a", _at(10), 1)])

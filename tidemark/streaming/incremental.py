@@ -9,15 +9,16 @@ nothing - so the job is safe to re-run and to lose executors mid-batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.session import scratch_path
+from tidemark.session import path_exists, remove_path, scratch_path
 from tidemark.sinks.tables import upsert_table
 from tidemark.sources.payload import series_rows
 
@@ -43,88 +44,86 @@ def dedup_within_watermark(df: DataFrame, keys: list[str], ts: str, delay: str =
               .drop(wm))
 
 
-def first_or_late(df: DataFrame, keys: list[str], ts: str, delay: str = "1 day", hold: str = "1 hour",
-                  order: list[str] | None = None) -> DataFrame:
-    """T2 across micro-batches: each key's first row as ``_outcome`` 'kept', its copies gone,
-    and rows that came too late to tell as 'late'. No other row is lost.
+def first_or_late(batch: DataFrame, held: DataFrame, keys: list[str], ts: str, mark: int, now: int, delay: str = "1 day",
+                  hold: str = "1 hour", order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """T2 across micro-batches: (late rows of ``batch``, the keys held after it).
 
-    A key is held in keyed state from its first row until the watermark is ``delay`` past its
-    newest one; a row of a held key is a copy, however late. A row of a key that is not held
-    and whose time is null or before the watermark is 'late'; all of those are returned.
-    Of the rows that a key's first batch brings, the smallest by (ts, order) is kept. State
-    is looked through for expired keys every ``hold`` of processing time: a timeout by event
-    time would make Spark drop late rows before this function sees them. Rows of a key come
-    in Arrow batches, so a hot key never has to fit in memory. Null keys are a key.
+    ``held`` has a row per key: ``__newest`` (its newest time, ms), ``__check`` (when to look whether it expired, ms of
+    processing time) and ``__first`` (the key's first row if this batch brought it, else null). A key is held
+    from its first row until the watermark ``mark`` is ``delay`` past its newest one; a row of a held key is a copy,
+    however late. A row of a key that is not held and whose time is null or before the watermark is late; all of those
+    are returned. Of the rows that a key's first batch brings, the smallest by (ts, order) is its first, nulls last.
+    A key without new rows is looked at every ``hold`` of processing time. Null keys are a key.
+
+    Joins and aggregations by key alone: a hot key is reduced in each task before it moves, and none is held in memory whole.
     """
-    wm, ms = f"__wm_{ts}", f"__ms_{ts}"
-    delay_ms, hold_ms = (int(pd.Timedelta(t).total_seconds() * 1000) for t in (delay, hold))
-    # pandas has no whole numbers with nulls: long columns pass as decimals
-    longs = [f.name for f in df.schema.fields if f.dataType == T.LongType()]
-    exact = df.withColumns({c: F.col(c).cast("decimal(20,0)") for c in longs})
-    fields = exact.schema.fields
-    timed = (exact.withColumn(wm, F.col(ts).cast("timestamp")).withColumn(ms, F.unix_millis(wm).cast("double"))
-                  .withWatermark(wm, delay))
-    names = [f.name for f in fields]
-    by = [ms, ts, *(order or [])]
-
-    def decide(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        mark = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:
-            if state.get[0] + delay_ms < mark:
-                state.remove()
-            else:
-                state.setTimeoutDuration(hold_ms)
-            return
-        held, newest, first = state.exists, state.get[0] if state.exists else None, None
-        for rows in batches:
-            at = rows[ms].to_numpy()
-            late = ~(at >= mark)
-            if not held and late.any():
-                yield rows.loc[late, names].assign(_outcome="late")
-            if not late.all():
-                newest = max(newest or 0, int(at[~late].max()))
-                if not held:
-                    fresh = rows[~late] if late.any() else rows
-                    first = fresh if first is None else pd.concat([first, fresh])
-                    first = first.sort_values(by, kind="stable").head(1) if len(first) > 1 else first
-        if newest is not None:
-            state.update((newest,))
-            state.setTimeoutDuration(hold_ms)
-        if first is not None:
-            yield first[names].assign(_outcome="kept")
-
-    out = timed.groupBy(*keys).applyInPandasWithState(
-        decide, T.StructType([*fields, T.StructField("_outcome", T.StringType())]), "newest long", "append",
-        GroupStateTimeout.ProcessingTimeTimeout)
-    return out.withColumns({c: F.col(c).cast("long") for c in longs})
+    delay_ms, hold_ms = _ms(delay), _ms(hold)
+    fields = batch.columns
+    at = F.unix_millis(F.col(ts).cast("timestamp"))
+    in_time = F.coalesce(at >= F.lit(mark), F.lit(False))
+    by = [at.alias("at"), F.col(ts).alias("ts")]
+    for i, c in enumerate(order or []):
+        by += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"o{i}")]
+    seen = batch.groupBy(*keys).agg(F.max(F.when(in_time, at)).alias("__at"),
+                                    F.min_by(F.struct(*fields), F.when(in_time, F.struct(*by))).alias("__row"))
+
+    def same_key(a: str, b: str) -> Column:
+        return reduce(and_, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
+    late = batch.where(~in_time).alias("b").join(held.alias("h"), same_key("b", "h"), "left_anti")
+    old, new = F.col("h.__newest").isNotNull(), F.col("s.__in").isNotNull()
+    due = F.col("h.__check") < F.lit(now)
+    expired = ~new & due & (F.col("h.__newest") + F.lit(delay_ms) < F.lit(mark))
+    both = held.alias("h").join(seen.withColumn("__in", F.lit(True)).alias("s"), same_key("h", "s"), "full_outer")
+    after = both.where((old | F.col("s.__at").isNotNull()) & ~F.coalesce(expired, F.lit(False))).select(
+        *[F.when(old, F.col(f"h.{k}")).otherwise(F.col(f"s.{k}")).alias(k) for k in keys],
+        F.greatest("h.__newest", "s.__at").alias("__newest"),
+        F.when(new | due, F.lit(now + hold_ms)).otherwise(F.col("h.__check")).alias("__check"),
+        F.when(~old, F.col("s.__row")).alias("__first"))
+    return late, after
+
+
+def _ms(span: str) -> int:
+    return int(pd.Timedelta(span).total_seconds() * 1000)
 
 
 def dedup_into(spark: SparkSession, stream: DataFrame, path: str, keys: list[str], ts: str, delay: str = "1 day",
                hold: str = "1 hour", order: list[str] | None = None, checkpoint: str | None = None) -> list[dict]:
-    """Write :func:`first_or_late` of what has landed to ``path``, partitioned by ``_outcome`` ('kept',
-    'late') and ``_batch``; the counts of both for each batch.
+    """Write each key's first row and the late rows (:func:`first_or_late`) of what has landed to ``path``, partitioned by
+    ``_outcome`` ('kept', 'late') and ``_batch``; the counts of both for each batch.
 
-    A replayed batch overwrites its own two partitions. The checkpoint holds state and
-    watermark from one run to the next.
+    The keys held after a batch are a table in the checkpoint's folder ``held``, one folder a batch; the watermark of the
+    next batch is the newest time there less ``delay`` (a key with the newest time never expires). The last two are
+    there, so a replayed batch starts from the keys before it and overwrites its own folder and partitions.
     """
     counts: list[dict] = []
+    ckpt = checkpoint or scratch_path(spark, "dedup-ckpt")
+    fields = stream.schema
+    state = T.StructType([*[fields[k] for k in keys], T.StructField("__newest", T.LongType()),
+                          T.StructField("__check", T.LongType()), T.StructField("__first", fields)])
 
     def write(batch: DataFrame, epoch: int) -> None:
+        s = batch.sparkSession
+        # a stream's session has it off; what follows are plain batch jobs
+        s.conf.set("spark.sql.adaptive.enabled", "true")
+        at = f"{ckpt}/held/{epoch}"
+        if epoch and not path_exists(s, f"{ckpt}/held/{epoch - 1}"):
+            raise RuntimeError(f"{ckpt} does not hold the keys of batch {epoch - 1}; start with a new checkpoint")
+        held = s.read.schema(state).parquet(f"{ckpt}/held/{epoch - 1}") if epoch else s.createDataFrame([], state)
+        held = held.drop("__first")
+        newest = held.agg(F.max("__newest")).first()[0]
+        mark = max(0, newest - _ms(delay)) if newest is not None else 0
+        late, after = first_or_late(batch, held, keys, ts, mark, int(time.time() * 1000), delay, hold, order)
+        after.write.mode("overwrite").parquet(at)
+        kept = s.read.schema(state).parquet(at).where("__first IS NOT NULL").select("__first.*")
+        out = kept.withColumn("_outcome", F.lit("kept")).unionByName(late.withColumn("_outcome", F.lit("late")))
         seen = Observation()
         kinds = [F.count_if(F.col("_outcome") == k).alias(k) for k in ("kept", "late")]
-        (batch.observe(seen, *kinds).withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("_outcome", "_batch").parquet(path))
+        (out.observe(seen, *kinds).withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_outcome", "_batch").parquet(path))
+        remove_path(s, f"{ckpt}/held/{epoch - 2}")
         counts.append({"batch": epoch, **seen.get})
 
-    # timeouts by processing time ask for one more empty batch after each; available-now would never end
-    empty = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(empty)
-    spark.conf.set(empty, "false")
-    try:
-        q = (first_or_late(stream, keys, ts, delay, hold, order).writeStream.outputMode("append").foreachBatch(write)
-             .option("checkpointLocation", checkpoint or scratch_path(spark, "dedup-ckpt")).trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(empty, before)
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     return counts
 
