@@ -235,3 +235,17 @@ def test_replayed_quarantine_reads_only_its_prefixes(spark, tmp_root):
     plan = sink.known_rows(spark, p, ["a0", "b1"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [row_prefix" in plan.replace("isnotnull(row_prefix#", "row_prefix#") or "row_prefix" in plan.split("PartitionFilters:")[1].split("]")[0]
     assert "ReadSchema: struct<_row:string>" in plan
+
+
+def test_clustering_sorts_a_bounded_part_of_well_packed_rows(spark, tmp_root):
+    """Parquet packs equal values to almost nothing, a sort does not: tasks are counted by the rows' own size."""
+    p = os.path.join(tmp_root, "packed")
+    rows = spark.range(40_000).select("id", (F.col("id") % 50).alias("a"), F.repeat(F.lit("x"), 100).alias("pad"))
+    rows.coalesce(1).write.parquet(p)
+    assert maintenance.zorder(spark, p, ["a", "id"], sort_bytes=1024 * 1024)["files"] >= 5      # 6 MB of rows
+    got = spark.read.parquet(p)
+    per_file = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert max(per_file) < 20_000 and sum(per_file) == 40_000
+    assert got.exceptAll(rows).count() == 0
+    nested = rows.select("id", F.struct("pad", "a").alias("s"), F.array("pad").alias("l"), F.create_map("a", "pad").alias("m"))
+    assert maintenance._row_bytes(nested) > 40_000 * 300

@@ -24,6 +24,8 @@ from tidemark.sinks.tables import append, drop_staged, in_files, next_version, o
 from tidemark.session import path_exists
 
 DEFAULT_FILE_BYTES = 128 * 1024 * 1024
+#: bytes of rows, unpacked, that one task of a clustering sorts
+DEFAULT_SORT_BYTES = 256 * 1024 * 1024
 #: small files of a partition that one packing task takes
 _PACK_AT_ONCE = 10_000
 
@@ -207,15 +209,25 @@ def zorder_frame(df: DataFrame, cols: list[str], buckets: int = 1024,
     return out.withColumn("__z", z).drop(*drop)
 
 
+def _row_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take in a sort: 8 a column and 32 a row, and those of texts and nested values."""
+    wide = [F.octet_length(c) for c, t in ((f.name, f.dataType) for f in df.schema) if isinstance(t, (T.StringType, T.BinaryType))]
+    wide += [F.octet_length(F.to_json(F.struct(f.name))) for f in df.schema if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+    row = df.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"w{i}") for i, c in enumerate(wide)]).first()
+    return row["n"] * (8 * len(df.columns) + 32) + sum(row[f"w{i}"] for i in range(len(wide)))
+
+
 def zorder(spark: SparkSession, path: str, cols: list[str], target_file_bytes: int = DEFAULT_FILE_BYTES,
-           buckets: int = 1024) -> dict:
+           buckets: int = 1024, sort_bytes: int = DEFAULT_SORT_BYTES) -> dict:
     """M2: cluster a table on ``cols`` by Z-order: range-partition by the code
     (sampled boundaries, no global sort in one task), sort inside each
     partition, staged write. Min/max statistics per file and row group then
-    let filters on any of ``cols`` skip data. Returns the files there are then."""
+    let filters on any of ``cols`` skip data. A task writes about ``target_file_bytes`` and sorts
+    about ``sort_bytes`` of rows, whichever is less: a file that Parquet packs well is many times
+    larger in a sort. Returns the files there are then."""
     before, size = table_size(spark, path)
-    n = max(1, math.ceil(size / target_file_bytes))
     df = spark.read.option("mergeSchema", "true").parquet(path)
+    n = max(1, math.ceil(size / target_file_bytes), math.ceil(_row_bytes(df) / sort_bytes))
     z = zorder_frame(df, cols, buckets)
     # a deterministic per-row tiebreak lets range partitioning split a code
     # shared by very many rows (a hot value) over several files; it is a hash
